@@ -80,9 +80,3 @@ def trip_sentence(
         riders.cast("string"),
         F.when(riders > 1, F.lit(" passengers")).otherwise(F.lit(" passenger")),
     )
-
-
-def tokens(c: Column | str) -> Column:
-    """Lower-cased words of the whole text; null text has none."""
-    words = F.split(F.lower(F.coalesce(_col(c), F.lit(""))), r"\s+")
-    return F.filter(words, lambda w: w != "")

@@ -12,10 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecspark.functions.text import tokens
 from vecspark.functions.vectors import zero_vector
 
-# Takes the non-blank inputs of a batch (strings or token lists), returns one row for each.
+# Takes the non-blank texts of a batch and returns one row for each.
 Encoder = Callable[[pa.Array], np.ndarray]
 
 
@@ -29,22 +28,24 @@ def float_lists(matrix: np.ndarray) -> pa.ListArray:
 
 
 def hashing_encoder(dim: int) -> Callable[[], Encoder]:
-    """Signed feature hashing of token lists into unit vectors; needs no model file."""
+    """Signed feature hashing of whitespace-separated words into unit vectors; needs no model file."""
 
-    def slot(token: str) -> tuple[int, float]:
-        digest = hashlib.md5(token.encode("utf-8")).hexdigest()
-        return int(digest[:8], 16) % dim, 1.0 if digest[8] < "8" else -1.0
+    def slots(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joined = b"".join(hashlib.md5(word.encode("utf-8")).digest() for word in words)
+        digests = np.frombuffer(joined, dtype=np.uint8).reshape(len(words), 16)
+        leading = np.ascontiguousarray(digests[:, :4]).view(">u4").ravel()
+        return (leading % dim).astype(np.int64), np.where(digests[:, 4] < 128, 1.0, -1.0)
 
     def make() -> Encoder:
-        def encode(token_lists: pa.ListArray) -> np.ndarray:
+        def encode(texts: pa.StringArray) -> np.ndarray:
+            trimmed = pc.utf8_trim_whitespace(texts)
+            token_lists = pc.split_pattern_regex(trimmed, r"\s+")
             # Each distinct token of the batch is hashed once.
             words = token_lists.flatten().dictionary_encode()
-            slots = [slot(token) for token in words.dictionary.to_pylist()]
-            buckets = np.array([b for b, _ in slots], dtype=np.int64)
-            signs = np.array([s for _, s in slots], dtype=np.float64)
+            buckets, signs = slots(words.dictionary.to_pylist())
             used = words.indices.to_numpy(zero_copy_only=False)
             lengths = pc.list_value_length(token_lists).to_numpy(zero_copy_only=False)
-            n = len(token_lists)
+            n = len(texts)
             at = np.repeat(np.arange(n), lengths) * dim + buckets[used]
             sums = np.bincount(at, weights=signs[used], minlength=n * dim).reshape(n, dim)
             norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
@@ -57,10 +58,7 @@ def hashing_encoder(dim: int) -> Callable[[], Encoder]:
 
 def _filled(values: pa.Array) -> np.ndarray:
     """Row positions whose input is neither null nor blank."""
-    if pa.types.is_list(values.type):
-        lengths = pc.list_value_length(values)
-    else:
-        lengths = pc.utf8_length(pc.utf8_trim_whitespace(values))
+    lengths = pc.utf8_length(pc.utf8_trim_whitespace(values))
     return np.flatnonzero(lengths.fill_null(0).to_numpy(zero_copy_only=False) > 0)
 
 
@@ -117,11 +115,10 @@ def embed(
 
 
 def hash_embed(df: DataFrame, text_col: str, dim: int, output_col: str = "embedding") -> DataFrame:
-    """Hashing embedding of the whole text; splitting into words stays in the JVM."""
-    prepared = df.withColumn("_tokens", tokens(text_col))
-    return embed(
-        prepared, "_tokens", hashing_encoder(dim), dim, output_col, batch_size=4096
-    ).drop("_tokens")
+    """Hashing embedding of the words of the whole text, ignoring case."""
+    lowered = df.withColumn("_lowered", F.lower(text_col))
+    encoded = embed(lowered, "_lowered", hashing_encoder(dim), dim, output_col, batch_size=4096)
+    return encoded.drop("_lowered")
 
 
 def zero_fallback(df: DataFrame, vec_col: str, dim: int) -> DataFrame:
