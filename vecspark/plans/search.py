@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from vecspark.functions.requests import (
     DEFAULT_NPROBE,
     DEFAULT_TOP_K,
-    MAX_TOP_K,
     fingerprint,
     positive_or_default,
     rejection_reasons,
@@ -82,15 +81,17 @@ def search(
     vector = l2_normalize("embedding") if index.normalized else F.col("embedding")
     queries = embedded.filter(F.col("embed_status") == "ok").withColumn("query_vector", vector)
     # Encoded once, then read by both probing and scanning.
-    queries = materialize(queries.select("result_key", "top_k", "nprobe", "shards", "query_vector"), "queries")
+    queries = queries.select("result_key", "top_k", "nprobe", "shards", "query_vector")
+    queries = materialize(queries, "queries")
+    k = queries.agg(F.max("top_k")).first()[0] or DEFAULT_TOP_K
     names = dict(id_col=id_col, query_cols=["result_key"], shards_col="shards")
     if index.codebooks is None:
         found = ivf_flat_search(
-            index.postings, index.centroids, queries, MAX_TOP_K, "nprobe", vec_col=vec_col, **names
+            index.postings, index.centroids, queries, k, "nprobe", vec_col=vec_col, **names
         )
     else:
         found = ivfpq_search(
-            index.postings, index.centroids, index.codebooks, queries, MAX_TOP_K, "nprobe", **names
+            index.postings, index.centroids, index.codebooks, queries, k, "nprobe", **names
         )
     hits = limit_per_request(found, queries, "result_key", "top_k")
     if source is not None and metadata_cols:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -25,14 +26,14 @@ class _TtlProcessor(StatefulProcessor):
         parts = list(rows)
         pdf = pd.concat(parts) if len(parts) > 1 else parts[0]
         pdf = pdf.sort_values([self.ts_col, self.id_col])
-        micros = pdf[self.ts_col].astype("datetime64[us]").astype("int64")
-        expiry = self.expiry.get()[0] if self.expiry.exists() else None
-        hits = []
-        for us in micros:
-            hit = expiry is not None and us < expiry
-            if not hit:
-                expiry = int(us) + self.ttl_ms * 1000
-            hits.append(hit)
+        us = pdf[self.ts_col].astype("datetime64[us]").astype("int64").to_numpy()
+        hits = np.ones(len(us), dtype=bool)
+        expiry = self.expiry.get()[0] if self.expiry.exists() else int(us[0])
+        at = int(np.searchsorted(us, expiry, side="left"))
+        while at < len(us):
+            hits[at] = False
+            expiry = int(us[at]) + self.ttl_ms * 1000
+            at = int(np.searchsorted(us, expiry, side="left"))
         self.expiry.update((expiry,))
         for timer in self.handle.listTimers():
             self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
