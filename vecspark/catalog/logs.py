@@ -166,18 +166,19 @@ FROM events GROUP BY 1"""
 
 
 def q_threshold_verdicts(spark, sf):
-    log = replayed(spark, sf).withColumn("everything", F.lit("all"))
-    latency = exact_percentiles(
-        events(spark, sf).withColumn("everything", F.lit("all")), "everything", "value", [0.95, 0.99]
-    )
-    rates = log.groupBy("everything").agg(
-        F.avg(is_error().cast("int")).alias("error_rate"),
-        F.avg(F.col("cache_hit").cast("int")).alias("hit_rate"),
+    everything = events(spark, sf).withColumn("everything", F.lit("all"))
+    latency = exact_percentiles(everything, "everything", "value", [0.95, 0.99])
+    rates = replayed(spark, sf).agg(
+        F.struct(
+            F.avg(is_error().cast("int")).alias("error_rate"),
+            F.avg(F.col("cache_hit").cast("int")).alias("hit_rate"),
+        )
     )
+    metrics = latency.withColumn("rates", rates.scalar()).select("*", "rates.*")
     limits = {
         "p95": ("<", 500), "p99": ("<", 1000), "error_rate": ("<", 0.01), "hit_rate": (">", 0.7),
     }
-    verdicts = threshold_verdicts(latency.join(rates, "everything"), limits)
+    verdicts = threshold_verdicts(metrics, limits)
     return verdicts.withColumn("value", r6("value"))
 
 

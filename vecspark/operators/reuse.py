@@ -60,29 +60,32 @@ def replay_ttl(
     """Requests with ``cache_hit`` for a cache that each miss fills for ``ttl_seconds``.
 
     A hit does not extend the life of an entry, so each expiry depends on the previous miss.
-    Requests of one key at one instant act as one: the lowest id is the miss.  Keys with few
-    instants are folded as arrays.  The time line of a hot key is cut into chunks: each chunk
-    yields a small map from the expiry it is entered with to its last fill, the maps are
-    chained (over spans of chunks, then over the spans), and then each chunk replays its
-    fills from the expiry now known.  No group holds more than ``chunk_ttls`` lifetimes.
+    Requests of one key at one instant act as one: the lowest id is the miss.  A request
+    without a key is always a miss.
+
+    Keys with few instants are folded as arrays.  The time line of a hot key is cut into
+    chunks: each chunk yields a small map from the expiry it is entered with to its last
+    fill, the maps are chained (over spans of chunks, then over the spans), and then each
+    chunk replays its fills from the expiry now known.  No group holds more than
+    ``chunk_ttls`` lifetimes of one key.
     """
     ttl = ttl_seconds * 1_000_000
-    instants = requests.groupBy(
-        F.col(key_col).alias("key"), micros(requests, ts_col).alias("us")
-    ).agg(F.min(id_col).alias("id"))
+    instants = (
+        requests.filter(F.col(key_col).isNotNull())
+        .groupBy(F.col(key_col).alias("key"), micros(requests, ts_col).alias("us"))
+        .agg(F.min(id_col).alias("id"))
+    )
     sizes = instants.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     # Written, so that Catalyst knows how short the list of hot keys is.
-    hot_keys = materialize(
-        sizes.filter(F.col("n") > hot_instants).select(F.col("key").alias("hot_key")), "hot-keys"
-    )
-    is_hot = F.col("key").eqNullSafe(F.col("hot_key"))
-    fills = _fold_keys(instants.join(hot_keys, is_hot, "left_anti"), ttl)
+    hot_keys = materialize(sizes.filter(F.col("n") > hot_instants).select("key"), "hot-keys")
+    fills = _fold_keys(instants.join(hot_keys, "key", "left_anti"), ttl)
     if not hot_keys.isEmpty():
-        hot = instants.join(hot_keys, is_hot, "left_semi")
+        hot = instants.join(hot_keys, "key", "left_semi")
         fills = fills.unionByName(_replay_chunks(hot, ttl, chunk_ttls, chunks_per_span))
     fills = fills.select(F.col("id").alias(id_col), F.lit(True).alias("_fill"))
     joined = requests.join(fills, id_col, "left")
-    return joined.withColumn("cache_hit", F.col("_fill").isNull()).drop("_fill")
+    hit = F.col("_fill").isNull() & F.col(key_col).isNotNull()
+    return joined.withColumn("cache_hit", hit).drop("_fill")
 
 
 def _fold_keys(instants: DataFrame, ttl: int) -> DataFrame:

@@ -34,7 +34,8 @@ def exact_percentiles(
     values = df.select(
         F.col(group_col).alias("g"), F.col(value_col).cast("double").alias("v")
     ).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    edges = values.approxQuantile("v", [i / bins for i in range(1, bins)], 0.5 / bins)
+    cuts = [i / bins for i in range(1, bins)]
+    edges = values.approxQuantile("v", cuts, 0.5 / bins) if cuts else []
     splits = [-float("inf"), *sorted(set(edges)), float("inf")]
     if len(splits) > 2:
         bucketizer = Bucketizer(splits=splits, inputCol="v", outputCol="bin")
