@@ -30,7 +30,8 @@ def trips(spark):
 
 def test_ingest_replaces_only_its_months(spark, trips):
     path = new_path(spark, "trips")
-    ingest.ingest_trips(trips, path, datetime(2026, 1, 1), DIM)
+    counts = ingest.ingest_trips(trips, path, datetime(2026, 1, 1), DIM)
+    assert counts == {"loaded": 402, "kept": 400}
     table = spark.read.parquet(path)
     assert table.count() == 400
     assert tuple(ingest.audit_trips(trips).first()) == (402, 400, 2)

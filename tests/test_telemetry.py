@@ -18,8 +18,8 @@ def calls(spark, rows):
     return spark.createDataFrame(data, "ts timestamp_ntz, failed boolean")
 
 
-@pytest.mark.parametrize("bins", [1, 7, 256])
-def test_percentiles_match_numpy(spark, bins):
+@pytest.mark.parametrize("bins, max_ranked_rows", [(1, 10_000), (7, 20), (256, 10_000)])
+def test_percentiles_match_numpy(spark, bins, max_ranked_rows):
     rng = np.random.default_rng(3)
     groups = {
         "hot": np.r_[np.full(1500, 4.5), rng.exponential(50, 1500)],
@@ -31,7 +31,7 @@ def test_percentiles_match_numpy(spark, bins):
     rows += [("hot", None), ("hot", float("nan"))]
     df = spark.createDataFrame(rows, "g string, v double").repartition(6)
     probs = [0.0, 0.5, 0.95, 0.99, 0.999, 1.0]
-    found = {r.g: r for r in tm.exact_percentiles(df, "g", "v", probs, bins).collect()}
+    found = {r.g: r for r in tm.exact_percentiles(df, "g", "v", probs, bins, max_ranked_rows).collect()}
     assert set(found) == set(groups)
     for g, values in groups.items():
         assert found[g]["mean"] == pytest.approx(values.mean())

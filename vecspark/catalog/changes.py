@@ -15,7 +15,7 @@ from vecspark.operators.merge import (
     version_history,
 )
 from vecspark.operators.reuse import reuse_results, to_compute
-from vecspark.operators.routing import check_shards, route
+from vecspark.operators.routing import route, tag_shards
 from vecspark.sources.workspace import new_path
 
 QUERIES: dict[str, Query] = {}
@@ -201,15 +201,10 @@ def q_shard_routing(spark, sf):
         F.add_months(F.max("o_orderdate").cast("date"), 3).alias("last_day"),
     )
     catalog = orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("shard_key"))
-    known, unknown = check_shards(
-        route(requests, "first_day", "last_day"), catalog, "o_custkey"
-    )
-    tagged = known.withColumn("found", F.lit(True)).unionByName(
-        unknown.withColumn("found", F.lit(False))
-    )
+    tagged = tag_shards(route(requests, "first_day", "last_day"), catalog, "o_custkey")
     return tagged.groupBy("o_custkey").agg(
-        F.count_if("found").alias("known_shards"),
-        F.count_if(~F.col("found")).alias("unknown_shards"),
+        F.count_if("known").alias("known_shards"),
+        F.count_if(~F.col("known")).alias("unknown_shards"),
         F.min("shard_key").alias("first_shard"),
         F.max("shard_key").alias("last_shard"),
     )

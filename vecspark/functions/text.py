@@ -7,8 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters kept for the encoder, and the wording of the two renderings.
+# Characters kept for the encoder, whitespace characters, and the wording of
+# the first rendering.
 ENCODER_MAX_CHARS = 512
+WHITESPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 PHRASE_WORDS = ("taxi ride manhattan", "to", "distance", "miles fare", "dollars")
 
 
@@ -17,8 +22,8 @@ def _col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Remove leading and trailing whitespace of every kind, not only spaces."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    """Remove leading and trailing whitespace of every kind; only the ends are looked at."""
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def is_blank(c: Column | str) -> Column:

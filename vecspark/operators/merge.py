@@ -130,6 +130,8 @@ def upsert_table(
         write_partitioned(feed, path, partition_cols, mode="replace_all")
         return
 
+    # Read several times below, and its size then decides whether joins broadcast it.
+    feed = materialize(feed, "feed")
     target = spark.read.schema(feed.schema).parquet(path)
     matched = target.join(feed.select(*keys), list(keys), "left_semi").select(*partition_cols)
     received = feed.select(*partition_cols)

@@ -34,17 +34,23 @@ def with_metadata_map(df: DataFrame, columns: Sequence[str], out_col: str = "met
     return df.withColumn(out_col, F.create_map(*pairs) if pairs else F.create_map())
 
 
-def page_hits(hits: DataFrame, requests: DataFrame, query_cols: Sequence[str]) -> DataFrame:
+def page_hits(
+    hits: DataFrame,
+    requests: DataFrame,
+    query_cols: Sequence[str],
+    request_cols: Sequence[str] = (),
+) -> DataFrame:
     """The hits on the requested page of each request (columns ``page``, ``page_size``).
 
     Adds ``total_results`` and ``has_next``.  ``hits`` hold the full top-k with ``rank``
-    from 1, so every page comes from the same result.
+    from 1, so every page comes from the same result.  Several requests may share a result;
+    ``request_cols`` tell them apart.
     """
     total = F.count(F.lit(1)).over(Window.partitionBy(*query_cols))
     skip = (F.col("page") - 1) * F.col("page_size")
     return (
         hits.withColumn("total_results", total)
-        .join(requests.select(*query_cols, "page", "page_size"), list(query_cols))
+        .join(requests.select(*query_cols, *request_cols, "page", "page_size"), list(query_cols))
         .filter((F.col("rank") > skip) & (F.col("rank") <= skip + F.col("page_size")))
         .withColumn("has_next", F.col("total_results") > skip + F.col("page_size"))
     )

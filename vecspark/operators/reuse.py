@@ -70,10 +70,11 @@ def replay_ttl(
     ``chunk_ttls`` lifetimes of one key.
     """
     ttl = ttl_seconds * 1_000_000
-    instants = (
+    instants = materialize(
         requests.filter(F.col(key_col).isNotNull())
         .groupBy(F.col(key_col).alias("key"), micros(requests, ts_col).alias("us"))
-        .agg(F.min(id_col).alias("id"))
+        .agg(F.min(id_col).alias("id")),
+        "instants",
     )
     sizes = instants.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     # Written, so that Catalyst knows how short the list of hot keys is.

@@ -20,8 +20,15 @@ def route(requests: DataFrame, start_col: str, end_col: str, prefix: str = "") -
     return requests.withColumn("shards", shards)
 
 
+def tag_shards(routed: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
+    """Request-shard pairs with ``known``: whether the catalogue has the shard."""
+    pairs = routed.select(key, F.explode("shards").alias("shard_key"))
+    names = catalog.select("shard_key").distinct().withColumn("known", F.lit(True))
+    joined = pairs.join(names, "shard_key", "left")
+    return joined.withColumn("known", F.coalesce("known", F.lit(False)))
+
+
 def check_shards(routed: DataFrame, catalog: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Known request-shard pairs, and the unknown ones for an explicit error."""
-    pairs = routed.select(key, F.explode("shards").alias("shard_key"))
-    names = catalog.select("shard_key").distinct()
-    return pairs.join(names, "shard_key", "left_semi"), pairs.join(names, "shard_key", "left_anti")
+    tagged = tag_shards(routed, catalog, key)
+    return tagged.filter("known").drop("known"), tagged.filter("NOT known").drop("known")

@@ -22,70 +22,93 @@ PERMIT_LIMIT = 100
 QUEUE_LIMIT = 50
 
 
+def _cut(values: DataFrame, bins: int, out_col: str) -> DataFrame:
+    """Number the values by bins of about equal size; equal values share a bin."""
+    cuts = [i / bins for i in range(1, bins)]
+    edges = values.approxQuantile("v", cuts, 0.5 / bins) if cuts else []
+    splits = [-float("inf"), *sorted(set(edges)), float("inf")]
+    if len(splits) == 2:
+        return values.withColumn(out_col, F.lit(0.0))
+    return Bucketizer(splits=splits, inputCol="v", outputCol=out_col).transform(values)
+
+
+def _ranks(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """The two neighbouring ranks (side 0 and 1) of each percentile of each group."""
+    position = (F.col("total") - 1) * F.col("p")
+    return (
+        counts.groupBy("g")
+        .agg(F.sum("n").alias("total"), (F.sum("s") / F.sum("n")).alias("mean"))
+        .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        .withColumn("share", position - F.floor(position))
+        .select(
+            "g", "mean", "p", "share",
+            F.posexplode(F.array(F.floor(position), F.ceil(position))).alias("side", "rank"),
+        )
+    )
+
+
 def exact_percentiles(
-    df: DataFrame, group_col: str, value_col: str, probs: Sequence[float], bins: int = 1024
+    df: DataFrame,
+    group_col: str,
+    value_col: str,
+    probs: Sequence[float],
+    bins: int = 1024,
+    max_ranked_rows: int = 5_000_000,
+    max_levels: int = 4,
 ) -> DataFrame:
     """Linear-interpolation percentiles ``p50``... and ``mean`` per group, exact at any size.
 
     Approximate quantiles only choose bin edges.  Exact bin counts then say in which bins the
-    wanted ranks lie, and only the distinct values of those bins are ranked; so neither a
-    hot group nor the number of values is held in one task.
+    wanted ranks lie, and only those bins are cut again until they are small.  The values left
+    are counted before they are ranked, so copies of one value are one row.  Neither a hot
+    group nor the number of values is held in one task.
     """
     values = df.select(
         F.col(group_col).alias("g"), F.col(value_col).cast("double").alias("v")
     ).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    cuts = [i / bins for i in range(1, bins)]
-    edges = values.approxQuantile("v", cuts, 0.5 / bins) if cuts else []
-    splits = [-float("inf"), *sorted(set(edges)), float("inf")]
-    if len(splits) > 2:
-        bucketizer = Bucketizer(splits=splits, inputCol="v", outputCol="bin")
-        binned = bucketizer.transform(values)
-    else:
-        binned = values.withColumn("bin", F.lit(0.0))
-
-    by_group = Window.partitionBy("g")
-    earlier = by_group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    counts = (
-        binned.groupBy("g", "bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
-        .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .withColumn("total", F.sum("n").over(by_group))
-        .withColumn("mean", F.sum("s").over(by_group) / F.col("total"))
-    )
-    position = (F.col("total") - 1) * F.col("p")
-    ranks = F.array(F.floor(position), F.ceil(position))
-    # Two rows per group and percentile; written so that Catalyst knows its size.
-    wanted = materialize(
-        counts.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("share", position - F.floor(position))
-        .select("*", F.posexplode(ranks).alias("side", "rank"))
-        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-        .select("g", "bin", "before", "mean", "p", "share", "side", "rank"),
-        "ranks",
-    )
-    bins_wanted = wanted.select("g", "bin").distinct()
-    running = (
-        Window.partitionBy("g", "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    )
+    keys, wanted = ["g"], None
+    for level in range(max_levels):
+        bin_col = f"b{level}"
+        binned = _cut(values, bins, bin_col)
+        earlier = (
+            Window.partitionBy(*keys).orderBy(bin_col).rowsBetween(Window.unboundedPreceding, -1)
+        )
+        counts = (
+            binned.groupBy(*keys, bin_col)
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
+            .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        )
+        if wanted is None:
+            wanted = _ranks(counts, probs)
+        located = (
+            wanted.join(counts.drop("s"), keys)
+            .filter(F.col("rank").between(F.col("before"), F.col("before") + F.col("n") - 1))
+            .withColumn("rank", F.col("rank") - F.col("before"))
+            .drop("before")
+        )
+        # Two rows per group and percentile; written so that Catalyst knows its size.
+        wanted = materialize(located, "ranks")
+        keys.append(bin_col)
+        values = binned.join(wanted.select(*keys).distinct(), keys, "left_semi")
+        largest = wanted.agg(F.max("n")).first()[0] or 0
+        wanted = wanted.drop("n")
+        if largest <= max_ranked_rows:
+            break
+
+    running = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        binned.join(bins_wanted, ["g", "bin"], "left_semi")
-        .groupBy("g", "bin", "v")
+        values.groupBy(*keys, "v")
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("upto", F.sum("copies").over(running))
     )
-    offset = F.col("rank") - F.col("before")
-    inside = (offset < F.col("upto")) & (offset >= F.col("upto") - F.col("copies"))
+    here = (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("copies"))
     low = F.max(F.when(F.col("side") == 0, F.col("v")))
     high = F.max(F.when(F.col("side") == 1, F.col("v")))
     found = (
-        ranked.join(wanted, ["g", "bin"])
-        .filter(inside)
+        ranked.join(wanted, keys)
+        .filter(here)
         .groupBy("g", "p")
-        .agg(
-            F.max("mean").alias("mean"), F.max("share").alias("share"),
-            low.alias("low"), high.alias("high"),
-        )
-        .withColumn("q", F.col("low") + (F.col("high") - F.col("low")) * F.col("share"))
+        .agg(F.max("mean").alias("mean"), (low + (high - low) * F.max("share")).alias("q"))
     )
     columns = [F.max(F.when(F.col("p") == p, F.col("q"))).alias(percentile_name(p)) for p in probs]
     return found.groupBy(F.col("g").alias(group_col)).agg(F.max("mean").alias("mean"), *columns)

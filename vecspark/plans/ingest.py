@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vecspark.functions.text import trip_phrase
@@ -37,10 +37,28 @@ def embed_trips(
     return add_partition_keys(add_provenance(embedded, ingested_at, model_name, dim), ts_col)
 
 
-def ingest_trips(trips: DataFrame, path: str, ingested_at: datetime, dim: int, **names) -> None:
-    """Replace the months present in ``trips``; other months of the table stay."""
-    embedded = embed_trips(trips, ingested_at, dim, **names)
+def ingest_trips(
+    trips: DataFrame,
+    path: str,
+    ingested_at: datetime,
+    dim: int,
+    distance: str = "trip_distance",
+    fare: str = "fare_amount",
+    **names,
+) -> dict[str, int]:
+    """Replace the months present in ``trips``; other months of the table stay.
+
+    Returns the rows loaded and kept, counted while they are written.
+    """
+    audit = Observation("rows")
+    counted = trips.observe(
+        audit,
+        F.count(F.lit(1)).alias("loaded"),
+        F.count_if(trip_is_clean(fare, distance)).alias("kept"),
+    )
+    embedded = embed_trips(counted, ingested_at, dim, distance=distance, fare=fare, **names)
     write_partitioned(embedded, path, ["pickup_year", "pickup_month"])
+    return audit.get
 
 
 def audit_trips(trips: DataFrame, distance: str = "trip_distance", fare: str = "fare_amount") -> DataFrame:

@@ -74,16 +74,16 @@ def search(
     valid, rejected = prepare_requests(requests, default_shard)
     known = F.col("shard_key").isin(index.shards)
     unknown, valid = valid.filter(~known), valid.filter(known)
-    distinct = valid.groupBy("result_key").agg(
-        *[F.first(c).alias(c) for c in ("query", "top_k", "nprobe", "shard_key")]
-    )
+    first = F.min_by(F.struct("query", "top_k", "nprobe", "shard_key"), "request_id")
+    distinct = valid.groupBy("result_key").agg(first.alias("r")).select("result_key", "r.*")
     embedded = embed_queries(distinct, "query").withColumn("shards", F.array("shard_key"))
     vector = l2_normalize("embedding") if index.normalized else F.col("embedding")
     queries = embedded.filter(F.col("embed_status") == "ok").withColumn("query_vector", vector)
     # Encoded once, then read by both probing and scanning.
     queries = queries.select("result_key", "top_k", "nprobe", "shards", "query_vector")
     queries = materialize(queries, "queries")
-    k = queries.agg(F.max("top_k")).first()[0] or DEFAULT_TOP_K
+    n_queries, k = queries.agg(F.count(F.lit(1)), F.max("top_k")).first()
+    k = k or DEFAULT_TOP_K
     names = dict(id_col=id_col, query_cols=["result_key"], shards_col="shards")
     if index.codebooks is None:
         found = ivf_flat_search(
@@ -95,7 +95,6 @@ def search(
         )
     hits = limit_per_request(found, queries, "result_key", "top_k")
     if source is not None and metadata_cols:
-        hits = attach_metadata(hits, source, id_col, metadata_cols)
-    answers = hits.join(valid.select("request_id", "result_key"), "result_key")
-    pages = page_hits(answers, valid, ["request_id"])
+        hits = attach_metadata(hits, source, id_col, metadata_cols, max_hits=n_queries * k)
+    pages = page_hits(hits, valid, ["result_key"], ["request_id"])
     return SearchAnswer(rejected, unknown, hits, pages)
