@@ -124,33 +124,49 @@ def upsert_table(
     spark = feed.sparkSession
     if latest_by:
         feed = latest_per_key(feed, keys, latest_by)
-    else:
+    exists = path_exists(spark, path)
+    if exists:
+        # Read several times below, and its size then decides whether joins broadcast it.
+        feed = materialize(feed, "feed")
+    if not latest_by:
         require_unique_keys(feed, keys)
-    if not path_exists(spark, path):
+    if not exists:
         write_partitioned(feed, path, partition_cols, mode="replace_all")
         return
 
-    # Read several times below, and its size then decides whether joins broadcast it.
-    feed = materialize(feed, "feed")
     target = spark.read.schema(feed.schema).parquet(path)
     matched = target.join(feed.select(*keys), list(keys), "left_semi").select(*partition_cols)
-    received = feed.select(*partition_cols)
     # One row per touched partition directory.
-    touched = matched.union(received).distinct().collect()
+    touched = (
+        matched.withColumn("_received", F.lit(False))
+        .unionByName(feed.select(*partition_cols).withColumn("_received", F.lit(True)))
+        .groupBy(*partition_cols)
+        .agg(F.max("_received").alias("_received"))
+        .collect()
+    )
     if not touched:
         return
-    old = target.filter(_any_partition(touched, partition_cols))
+    partitions = [row[:-1] for row in touched]
+    old = target.filter(_any_partition(partitions, partition_cols))
     merged = materialize(merge(old, feed, keys, skip_unchanged, ignore=ignore), "merge")
-    filled = set(merged.select(*partition_cols).distinct().collect())
     write_partitioned(merged, path, partition_cols)
+    _drop_emptied(path, merged, [row[:-1] for row in touched if not row[-1]], partition_cols)
+
 
-    emptied = [row for row in touched if row not in filled]
-    if emptied:
-        left = spark.read.schema(feed.schema).parquet(path)
-        left = left.filter(_any_partition(emptied, partition_cols))
-        folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-        for row in left.select(folder.alias("folder")).distinct().collect():
-            delete_path(spark, spark.sparkContext._jvm.java.net.URI(row.folder))
+def _drop_emptied(path: str, merged: DataFrame, left: list, partition_cols: Sequence[str]) -> None:
+    """Remove partitions whose rows all moved elsewhere; overwriting others leaves them behind."""
+    if not left:
+        return
+    spark = merged.sparkSession
+    filled = merged.filter(_any_partition(left, partition_cols)).select(*partition_cols)
+    still = {tuple(row) for row in filled.distinct().collect()}
+    emptied = [row for row in left if tuple(row) not in still]
+    if not emptied:
+        return
+    old = spark.read.schema(merged.schema).parquet(path)
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")
+    for row in old.filter(_any_partition(emptied, partition_cols)).select(folder).distinct().collect():
+        delete_path(spark, spark.sparkContext._jvm.java.net.URI(row.folder))
 
 
 def version_history(
