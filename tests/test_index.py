@@ -168,6 +168,13 @@ def test_index_store_versions_and_shards(spark, index):
     assert index_store.load_index(spark, path, version=1).postings.count() == len(x)
     one = index_store.load_index(spark, path, version=1, shard="01")
     assert one.postings.count() == sum(1 for r in sharded.filter("shard_key = '01'").collect())
+    described = {r.shard_key: r for r in index_store.describe_index(first).collect()}
+    assert sorted(described) == ["00", "01", "02"]
+    assert sum(r.total_vectors for r in described.values()) == len(x)
+    assert {(r.index_type, r.dimension, r.is_trained) for r in described.values()} == {
+        (f"IVF{NLIST},Flat", 32, True)
+    }
+    assert all(r.index_size_bytes > 0 and "shard_key=" in r.index_path for r in described.values())
     with pytest.raises(index_store.UnknownShardError, match="available"):
         index_store.load_index(spark, path, shard="nope")
 

@@ -36,6 +36,16 @@ def test_partitioned_overwrite_keeps_other_months(spark):
     assert sorted(map(tuple, catalog.collect())) == [("01", 1), ("02", 2)]
 
 
+def test_clear_workspace_removes_only_own_files(spark, tmp_path):
+    other = str(tmp_path / "other")
+    spark.range(3).write.parquet(other)
+    path = workspace.new_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert workspace.path_exists(spark, path)
+    workspace.clear_workspace(spark)
+    assert not workspace.path_exists(spark, path) and workspace.path_exists(spark, other)
+
+
 def test_preview_reads_only_its_columns(spark):
     path = workspace.new_path(spark, "wide")
     spark.range(20).selectExpr("id", "id * 2 AS a", "id * 3 AS b").write.parquet(path)

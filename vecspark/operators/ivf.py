@@ -18,6 +18,7 @@ from vecspark.operators.scan import dense, rounding_slack, scan_topk, squared_di
 # Training size rules.
 MAX_TRAINING_VECTORS = 1_000_000
 VECTORS_PER_CENTROID = 39
+MAX_VECTORS_PER_CENTROID = 256
 MAX_MODEL_BYTES = 1024 * 1024 * 1024
 
 
@@ -42,15 +43,19 @@ def train_centroids(
     max_iter: int = 20,
     max_training_vectors: int = MAX_TRAINING_VECTORS,
 ) -> DataFrame:
-    """Coarse quantiser as a table ``cell, centroid`` of at most ``nlist`` rows."""
-    sample, total = training_sample(vectors, id_col, max_training_vectors, seed)
+    """Coarse quantiser as a table ``cell, centroid`` of at most ``nlist`` rows.
+
+    More than ``MAX_VECTORS_PER_CENTROID`` training vectors per centroid add nothing.
+    """
+    max_rows = min(max_training_vectors, MAX_VECTORS_PER_CENTROID * nlist)
+    sample, total = training_sample(vectors, id_col, max_rows, seed)
     if total < nlist * VECTORS_PER_CENTROID:
         warnings.warn(
             f"{total} vectors for {nlist} centroids; {nlist * VECTORS_PER_CENTROID} are advised",
             stacklevel=2,
         )
     features = sample.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
-    model = KMeans(k=nlist, seed=seed, maxIter=max_iter).fit(features)
+    model = KMeans(k=nlist, seed=seed, maxIter=max_iter, solver="block").fit(features)
     rows = [(cell, centre.tolist()) for cell, centre in enumerate(model.clusterCenters())]
     return vectors.sparkSession.createDataFrame(rows, "cell int, centroid array<double>")
 

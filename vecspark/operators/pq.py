@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from vecspark.functions.vectors import squared_l2
 from vecspark.operators.ivf import (
     MAX_TRAINING_VECTORS,
+    MAX_VECTORS_PER_CENTROID,
     model_matrix,
     probe_cells,
     probe_groups,
@@ -25,6 +26,9 @@ from vecspark.operators.knn import best_per_query
 from vecspark.operators.scan import dense, scan_topk, squared_distances
 
 
+_ENCODE_ROWS = 2048
+
+
 def check_parameters(dim: int, m: int, nbits: int) -> None:
     if dim % m:
         raise ValueError(f"dimension {dim} is not divisible by m={m}")
@@ -39,10 +43,16 @@ def _residuals(batch, vec_at: int, cell_at: int, cells: np.ndarray, centroids: n
 
 
 def _codes(residuals: np.ndarray, codebooks: np.ndarray) -> np.ndarray:
+    """Nearest codeword per sub-space; a row's own length does not change which is nearest."""
     m, _, width = codebooks.shape
     parts = residuals.reshape(len(residuals), m, width)
-    nearest = [squared_distances(parts[:, s], codebooks[s]).argmin(axis=1) for s in range(m)]
-    return np.stack(nearest, axis=1).astype(np.uint8)
+    codes = np.empty((len(residuals), m), dtype=np.uint8)
+    for s, book in enumerate(codebooks):
+        lengths = (book * book).sum(axis=1)
+        for i in range(0, len(parts), _ENCODE_ROWS):
+            rows = parts[i : i + _ENCODE_ROWS, s]
+            codes[i : i + _ENCODE_ROWS, s] = (lengths - 2.0 * (rows @ book.T)).argmin(axis=1)
+    return codes
 
 
 def train_codebooks(
@@ -67,7 +77,8 @@ def train_codebooks(
     context = postings.sparkSession.sparkContext
     model = context.broadcast((cells, matrix))
     columns = postings.select(id_col, "cell", vec_col).filter(F.size(vec_col) == dim)
-    sample, _ = training_sample(columns, id_col, max_training_vectors, seed)
+    max_rows = min(max_training_vectors, MAX_VECTORS_PER_CENTROID * size)
+    sample, _ = training_sample(columns, id_col, max_rows, seed)
     sample = sample.persist()
     try:
         start = sample.orderBy(F.xxhash64(id_col, F.lit(seed)), id_col).limit(size).toArrow()
@@ -96,8 +107,9 @@ def _lloyd_round(sample: DataFrame, model, shared, codebooks: np.ndarray) -> np.
             parts = residuals.reshape(len(residuals), m, width)
             codes = _codes(residuals, books)
             for s in range(m):
-                np.add.at(sums[s], codes[:, s], parts[:, s])
                 counts[s] += np.bincount(codes[:, s], minlength=size)
+                for j in range(width):
+                    sums[s, :, j] += np.bincount(codes[:, s], parts[:, s, j], minlength=size)
         flat = pa.ListArray.from_arrays(
             np.arange(0, m * size * width + 1, width, dtype=np.int32), sums.ravel()
         )

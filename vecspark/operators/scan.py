@@ -28,7 +28,9 @@ MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 MAX_PUSHED_GROUPS = 10_000
 VECTOR_BLOCK_ROWS = 50_000
 QUERY_BLOCK_ROWS = 4096
-_SCORE_ROWS = 8192
+_BATCH_ROWS = 8192
+# Distances computed at a time, so that they stay in the processor's cache.
+_SCORE_CELLS = 1 << 19
 
 # A kernel reads what it needs from a batch and scores rows of one group against queries:
 # score(data, rows, group_key, query_positions) -> (distances, exact or None), where
@@ -87,13 +89,14 @@ class RunningTopK:
         self.found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def add(self, ids, distances, slack, exact, positions) -> None:
-        distances = np.where(np.isfinite(distances), distances, np.inf)
-        n_rows = distances.shape[0]
         limit = self.worst[positions]
-        if n_rows > self.k:
-            kth = np.partition(distances, self.k - 1, axis=0)[self.k - 1]
-            limit = np.minimum(limit, kth)
-        near = (distances <= limit + slack) & np.isfinite(distances)
+        if not np.isfinite(limit).all():
+            distances = np.where(np.isfinite(distances), distances, np.inf)
+            if distances.shape[0] > self.k:
+                kth = np.partition(distances, self.k - 1, axis=0)[self.k - 1]
+                limit = np.minimum(limit, kth)
+            limit = np.minimum(limit, np.finfo(np.float64).max)
+        near = distances <= limit + slack
         for j in np.flatnonzero(near.any(axis=0)):
             at = np.flatnonzero(near[:, j])
             d = exact(at, j) if exact else distances[at, j]
@@ -155,8 +158,9 @@ def scan_batch(batch, id_col, group_cols, positions_of, kernel: Kernel, best: Ru
         positions = positions_of(key)
         if positions is None or not len(positions):
             continue
-        for start in range(0, len(rows), _SCORE_ROWS):
-            part = rows[start : start + _SCORE_ROWS]
+        step = min(max(_SCORE_CELLS // len(positions), 256), _BATCH_ROWS)
+        for start in range(0, len(rows), step):
+            part = rows[start : start + step]
             distances, slack, exact = score(data, part, key, positions)
             best.add(ids[part], distances, slack, exact, positions)
 
@@ -321,7 +325,7 @@ def _grid_scan(
         if queries.num_rows and block.num_rows:
             kernel = make_kernel(payload_col, dense(queries.column(query_vec_col)))
             everyone = np.arange(queries.num_rows)
-            for batch in block.combine_chunks().to_batches(max_chunksize=_SCORE_ROWS):
+            for batch in block.combine_chunks().to_batches(max_chunksize=_BATCH_ROWS):
                 scan_batch(batch, id_col, group_cols, lambda _key: everyone, kernel, best)
         return pa.Table.from_arrays(_output(schema, values, best), names=schema.fieldNames())
 

@@ -25,6 +25,8 @@ _VERSIONS = (
 class StoredIndex:
     version: int
     dim: int
+    nlist: int
+    m: int | None
     normalized: bool
     centroids: DataFrame
     postings: DataFrame
@@ -110,6 +112,24 @@ def load_index(
         postings, shards = postings.filter(F.col("shard_key") == shard), [shard]
     codebooks = spark.read.parquet(f"{root}/codebooks") if info.m else None
     return StoredIndex(
-        version, info.dim, info.normalized, spark.read.parquet(f"{root}/centroids"), postings,
+        version, info.dim, info.nlist, info.m, info.normalized, spark.read.parquet(f"{root}/centroids"), postings,
         codebooks, shards,
     )
+
+
+def describe_index(index: StoredIndex) -> DataFrame:
+    """One row per shard: vectors, dimension, type, training state, folder and bytes on disk."""
+    kind = f"IVF{index.nlist}," + ("Flat" if index.m is None else f"PQ{index.m}")
+    files = index.postings.groupBy(
+        "shard_key",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("bytes"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return files.groupBy("shard_key").agg(
+        F.sum("n").alias("total_vectors"),
+        F.lit(index.dim).alias("dimension"),
+        F.lit(kind).alias("index_type"),
+        F.lit(True).alias("is_trained"),
+        F.min(F.regexp_replace("file", "/[^/]*$", "")).alias("index_path"),
+        F.sum("bytes").alias("index_size_bytes"),
+    )

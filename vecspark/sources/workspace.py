@@ -26,9 +26,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/vecspark/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/vecspark/{label}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_workspace(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder, once its results are used."""
+    delete_path(spark, _own_dir(spark))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
