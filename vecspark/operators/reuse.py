@@ -54,8 +54,8 @@ def replay_ttl(
     id_col: str,
     ttl_seconds: int = DEFAULT_TTL_SECONDS,
     hot_instants: int = 4096,
-    chunk_ttls: int = 64,
-    chunks_per_span: int = 64,
+    chunk_ttls: int = 16,
+    fan: int = 16,
 ) -> DataFrame:
     """Requests with ``cache_hit`` for a cache that each miss fills for ``ttl_seconds``.
 
@@ -64,10 +64,11 @@ def replay_ttl(
     without a key is always a miss.
 
     Keys with few instants are folded as arrays.  The time line of a hot key is cut into
-    chunks: each chunk yields a small map from the expiry it is entered with to its last
-    fill, the maps are chained (over spans of chunks, then over the spans), and then each
-    chunk replays its fills from the expiry now known.  No group holds more than
-    ``chunk_ttls`` lifetimes of one key.
+    chunks of ``chunk_ttls`` lifetimes.  Each chunk yields a map from the expiry it is entered
+    with to its last fill; ``fan`` neighbouring maps become one, again and again, until few
+    are left; then the expiries are handed back down and each chunk replays its fills.  A map
+    has one row per distinct instant of one lifetime at most, so no group holds more than
+    ``chunk_ttls`` or ``fan`` lifetimes of one key, however many requests it has.
     """
     ttl = ttl_seconds * 1_000_000
     instants = materialize(
@@ -82,7 +83,7 @@ def replay_ttl(
     fills = _fold_keys(instants.join(hot_keys, "key", "left_anti"), ttl)
     if not hot_keys.isEmpty():
         hot = instants.join(hot_keys, "key", "left_semi")
-        fills = fills.unionByName(_replay_chunks(hot, ttl, chunk_ttls, chunks_per_span))
+        fills = fills.unionByName(_replay_chunks(hot, ttl, chunk_ttls, fan))
     fills = fills.select(F.col("id").alias(id_col), F.lit(True).alias("_fill"))
     joined = requests.join(fills, id_col, "left")
     hit = F.col("_fill").isNull() & F.col(key_col).isNotNull()
@@ -148,10 +149,9 @@ def _walk(entry: np.ndarray, maps, ttl: int) -> tuple[np.ndarray, list[np.ndarra
     return entry, before
 
 
-def _maps_in_order(pdf: pd.DataFrame, by: str):
-    ordered = pdf.sort_values([by, "bound"])
+def _maps_in_order(pdf: pd.DataFrame):
     positions, maps = [], []
-    for position, part in ordered.groupby(by, sort=True):
+    for position, part in pdf.sort_values(["position", "bound"]).groupby("position", sort=True):
         positions.append(position)
         maps.append((part["bound"].to_numpy(), part["fill"].to_numpy()))
     return positions, maps
@@ -168,42 +168,37 @@ def _chain(maps, ttl: int) -> tuple[np.ndarray, np.ndarray]:
     return _runs(bounds, fills)
 
 
-def _replay_chunks(hot: DataFrame, ttl: int, chunk_ttls: int, chunks_per_span: int) -> DataFrame:
+def _replay_chunks(hot: DataFrame, ttl: int, chunk_ttls: int, fan: int) -> DataFrame:
     width = ttl * chunk_ttls
+    chunked = hot.withColumn("position", F.expr(f"(us - pmod(us, {width}L)) div {width}L"))
+    parent = F.floor(F.col("position") / F.lit(fan)).cast("bigint")
     key = T.StructField("key", hot.schema["key"].dataType)
-    spanned = hot.withColumn("chunk", F.floor(F.col("us") / F.lit(width)).cast("bigint"))
-    spanned = spanned.withColumn("span", F.floor(F.col("chunk") / chunks_per_span).cast("bigint"))
 
     def schema(*names):
         return T.StructType([key, *[T.StructField(n, T.LongType()) for n in names]])
 
-    def map_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-        us = np.sort(pdf["us"].to_numpy())
-        chunk = int(pdf["chunk"].iloc[0])
-        bounds, fills = _map_chunk(us, chunk * width, ttl)
+    def map_rows(pdf, position, bounds, fills):
         return pd.DataFrame(
-            {"key": pdf["key"].iloc[0], "span": pdf["span"].iloc[0], "chunk": chunk,
-             "bound": bounds, "fill": fills}
-        )
+            {"key": pdf["key"].iloc[0], "position": position, "bound": bounds, "fill": fills}
+        )
 
-    def map_span(pdf: pd.DataFrame) -> pd.DataFrame:
-        _, maps = _maps_in_order(pdf, "chunk")
-        bounds, fills = _chain(maps, ttl)
+    def map_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
+        position = int(pdf["position"].iloc[0])
+        bounds, fills = _map_chunk(np.sort(pdf["us"].to_numpy()), position * width, ttl)
+        return map_rows(pdf, position, bounds, fills)
+
+    def join_maps(pdf: pd.DataFrame) -> pd.DataFrame:
+        bounds, fills = _chain(_maps_in_order(pdf)[1], ttl)
+        return map_rows(pdf, int(pdf["parent"].iloc[0]), bounds, fills)
+
+    def enter(pdf: pd.DataFrame) -> pd.DataFrame:
+        start = pdf["entry"].iloc[0] if "entry" in pdf else _NEVER
+        positions, maps = _maps_in_order(pdf)
+        before = _walk(np.array([start], dtype=np.int64), maps, ttl)[1]
         return pd.DataFrame(
-            {"key": pdf["key"].iloc[0], "span": pdf["span"].iloc[0], "bound": bounds, "fill": fills}
+            {"key": pdf["key"].iloc[0], "position": positions, "entry": [int(e[0]) for e in before]}
         )
 
-    def enter(by: str):
-        def entries(pdf: pd.DataFrame) -> pd.DataFrame:
-            start = pdf["entry"].iloc[0] if "entry" in pdf else _NEVER
-            positions, maps = _maps_in_order(pdf, by)
-            before = _walk(np.array([start], dtype=np.int64), maps, ttl)[1]
-            return pd.DataFrame(
-                {"key": pdf["key"].iloc[0], by: positions, "entry": [int(e[0]) for e in before]}
-            )
-
-        return entries
-
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("us")
         us, nxt = pdf["us"].to_numpy(), _successors(pdf["us"].to_numpy(), ttl)
@@ -213,24 +208,29 @@ def _replay_chunks(hot: DataFrame, ttl: int, chunk_ttls: int, chunks_per_span: i
             at = int(nxt[at])
         return pdf.iloc[chosen][["id"]]
 
-    chunk_maps = materialize(
-        spanned.groupBy("key", "chunk").applyInPandas(
-            map_chunk, schema("span", "chunk", "bound", "fill")
-        ),
-        "ttl-maps",
-    )
-    span_maps = chunk_maps.groupBy("key", "span").applyInPandas(
-        map_span, schema("span", "bound", "fill")
-    )
-    # One short map per span remains for a key.
-    span_entries = span_maps.groupBy("key").applyInPandas(enter("span"), schema("span", "entry"))
-    chunk_entries = (
-        chunk_maps.join(span_entries, ["key", "span"])
-        .groupBy("key", "span")
-        .applyInPandas(enter("chunk"), schema("chunk", "entry"))
-    )
+    map_schema, entry_schema = schema("position", "bound", "fill"), schema("position", "entry")
+    first, last = chunked.agg(F.min("position"), F.max("position")).first()
+    levels = [
+        materialize(
+            chunked.groupBy("key", "position").applyInPandas(map_chunk, map_schema), "ttl-maps"
+        )
+    ]
+    while last - first >= fan:
+        first, last = first // fan, last // fan
+        grouped = levels[-1].withColumn("parent", parent).groupBy("key", "parent")
+        levels.append(materialize(grouped.applyInPandas(join_maps, map_schema), "ttl-maps"))
+
+    entries = levels[-1].groupBy("key").applyInPandas(enter, entry_schema)
+    for maps in reversed(levels[:-1]):
+        above = entries.withColumnRenamed("position", "parent")
+        entries = (
+            maps.withColumn("parent", parent)
+            .join(above, ["key", "parent"])
+            .groupBy("key", "parent")
+            .applyInPandas(enter, entry_schema)
+        )
     return (
-        spanned.join(chunk_entries, ["key", "chunk"])
-        .groupBy("key", "chunk")
+        chunked.join(entries, ["key", "position"])
+        .groupBy("key", "position")
         .applyInPandas(replay, T.StructType([hot.schema["id"]]))
     )

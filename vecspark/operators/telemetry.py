@@ -342,7 +342,9 @@ def sustained_alerts(
     return (
         windows.filter(breach)
         .withColumn("_starts", starts_run.cast("int"))
-        .withColumn("_run", F.sum("_starts").over(by_time))
+        .withColumn(
+            "_run", F.sum("_starts").over(by_time.rowsBetween(Window.unboundedPreceding, 0))
+        )
         .groupBy(series_col, "_run")
         .agg(
             F.min(start_col).alias("breach_start"),
@@ -351,7 +353,7 @@ def sustained_alerts(
         )
         .filter(F.col("n_windows") >= hold_windows)
         .withColumn(
-            "fired_at", F.col("breach_start") + F.expr(f"interval {width}") * (hold_windows)
+            "fired_at", F.col("breach_start") + width_interval * hold_windows
         )
         .drop("_run")
     )
