@@ -1,6 +1,6 @@
 """Ingest, index and search composed."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,15 +78,20 @@ def test_search_answers_requests(spark, trips, m):
         ],
         "request_id int, query string, top_k int, shard_key string, nprobe int, page int, page_size int",
     )
-    answer = search(
-        requests,
-        load_index(spark, path),
-        lambda df, column: hash_embed(df, column, DIM),
-        default_shard="2023-01",
-        source=embedded,
-        metadata_cols=["PULocationID"],
-        id_col="record_id",
-    )
+    index, asked_at = load_index(spark, path), datetime(2026, 1, 1)
+    asked = []
+
+    def embed_queries(df, column):
+        asked.append(df.count())
+        return hash_embed(df, column, DIM)
+
+    def run(**reuse):
+        return search(
+            requests, index, embed_queries, default_shard="2023-01", source=embedded,
+            metadata_cols=["PULocationID"], id_col="record_id", **reuse,
+        )
+
+    answer = run(asked_at=asked_at)
     assert [r.request_id for r in answer.rejected.collect()] == [3]
     assert [r.request_id for r in answer.unknown_shards.collect()] == [4]
     hits = answer.hits.collect()
@@ -102,6 +107,13 @@ def test_search_answers_requests(spark, trips, m):
     assert len(pages[5]) == 10 and pages[5][0][1:] == (20, True)
     assert set(pages) == {1, 2, 5}
 
+    # Within its lifetime a stored result is used again, afterwards it is not.
+    stored = answer.hits
+    again = run(stored=stored, asked_at=asked_at + timedelta(seconds=299))
+    assert sorted(map(str, again.pages.collect())) == sorted(map(str, answer.pages.collect()))
+    late = run(stored=stored, asked_at=asked_at + timedelta(seconds=300))
+    assert late.hits.count() == 25 and asked == [2, 0, 2]
+
 
 def _key(answer, request_id):
     return answer.pages.filter(F.col("request_id") == request_id).first().result_key

@@ -56,6 +56,14 @@ def test_unusable_vectors_and_string_ids(spark):
     assert [(r.id, r.distance) for r in found.orderBy("rank").collect()] == [("a", 0.0), ("f", 2.0)]
 
 
+def test_query_lengths_must_agree(spark):
+    queries = spark.createDataFrame(
+        [(0, [1.0, 1.0]), (1, [1.0])], "query_id int, query_vector array<float>"
+    )
+    with pytest.raises(ValueError, match="length"):
+        knn.exact_knn(vector_frame(spark, np.ones((3, 2))), queries, 5)
+
+
 def test_no_queries(spark):
     empty = spark.createDataFrame([], "query_id int, query_vector array<float>")
     vectors = vector_frame(spark, np.ones((3, 2)))

@@ -9,11 +9,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark.operators.scan import dense, rounding_slack, scan_topk, squared_distances
+from vecspark.sources.workspace import materialize
 
 # Training size rules.
 MAX_TRAINING_VECTORS = 1_000_000
@@ -56,8 +57,17 @@ def train_centroids(
         )
     features = sample.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter, solver="block").fit(features)
-    rows = [(cell, centre.tolist()) for cell, centre in enumerate(model.clusterCenters())]
-    return vectors.sparkSession.createDataFrame(rows, "cell int, centroid array<double>")
+    centres = np.stack(model.clusterCenters())
+    cells = np.arange(len(centres), dtype=np.int32)
+    return model_table(vectors.sparkSession, {"cell": cells}, "centroid", centres)
+
+
+def model_table(spark: SparkSession, keys: dict[str, np.ndarray], name: str, rows: np.ndarray):
+    """A trained model as a written table: key columns and one vector per row."""
+    offsets = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
+    vectors = pa.ListArray.from_arrays(offsets, np.ascontiguousarray(rows).ravel())
+    table = pa.table({**{k: pa.array(v) for k, v in keys.items()}, name: vectors})
+    return materialize(spark.createDataFrame(table), name)
 
 
 def model_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:

@@ -18,6 +18,7 @@ from vecspark.operators.ivf import (
     MAX_TRAINING_VECTORS,
     MAX_VECTORS_PER_CENTROID,
     model_matrix,
+    model_table,
     probe_cells,
     probe_groups,
     training_sample,
@@ -89,10 +90,9 @@ def train_codebooks(
             codebooks = _lloyd_round(sample, model, context.broadcast(codebooks), codebooks)
     finally:
         sample.unpersist()
-    rows = [
-        (s, c, codebooks[s, c].tolist()) for s in range(m) for c in range(size)
-    ]
-    return postings.sparkSession.createDataFrame(rows, "sub int, code int, codeword array<double>")
+    sub, code = np.indices((m, size), dtype=np.int32)
+    keys = {"sub": sub.ravel(), "code": code.ravel()}
+    return model_table(postings.sparkSession, keys, "codeword", codebooks.reshape(m * size, -1))
 
 
 def _lloyd_round(sample: DataFrame, model, shared, codebooks: np.ndarray) -> np.ndarray:

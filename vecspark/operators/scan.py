@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -231,6 +232,8 @@ def _broadcast_scan(
     spark = vectors.sparkSession
     if head.num_rows == 0:
         return spark.createDataFrame([], schema)
+    if len(pc.unique(pc.list_value_length(head.column(query_vec_col)))) > 1:
+        raise ValueError("query vectors differ in length")
     query_values = [head.column(c).to_pylist() for c in query_cols]
     matrix = dense(head.column(query_vec_col))
     groups: dict[tuple, list[int]] | None = None

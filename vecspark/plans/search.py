@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from vecspark.operators.ivf import ivf_flat_search
 from vecspark.operators.knn import limit_per_request
 from vecspark.operators.pq import ivfpq_search
 from vecspark.operators.results import attach_metadata, page_hits
+from vecspark.operators.reuse import DEFAULT_TTL_SECONDS
 from vecspark.sources.index_store import StoredIndex
 from vecspark.sources.workspace import materialize
 
@@ -66,17 +68,31 @@ def search(
     metadata_cols: Sequence[str] = (),
     id_col: str = "id",
     vec_col: str = "embedding",
+    stored: DataFrame | None = None,
+    asked_at: datetime | None = None,
+    ttl_seconds: int = DEFAULT_TTL_SECONDS,
 ) -> SearchAnswer:
     """Answer ``request_id, query, top_k, shard_key, nprobe, page, page_size`` rows.
 
-    Equal requests are searched once.  ``embed_queries(df, column)`` adds ``embedding``.
+    Equal requests are searched once, and not at all when ``stored`` (the hits of earlier
+    runs) has a result that is still alive at ``asked_at``.  ``embed_queries(df, column)``
+    adds ``embedding`` and ``embed_status``.
     """
+    asked_at = asked_at or datetime.now(timezone.utc).replace(tzinfo=None)
+    asked = F.lit(asked_at.isoformat(sep=" ")).cast("timestamp_ntz")
     valid, rejected = prepare_requests(requests, default_shard)
     known = F.col("shard_key").isin(index.shards)
     unknown, valid = valid.filter(~known), valid.filter(known)
     first = F.min_by(F.struct("query", "top_k", "nprobe", "shard_key"), "request_id")
-    distinct = valid.groupBy("result_key").agg(first.alias("r")).select("result_key", "r.*")
-    embedded = embed_queries(distinct, "query").withColumn("shards", F.array("shard_key"))
+    wanted = valid.groupBy("result_key").agg(first.alias("r")).select("result_key", "r.*")
+    reused = None
+    if stored is not None:
+        oldest = F.lit((asked_at - timedelta(seconds=ttl_seconds)).isoformat(sep=" "))
+        alive = (F.col("filled_at") > oldest.cast("timestamp_ntz")) & (F.col("filled_at") <= asked)
+        reused = stored.filter(alive).join(wanted.select("result_key"), "result_key", "left_semi")
+        wanted = wanted.join(reused.select("result_key"), "result_key", "left_anti")
+
+    embedded = embed_queries(wanted, "query").withColumn("shards", F.array("shard_key"))
     vector = l2_normalize("embedding") if index.normalized else F.col("embedding")
     queries = embedded.filter(F.col("embed_status") == "ok").withColumn("query_vector", vector)
     # Encoded once, then read by both probing and scanning.
@@ -96,5 +112,9 @@ def search(
     hits = limit_per_request(found, queries, "result_key", "top_k")
     if source is not None and metadata_cols:
         hits = attach_metadata(hits, source, id_col, metadata_cols, max_hits=n_queries * k)
+    # Searched once: pages and later runs read the written result.
+    hits = materialize(hits.withColumn("filled_at", asked), "hits")
+    if reused is not None:
+        hits = hits.unionByName(reused)
     pages = page_hits(hits, valid, ["result_key"], ["request_id"])
     return SearchAnswer(rejected, unknown, hits, pages)
