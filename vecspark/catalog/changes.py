@@ -118,13 +118,13 @@ def _change_log(spark, sf):
 
 LOG_SQL = """
 WITH log AS (
-  SELECT o_orderkey, o_totalprice AS price, 'insert' AS op, year(o_orderdate) - 1994 AS version
+  SELECT o_orderkey, o_totalprice AS price, 'insert' AS op, (year(o_orderdate) - 1994)::INTEGER AS version
   FROM orders
   UNION ALL
-  SELECT o_orderkey, o_totalprice * 1.1, 'update', year(o_orderdate) - 1993
+  SELECT o_orderkey, o_totalprice * 1.1, 'update', (year(o_orderdate) - 1993)::INTEGER
   FROM orders WHERE o_orderstatus = 'F'
   UNION ALL
-  SELECT o_orderkey, o_totalprice, 'delete', year(o_orderdate) - 1992
+  SELECT o_orderkey, o_totalprice, 'delete', (year(o_orderdate) - 1992)::INTEGER
   FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW')"""
 
 

@@ -376,10 +376,10 @@ def q_request_log_projection(spark, sf):
 
 QUERIES["request_log_projection"] = q_request_log_projection
 ORACLES["request_log_projection"] = """
-SELECT doc_id, length(text) AS query_length, n_chars % 100 + 1 AS top_k,
+SELECT doc_id, length(text)::INTEGER AS query_length, n_chars % 100 + 1 AS top_k,
        CASE WHEN lang <> 'en' THEN lang ELSE 'default' END AS shard_key,
        CASE WHEN source <> 'src0' THEN n_chars % 256 + 1 ELSE 0 END AS nprobe,
-       source = 'src1' AS cache_hit, n_chars % 11 AS result_count
+       source = 'src1' AS cache_hit, (n_chars % 11)::INTEGER AS result_count
 FROM documents"""
 
 

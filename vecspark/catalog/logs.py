@@ -213,19 +213,23 @@ SELECT window_start, requests, errors, round(1 - ratio, 6) AS availability,
 FROM rates"""
 
 
+def day_of(ts_col):
+    return F.date_trunc("day", ts_col).cast("timestamp_ntz")
+
+
 def q_incident_severity(spark, sf):
     """Per day; each hour with a failure breach counts as an hour of open breaker."""
-    log = replayed(spark, sf).withColumn("day", F.date_trunc("day", "ts"))
+    log = replayed(spark, sf).withColumn("day", day_of("ts"))
     days = log.groupBy("day").agg(
         F.count(F.lit(1)).alias("requests"),
         F.avg(slow_error().cast("int")).alias("error_rate"),
         F.avg(F.col("cache_hit").cast("int")).alias("hit_rate"),
     )
     latency = exact_percentiles(
-        events(spark, sf).withColumn("day", F.date_trunc("day", "ts")), "day", "value", [0.99]
+        events(spark, sf).withColumn("day", day_of("ts")), "day", "value", [0.99]
     ).drop("mean")
     breaches = failure_breach(events(spark, sf), "ts", is_error(), "1 hour")
-    open_hours = breaches.groupBy(F.date_trunc("day", "window_start").alias("day")).agg(
+    open_hours = breaches.groupBy(day_of("window_start").alias("day")).agg(
         F.count(F.lit(1)).alias("open_hours")
     )
     joined = days.join(latency, "day").join(open_hours, "day", "left")

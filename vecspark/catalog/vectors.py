@@ -69,7 +69,7 @@ means AS (
 pairs AS (SELECT query_id, vec_id, label, pow(list_distance(query_vector, v), 2) AS distance
           FROM queries, vectors),
 exact AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id))::INTEGER AS rank
   FROM pairs),
 postings AS (
   SELECT vec_id, label, cell, distance AS cell_distance FROM (
@@ -169,7 +169,7 @@ def q_filtered_knn(spark, sf):
 QUERIES["filtered_knn"] = q_filtered_knn
 ORACLES["filtered_knn"] = f"""{BASE_SQL}
 SELECT query_id, vec_id, round(distance, 6) AS distance,
-       row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank
+       (row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id))::INTEGER AS rank
 FROM pairs WHERE label IN (1, 3, 5) QUALIFY rank <= {K}"""
 
 
@@ -184,7 +184,7 @@ def q_fanout_knn(spark, sf):
 QUERIES["fanout_knn"] = q_fanout_knn
 ORACLES["fanout_knn"] = f"""{BASE_SQL}
 SELECT query_id, vec_id, round(distance, 6) AS distance,
-       row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank
+       (row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id))::INTEGER AS rank
 FROM pairs WHERE label IN (query_id, (query_id + 1) % 10) QUALIFY rank <= {K}"""
 
 
@@ -253,7 +253,7 @@ def q_ivf_flat_search(spark, sf):
 QUERIES["ivf_flat_search"] = q_ivf_flat_search
 ORACLES["ivf_flat_search"] = f"""{BASE_SQL}
 SELECT query_id, vec_id, round(distance, 6) AS distance,
-       row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank
+       (row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id))::INTEGER AS rank
 FROM candidates WHERE probe_rank <= {NPROBE} QUALIFY rank <= {K}"""
 
 
