@@ -99,6 +99,11 @@ def test_search_answers_requests(spark, trips, m):
     best = min((r for r in hits if r.result_key.startswith(_key(answer, 1))), key=lambda r: r["rank"])
     if m is None:
         assert best.distance == pytest.approx(0, abs=1e-6)
+    else:
+        exact = run(asked_at=asked_at, rerank_factor=100).hits.filter(F.col("rank") == 1)
+        first = exact.filter(F.col("result_key") == best.result_key).first()
+        assert first.distance == pytest.approx(0, abs=1e-6)
+        asked.pop()
     pages = {}
     for r in answer.pages.collect():
         pages.setdefault(r.request_id, []).append((r["rank"], r.total_results, r.has_next))

@@ -24,6 +24,7 @@ from vecspark.operators.ivf import (
     training_sample,
 )
 from vecspark.operators.knn import best_per_query
+from vecspark.operators.results import MAX_BROADCAST_HITS
 from vecspark.operators.scan import dense, scan_topk, squared_distances
 
 
@@ -235,8 +236,15 @@ def rerank(
     vec_col: str = "embedding",
     query_cols: Sequence[str] = ("query_id",),
     query_vec_col: str = "query_vector",
+    max_hits: int | None = None,
 ) -> DataFrame:
-    """Exact distances for approximate hits, then the k best."""
+    """Exact distances for approximate hits, then the k best.
+
+    ``max_hits`` is the caller's bound on the hits; within the broadcast limit the vectors
+    are then not shuffled.
+    """
+    if max_hits is not None and max_hits <= MAX_BROADCAST_HITS:
+        hits = F.broadcast(hits)
     exact = (
         vectors.select(id_col, vec_col)
         .join(hits.drop("distance", "rank"), id_col)

@@ -20,7 +20,7 @@ from vecspark.functions.requests import (
 from vecspark.functions.vectors import l2_normalize
 from vecspark.operators.ivf import ivf_flat_search
 from vecspark.operators.knn import limit_per_request
-from vecspark.operators.pq import ivfpq_search
+from vecspark.operators.pq import ivfpq_search, rerank
 from vecspark.operators.results import attach_metadata, page_hits
 from vecspark.operators.reuse import DEFAULT_TTL_SECONDS
 from vecspark.sources.index_store import StoredIndex
@@ -71,12 +71,14 @@ def search(
     stored: DataFrame | None = None,
     asked_at: datetime | None = None,
     ttl_seconds: int = DEFAULT_TTL_SECONDS,
+    rerank_factor: int = 1,
 ) -> SearchAnswer:
     """Answer ``request_id, query, top_k, shard_key, nprobe, page, page_size`` rows.
 
     Equal requests are searched once, and not at all when ``stored`` (the hits of earlier
     runs) has a result that is still alive at ``asked_at``.  ``embed_queries(df, column)``
-    adds ``embedding`` and ``embed_status``.
+    adds ``embedding`` and ``embed_status``.  With ``rerank_factor`` above 1 a quantised index
+    yields that many times k candidates, which the vectors of ``source`` then put in order.
     """
     asked_at = asked_at or datetime.now(timezone.utc).replace(tzinfo=None)
     asked = F.lit(asked_at.isoformat(sep=" ")).cast("timestamp_ntz")
@@ -106,9 +108,16 @@ def search(
             index.postings, index.centroids, queries, k, "nprobe", vec_col=vec_col, **names
         )
     else:
+        wide = k * rerank_factor if source is not None else k
         found = ivfpq_search(
-            index.postings, index.centroids, index.codebooks, queries, k, "nprobe", **names
+            index.postings, index.centroids, index.codebooks, queries, wide, "nprobe", **names
         )
+        if wide > k:
+            vector = l2_normalize(vec_col) if index.normalized else F.col(vec_col)
+            found = rerank(
+                found, source.select(id_col, vector.alias(vec_col)), queries, k, id_col, vec_col,
+                ["result_key"], max_hits=n_queries * wide,
+            )
     hits = limit_per_request(found, queries, "result_key", "top_k")
     if source is not None and metadata_cols:
         hits = attach_metadata(hits, source, id_col, metadata_cols, max_hits=n_queries * k)
