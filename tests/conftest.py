@@ -10,7 +10,7 @@ TESTDATA = "/root/testdata"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("vecspark-tests")
@@ -24,8 +24,6 @@ def spark(tmp_path_factory):
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
     )
-    if "spark.checkpoint.dir" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
-        builder = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("OFF")
     yield session

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 class _TtlProcessor(StatefulProcessor):
-    """Keeps one expiry (milliseconds) per key and forgets it once event time has passed it."""
+    """Keeps one expiry per key and forgets it once event time has passed it."""
 
     def __init__(self, ts_col: str, id_col: str, ttl_ms: int):
         self.ts_col, self.id_col, self.ttl_ms = ts_col, id_col, ttl_ms
@@ -35,8 +35,8 @@ class _TtlProcessor(StatefulProcessor):
             expiry = int(us[at]) + self.ttl_ms * 1000
             at = int(np.searchsorted(us, expiry, side="left"))
         self.expiry.update((expiry,))
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
         self.handle.registerTimer(expiry // 1000 + 1)
         yield pdf.assign(cache_hit=hits)
 
