@@ -6,8 +6,11 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
 from vecspark.llm.bpe import encode_and_decode
+from vecspark.llm.line_dedup import remove_repeated_lines
 from vecspark.llm.packing import pack
+from vecspark.llm.quality import judge, measure
 from vecspark.llm.token_counts import count_tokens
+from vecspark.sources.workspace import materialize
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -25,14 +28,27 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(documents(spark, folder), tokenizer_path(TOKENIZER))
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text", "source")
+    measured = materialize(measure(docs).drop("text"), "measured")
+    return judge(measured).drop("source")
+
+
 def op9_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     return encode_and_decode(docs, tokenizer_path(TOKENIZER))
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    return remove_repeated_lines(docs, report=True)
+
+
 QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op7_packing": op7_packing,
+    "op8_quality_rules": op8_quality_rules,
     "op9_bpe_roundtrip": op9_bpe_roundtrip,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {}
