@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vecspark.llm.bpe import encode_and_decode
 from vecspark.llm.line_dedup import remove_repeated_lines
+from vecspark.llm.near_dedup import near_duplicates
 from vecspark.llm.packing import pack
 from vecspark.llm.quality import judge, measure
 from vecspark.llm.token_counts import count_tokens
@@ -19,6 +20,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(documents(spark, folder), k=4)
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     return count_tokens(docs, tokenizer_path(TOKENIZER))
@@ -45,6 +50,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
