@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from public_tokenizers import path as tokenizer_path
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vecspark.llm.bpe import encode_and_decode
+from vecspark.llm.language_id import identify_language, learn_profiles
 from vecspark.llm.line_dedup import remove_repeated_lines
 from vecspark.llm.near_dedup import near_duplicates
 from vecspark.llm.packing import pack
@@ -20,6 +22,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def fold(folds: int) -> Column:
+    """The fold of a document, by the checksum of its id."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+
+
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(documents(spark, folder), k=4)
 
@@ -29,6 +36,13 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(docs, tokenizer_path(TOKENIZER))
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    profiles = learn_profiles(docs.filter(fold(4) != 2))
+    found = identify_language(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(documents(spark, folder), tokenizer_path(TOKENIZER))
 
@@ -52,6 +66,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe_roundtrip": op9_bpe_roundtrip,
