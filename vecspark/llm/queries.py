@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecspark.llm.bpe import encode_and_decode
+from vecspark.llm.class_lm import learn, score
 from vecspark.llm.language_id import identify_language, learn_profiles
 from vecspark.llm.line_dedup import remove_repeated_lines
 from vecspark.llm.near_dedup import near_duplicates
@@ -31,6 +32,13 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(documents(spark, folder), k=4)
 
 
+def op3_class_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model, counts = learn(docs.filter(fold(5) != 1))
+    found = score(docs.select("doc_id", "text"), model, counts)
+    return found.withColumn("held_out", fold(5) == 1)
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     return count_tokens(docs, tokenizer_path(TOKENIZER))
@@ -65,6 +73,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_class_lm": op3_class_lm,
     "op5_token_counts": op5_token_counts,
     "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
