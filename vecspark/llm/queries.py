@@ -10,6 +10,7 @@ from vecspark.llm.bpe import encode_and_decode
 from vecspark.llm.class_lm import learn, score
 from vecspark.llm.language_id import identify_language, learn_profiles
 from vecspark.llm.line_dedup import remove_repeated_lines
+from vecspark.llm.merkle import compare_with_next
 from vecspark.llm.near_dedup import near_duplicates
 from vecspark.llm.packing import pack
 from vecspark.llm.quality import judge, measure
@@ -32,6 +33,10 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(documents(spark, folder), k=4)
 
 
+def op2_merkle_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return compare_with_next(documents(spark, folder))
+
+
 def op3_class_lm(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     model, counts = learn(docs.filter(fold(5) != 1))
@@ -73,6 +78,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_merkle_fingerprint": op2_merkle_fingerprint,
     "op3_class_lm": op3_class_lm,
     "op5_token_counts": op5_token_counts,
     "op6_language_id": op6_language_id,
