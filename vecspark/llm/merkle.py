@@ -4,7 +4,8 @@ The levels of the tree are the document, sections, paragraphs (lines) and pieces
 sections and pieces follow from the content, so that an edit moves none but those beside it.  A
 piece ends at the first word, from its second on, whose checksum falls into one class of five, or
 at its twelfth; of longer words each 24 characters count as a word.  A section ends after a line
-whose checksum falls into one class of four.  Every inner node is the digest of its children's.
+whose checksum falls into one class of four.  The first twelve words of a document are pieces of
+their own, so that short texts have enough of them.  Every inner node is the digest of its children's.
 
 The fingerprint is the tree as text: ``root:section(paragraph(piece.size,...),...)...``.  Equal
 roots mean equal texts; where roots differ, the branches that differ say where.  ``likeness`` is
@@ -33,6 +34,8 @@ from vecspark.llm.batches import text_slices
 from vecspark.sources.workspace import materialize
 
 PIECE_WORDS, MOST_PIECE_WORDS, PIECE_CLASSES, SECTION_CLASSES = 2, 12, 5, 4
+#: Words at the start of a document that are pieces of their own.
+FIRST_WORDS = 12
 _ROOT_HEX, _NODE_HEX, _PIECE_HEX = 32, 12, 8
 _WORD = re.compile(r"[^ \t\v\f\r]{0,24}[ \t\v\f\r]*")
 
@@ -41,11 +44,12 @@ def _digest(data: bytes, length: int) -> str:
     return hashlib.blake2b(data, digest_size=length // 2).hexdigest()
 
 
-def pieces_of(paragraph: str) -> list[str]:
-    """Runs of words with borders that follow from the words; joined they are the paragraph."""
+def pieces_of(paragraph: str, single: int = 0) -> list[str]:
+    """Runs of words with borders that follow from the words; joined they are the paragraph.
+    The first ``single`` words are pieces of their own."""
     words = _WORD.findall(paragraph)
-    pieces, begin = [], 0
-    for at, word in enumerate(words):
+    pieces, begin = [w for w in words[:single] if w], min(single, len(words))
+    for at, word in enumerate(words[begin:], begin):
         size = at - begin + 1
         if size == MOST_PIECE_WORDS or (
             size >= PIECE_WORDS
@@ -57,11 +61,11 @@ def pieces_of(paragraph: str) -> list[str]:
     return [*pieces, rest] if rest else pieces
 
 
-def _line_of(line: str) -> tuple[str, list[tuple[str, int]], bool]:
+def _line_of(line: str, single: int) -> tuple[str, list[tuple[str, int]], bool]:
     """Digest of a paragraph, its pieces, and whether a section ends after it."""
     data = line.encode("utf-8", "surrogatepass")
     leaves = [
-        (_digest(p.encode("utf-8", "surrogatepass"), _PIECE_HEX), len(p)) for p in pieces_of(line)
+        (_digest(p.encode("utf-8", "surrogatepass"), _PIECE_HEX), len(p)) for p in pieces_of(line, single)
     ]
     return _digest(b"p" + data, _NODE_HEX), leaves, zlib.crc32(data) % SECTION_CLASSES == 0
 
@@ -74,9 +78,10 @@ def fingerprint(text: str, known: dict | None = None) -> str:
     sections, lines = [], []
     paragraphs = text.split("\n")
     for number, line in enumerate(paragraphs):
-        if line not in known:
-            known[line] = _line_of(line)
-        digest, leaves, ends = known[line]
+        single = 0 if number else FIRST_WORDS
+        if (line, single) not in known:
+            known[line, single] = _line_of(line, single)
+        digest, leaves, ends = known[line, single]
         lines.append((digest, leaves))
         if ends or number == len(paragraphs) - 1:
             sections.append((_digest("s".join(p for p, _ in lines).encode(), _NODE_HEX), lines))
