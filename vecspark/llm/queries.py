@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vecspark.llm.bpe import encode_and_decode
 from vecspark.llm.class_lm import learn, score
+from vecspark.llm.html_text import extract_text
 from vecspark.llm.language_id import identify_language, learn_profiles
 from vecspark.llm.line_dedup import remove_repeated_lines
 from vecspark.llm.merkle import compare_with_next
@@ -44,6 +45,10 @@ def op3_class_lm(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", fold(5) == 1)
 
 
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     return count_tokens(docs, tokenizer_path(TOKENIZER))
@@ -80,6 +85,7 @@ QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_merkle_fingerprint": op2_merkle_fingerprint,
     "op3_class_lm": op3_class_lm,
+    "op4_html_text": op4_html_text,
     "op5_token_counts": op5_token_counts,
     "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
