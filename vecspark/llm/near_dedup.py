@@ -38,6 +38,9 @@ MAX_DISTANCE = 2 * CHUNKS - 1
 #: Alike in 80 of 100 shingles of the union.
 PERCENT = 80
 
+#: Bytes of a word that are hashed one by one.
+_BYTEWISE = 24
+
 _ODD = (np.random.default_rng(20240229).integers(0, 2**63, 2 * LANES, np.uint64) << np.uint64(1)) | np.uint64(1)
 _FACTORS, _SHIFTS = _ODD[:LANES], _ODD[LANES:]
 
@@ -47,26 +50,22 @@ def lower_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
-    """64-bit hashes that do not depend on the process: all bytes by a rolling product."""
+    """64-bit hashes of words, the same in every task: byte by byte over all words together, and
+    by blocks of eight bytes for what long words have beyond that."""
     data = pa.array(words, pa.large_string())
     size = pc.binary_length(data).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = np.frombuffer("".join(words).encode(), np.uint8)
     hashes = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    first, _ = spans(size)
-    for k in range(int(size.max(initial=0))):
+    first, last = spans(size)
+    for k in range(min(int(size.max(initial=0)), _BYTEWISE)):
         live = np.flatnonzero(size > k)
-        if len(live) < 256:  # the few long words, each by itself
-            break
         hashes[live] = mix64(hashes[live] ^ flat[first[live] + k].astype(np.uint64))
-    else:
-        return hashes
-    for i in live.tolist():
-        rest = flat[first[i] + k : first[i] + size[i]]
-        padded = np.zeros(-(-len(rest) // 8) * 8, np.uint8)
-        padded[: len(rest)] = rest
-        lanes = padded.view(np.uint64)
-        place = mix64(np.arange(1, len(lanes) + 1, dtype=np.uint64))
-        hashes[i] = mix64(hashes[i : i + 1] ^ mix64(lanes ^ place).sum(dtype=np.uint64))[0]
+    for i in np.flatnonzero(size > _BYTEWISE).tolist():
+        rest = flat[first[i] + _BYTEWISE : last[i]]
+        blocks = np.zeros(-(-len(rest) // 8), "<u8")
+        blocks.view(np.uint8)[: len(rest)] = rest
+        place = mix64(np.arange(1, len(blocks) + 1, dtype=np.uint64))
+        hashes[i] = mix64(hashes[i : i + 1] ^ mix64(blocks ^ place).sum(dtype=np.uint64))[0]
     return hashes
 
 
