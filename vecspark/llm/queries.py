@@ -13,6 +13,7 @@ from vecspark.llm.language_id import identify_language, learn_profiles
 from vecspark.llm.line_dedup import remove_repeated_lines
 from vecspark.llm.merkle import compare_with_next
 from vecspark.llm.near_dedup import near_duplicates
+from vecspark.llm.oracles import NEAR_DEDUP, QUALITY_RULES
 from vecspark.llm.packing import pack
 from vecspark.llm.quality import judge, measure
 from vecspark.llm.token_counts import count_tokens
@@ -93,4 +94,4 @@ QUERIES = {
     "op9_bpe_roundtrip": op9_bpe_roundtrip,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_minhash_near_dedup": NEAR_DEDUP, "op8_quality_rules": QUALITY_RULES}
