@@ -1,5 +1,7 @@
 """Upserts, change logs and reads as of a version."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +111,51 @@ def test_versions(spark, rows_of):
     assert state(3) == [(1, "A"), (2, "bb"), (3, "c")]
     history = [tuple(r) for r in mg.version_history(log).collect()]
     assert history == [(3, "t3", 2, 0, 0, "WRITE"), (2, "t2", 0, 1, 1, "MERGE")]
+
+
+def test_upsert_keeps_the_tables_own_columns(spark):
+    path = new_path(spark, "table")
+    wide = "id int, v string, keep int, m string"
+    mg.upsert_table(path, frame(spark, [(1, "a", 7, "01"), (2, "b", 8, "01")], wide), ["id"], ["m"])
+    counts = mg.upsert_table(path, frame(spark, [(2, "B", "01"), (3, "c", "01")]), ["id"], ["m"])
+    assert counts == {"inserted": 1, "updated": 1, "unchanged": 0}
+
+    def rows():
+        found = mg.stored_table(spark, path, ["m"], frame(spark, []))
+        return found.columns, {r.id: tuple(r) for r in found.collect()}
+
+    assert rows() == (
+        ["id", "v", "keep", "m"], {1: (1, "a", 7, "01"), 2: (2, "B", 8, "01"), 3: (3, "c", None, "01")},
+    )
+    more = frame(spark, [(3, "C", 5, "01")], "id int, v string, extra int, m string")
+    mg.upsert_table(path, more, ["id"], ["m"])
+    assert rows()[0] == ["id", "v", "keep", "m"]
+    mg.upsert_table(path, more, ["id"], ["m"], evolve_schema=True)
+    columns, found = rows()
+    assert set(columns) == {"id", "v", "keep", "extra", "m"} and len(found) == 3
+    with pytest.raises(ValueError):
+        mg.upsert_table(path, frame(spark, [(1, "x")], "id int, v string"), ["id"], ["m"])
+
+
+def test_upsert_of_thousands_of_partitions(spark):
+    path = new_path(spark, "table")
+    rows = [(i, f"v{i}", 2000 + i // 336, i // 28 % 12 + 1, i % 28 + 1) for i in range(600)]
+    schema = "id int, v string, y int, mon int, d int"
+    mg.upsert_table(path, frame(spark, rows, schema), ["id"], ["y", "mon", "d"])
+    counts = mg.upsert_table(path, frame(spark, rows, schema), ["id"], ["y", "mon", "d"], fixed_partitions=True)
+    assert counts == {"inserted": 0, "updated": 0, "unchanged": 600}
+    many = mg._partition_key(["y", "mon", "d"]).isin([f"{i}" for i in range(5_000)])
+    assert spark.read.parquet(path).filter(many).isEmpty()
+
+
+def test_upsert_leaves_no_copies_and_writes_a_log(spark):
+    path, log = new_path(spark, "table"), new_path(spark, "log")
+    folder = path.rsplit("/", 1)[0]
+    before = set(os.listdir(folder))
+    for rows in ([(1, "a", "x"), (2, "b", "x")], [(2, "B", "x"), (3, "c", "y")], [(3, "c", "y")]):
+        mg.upsert_table(path, frame(spark, rows), ["id"], ["m"], change_log=log)
+    assert {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} == {"table", "log"}
+    changes = mg.read_change_log(spark, log)
+    history = [tuple(r)[0:1] + tuple(r)[2:] for r in mg.version_history(changes).collect()]
+    assert history == [(2, 1, 1, 0, "MERGE"), (1, 2, 0, 0, "WRITE")]
+    assert {r.id: r.v for r in mg.as_of_version(changes, ["id"], 1).collect()} == {1: "a", 2: "b"}

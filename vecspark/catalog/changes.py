@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from vecspark.catalog.common import Query, ntz, table
@@ -11,11 +13,14 @@ from vecspark.operators.merge import (
     classify_changes,
     duplicate_keys,
     latest_per_key,
+    read_change_log,
+    stored_table,
     upsert_table,
     version_history,
 )
 from vecspark.operators.reuse import reuse_results, to_compute
 from vecspark.operators.routing import route, tag_shards
+from vecspark.plans.ingest import incremental_ingest
 from vecspark.sources.workspace import new_path
 
 QUERIES: dict[str, Query] = {}
@@ -54,16 +59,90 @@ SELECT o_orderkey, o_orderstatus,
 FROM orders"""
 
 
+STAMPS = (datetime(2000, 1, 1), datetime(2001, 9, 1))
+
+
+def _ingested(spark, sf, change_log=None):
+    """The table after both runs, with their counts."""
+    path = new_path(spark, "orders")
+    counts = [
+        incremental_ingest(rows, path, at, ("o_orderkey",), ("year_month",), change_log=change_log)
+        for rows, at in zip(orders_loaded(spark, sf), STAMPS, strict=True)
+    ]
+    return path, counts
+
+
 def q_upsert_merge(spark, sf):
+    loaded, _ = orders_loaded(spark, sf)
+    path, _ = _ingested(spark, sf)
+    schema = loaded.withColumn("updated_at", F.lit(STAMPS[0])).schema
+    table_ = spark.read.schema(schema).parquet(path)
+    stamp = F.col("updated_at").cast("timestamp_ntz").alias("updated_at")
+    return merged_orders(table_.select("*")).join(table_.select("o_orderkey", stamp), "o_orderkey")
+
+
+QUERIES["upsert_merge"] = q_upsert_merge
+ORACLES["upsert_merge"] = f"""
+SELECT m.*, CASE WHEN o_orderdate >= TIMESTAMP '{FEED_FROM}' THEN TIMESTAMP '{STAMPS[1]}'
+                 ELSE TIMESTAMP '{STAMPS[0]}' END AS updated_at
+FROM ({MERGED_SQL}) m JOIN orders USING (o_orderkey)"""
+
+
+def q_upsert_missing_column(spark, sf):
+    """A feed without the status and with a column of its own; the table keeps its columns."""
     loaded, feed = orders_loaded(spark, sf)
     path = new_path(spark, "orders")
-    for rows in (loaded, feed):
-        upsert_table(path, rows, ["o_orderkey"], ["year_month"])
-    return merged_orders(spark.read.schema(feed.schema).parquet(path))
+    upsert_table(path, loaded, ["o_orderkey"], ["year_month"])
+    narrow = feed.drop("o_orderstatus").withColumn("note", F.lit("new"))
+    upsert_table(path, narrow, ["o_orderkey"], ["year_month"])
+    return merged_orders(stored_table(spark, path, ["year_month"], feed))
+
+
+QUERIES["upsert_missing_column"] = q_upsert_missing_column
+ORACLES["upsert_missing_column"] = f"""
+SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '{LOADED_UNTIL}' THEN m.o_orderstatus END AS o_orderstatus,
+       price, year_month
+FROM ({MERGED_SQL}) m JOIN orders USING (o_orderkey)"""
+
+
+def q_merge_metrics(spark, sf):
+    """Counts that the upserts returned beside those of the log that they wrote."""
+    log_path = new_path(spark, "changes")
+    _, counts = _ingested(spark, sf, log_path)
+    history = version_history(read_change_log(spark, log_path), n=2)
+    returned = spark.createDataFrame(
+        [(i + 1, c["inserted"], c["updated"], c["unchanged"]) for i, c in enumerate(counts)],
+        "version int, returned_inserted long, returned_updated long, unchanged long",
+    )
+    return history.drop("committed_at").join(returned, "version")
 
 
-QUERIES["upsert_merge"] = q_upsert_merge
-ORACLES["upsert_merge"] = MERGED_SQL
+QUERIES["merge_metrics"] = q_merge_metrics
+ORACLES["merge_metrics"] = f"""
+WITH c AS (
+  SELECT 1 AS version, count(*) AS inserted, 0 AS updated, 0 AS unchanged
+  FROM orders WHERE o_orderdate < TIMESTAMP '{LOADED_UNTIL}'
+  UNION ALL
+  SELECT 2, count(*) FILTER (o_orderdate >= TIMESTAMP '{LOADED_UNTIL}'),
+         count(*) FILTER (o_orderdate < TIMESTAMP '{LOADED_UNTIL}' AND o_orderstatus = 'F'),
+         count(*) FILTER (o_orderdate < TIMESTAMP '{LOADED_UNTIL}' AND o_orderstatus <> 'F')
+  FROM orders WHERE o_orderdate >= TIMESTAMP '{FEED_FROM}')
+SELECT version, inserted, updated, 0::BIGINT AS deleted, CASE WHEN updated = 0 THEN 'WRITE' ELSE 'MERGE' END AS operation,
+       inserted AS returned_inserted, updated AS returned_updated, unchanged FROM c"""
+
+
+def q_merge_as_of(spark, sf):
+    """The table as it was before the second upsert, from the log of both."""
+    log_path = new_path(spark, "changes")
+    _ingested(spark, sf, log_path)
+    rows = as_of_version(read_change_log(spark, log_path), ["o_orderkey"], version=1)
+    return rows.select("o_orderkey", F.round("o_totalprice", 4).alias("price"), "year_month")
+
+
+QUERIES["merge_as_of"] = q_merge_as_of
+ORACLES["merge_as_of"] = f"""
+SELECT o_orderkey, round(o_totalprice, 4) AS price, strftime(o_orderdate, '%Y-%m') AS year_month
+FROM orders WHERE o_orderdate < TIMESTAMP '{LOADED_UNTIL}'"""
 
 
 def q_upsert_dup_guard(spark, sf):

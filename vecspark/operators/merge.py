@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vecspark.sources.tables import write_partitioned
-from vecspark.sources.workspace import delete_path, materialize, path_exists
+from vecspark.sources.workspace import delete_path, new_path, path_exists
 
 
 class DuplicateKeyError(ValueError):
@@ -52,15 +53,29 @@ def merge(
 
     A null key matches nothing.  ``skip_unchanged`` keeps the target's row where only the
     ``ignore`` columns differ.  Extra feed columns are left out unless ``evolve_schema``.
+    Columns that the feed lacks keep the matched row's value and are null in new rows.
     """
-    if not evolve_schema:
-        feed = feed.select(*target.columns)
+    feed = complete_feed(target, feed, keys, evolve_schema)
     if skip_unchanged:
         feed = changed_rows(target, feed, keys, ignore)
     kept = target.join(feed.select(*keys), list(keys), "left_anti")
     return kept.unionByName(feed, allowMissingColumns=evolve_schema)
 
 
+def complete_feed(
+    target: DataFrame, feed: DataFrame, keys: Sequence[str], evolve_schema: bool = False
+) -> DataFrame:
+    """The feed with the target's columns and types, in the target's order."""
+    missing = [c for c in target.columns if c not in feed.columns]
+    if lost := [k for k in keys if k in missing or k not in target.columns]:
+        raise ValueError(f"keys {lost} are missing")
+    if missing:
+        feed = feed.join(target.select(*keys, *missing), list(keys), "left")
+    own = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.schema]
+    more = [F.col(f"`{c}`") for c in feed.columns if evolve_schema and c not in target.columns]
+    return feed.select(*own, *more)
+
+
 def _compared(target: DataFrame, feed: DataFrame, keys: Sequence[str], ignore: Sequence[str]):
     return [c for c in feed.columns if c in target.columns and c not in (*keys, *ignore)]
 
@@ -76,10 +91,10 @@ def changed_rows(
     return f.join(t, reduce(lambda a, b: a & b, same), "left_anti")
 
 
-def classify_changes(
+def tag_changes(
     target: DataFrame, feed: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()
 ) -> DataFrame:
-    """Each feed key with ``insert``, ``update`` or ``unchanged``."""
+    """The feed with ``op``: ``insert``, ``update`` or ``unchanged``."""
     compared = _compared(target, feed, keys, ignore)
     t = target.select(*keys, *compared, F.lit(True).alias("_found")).alias("t")
     f = feed.alias("f")
@@ -90,20 +105,30 @@ def classify_changes(
         F.lit(False),
     )
     op = F.when(F.col("_found").isNull(), "insert").when(differs, "update").otherwise("unchanged")
-    return f.join(t, matched, "left").select(*[F.col(f"f.{k}") for k in keys], op.alias("op"))
-
-
-def _any_partition(rows, partition_cols: Sequence[str]) -> Column:
-    if len(partition_cols) == 1:
-        values = [row[0] for row in rows if row[0] is not None]
-        found = F.col(partition_cols[0]).isin(values)
-        has_null = len(values) < len(rows)
-        return found | F.col(partition_cols[0]).isNull() if has_null else found
-    matches = [
-        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partition_cols, row)])
-        for row in rows
+    return f.join(t, matched, "left").select(*[F.col(f"f.`{c}`") for c in feed.columns], op.alias("op"))
+
+
+def classify_changes(
+    target: DataFrame, feed: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()
+) -> DataFrame:
+    """Each feed key with ``insert``, ``update`` or ``unchanged``."""
+    return tag_changes(target, feed, keys, ignore).select(*keys, "op")
+
+
+def _partition_key(partition_cols: Sequence[str]) -> Column:
+    """A partition as one text, so that any number of them makes one flat list."""
+    return F.to_json(F.struct(*[F.col(c) for c in partition_cols]))
+
+
+def stored_table(spark: SparkSession, path: str, partition_cols: Sequence[str], feed: DataFrame) -> DataFrame:
+    """The table with all columns that any of its files has; partition values have the types
+    of the feed, since folder names don't tell them."""
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    fields = [
+        T.StructField(f.name, feed.schema[f.name].dataType) if f.name in partition_cols else f
+        for f in found.fields
     ]
-    return reduce(lambda a, b: a | b, matches, F.lit(False))
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def upsert_table(
@@ -114,58 +139,106 @@ def upsert_table(
     latest_by: Sequence[str] | None = None,
     skip_unchanged: bool = False,
     ignore: Sequence[str] = (),
-) -> None:
+    evolve_schema: bool = False,
+    fixed_partitions: bool = False,
+    change_log: str | None = None,
+) -> dict[str, int]:
     """Create the partitioned table on the first run, merge into it afterwards.
 
-    Only partitions that hold a matched key or receive a feed row are rewritten.  Their new
-    content is written to the shared folder first, so the table never overwrites what it is
-    reading, and running the same feed again gives the same table.
+    The table keeps its own columns: those that the feed lacks keep their values, and those that
+    only the feed has are left out unless ``evolve_schema``.  Returns the rows ``inserted``,
+    ``updated`` and ``unchanged``; with ``change_log`` the inserted and updated rows are also
+    appended there, with ``op``, ``version`` and ``committed_at``, before the table changes.
+
+    Only partitions that hold a matched key or receive a feed row are rewritten; with
+    ``fixed_partitions``, for keys that never move, the others aren't even looked at.  New content
+    is written to the shared folder first, so the table never overwrites what it is reading, and
+    running the same feed again gives the same table.  Copies are deleted at the end.
     """
     spark = feed.sparkSession
+    if lost := [c for c in (*keys, *partition_cols) if c not in feed.columns]:
+        raise ValueError(f"the feed lacks {lost}")
     if latest_by:
         feed = latest_per_key(feed, keys, latest_by)
-    exists = path_exists(spark, path)
-    if exists:
-        # Read several times below, and its size then decides whether joins broadcast it.
-        feed = materialize(feed, "feed")
-    if not latest_by:
-        require_unique_keys(feed, keys)
-    if not exists:
-        write_partitioned(feed, path, partition_cols, mode="replace_all")
-        return
+    copies: list[str] = []
+
+    def stored(df: DataFrame, label: str) -> DataFrame:
+        copies.append(new_path(spark, label))
+        df.write.parquet(copies[-1])
+        return spark.read.schema(df.schema).parquet(copies[-1])
 
-    target = spark.read.schema(feed.schema).parquet(path)
-    matched = target.join(feed.select(*keys), list(keys), "left_semi").select(*partition_cols)
-    # One row per touched partition directory.
-    touched = (
-        matched.withColumn("_received", F.lit(False))
-        .unionByName(feed.select(*partition_cols).withColumn("_received", F.lit(True)))
-        .groupBy(*partition_cols)
-        .agg(F.max("_received").alias("_received"))
-        .collect()
+    try:
+        # Read several times below, and its size then decides whether joins broadcast it.
+        feed = stored(feed, "feed")
+        if not latest_by:
+            require_unique_keys(feed, keys)
+        if not path_exists(spark, path):
+            if change_log:
+                _append_changes(feed.withColumn("op", F.lit("insert")), change_log)
+            write_partitioned(feed, path, partition_cols, mode="replace_all")
+            return {"inserted": feed.count(), "updated": 0, "unchanged": 0}
+
+        target = stored_table(spark, path, partition_cols, feed)
+        key = _partition_key(partition_cols).alias("_partition")
+        receiving = feed.select(key, F.lit(True).alias("_received"))
+        touched = receiving
+        if not fixed_partitions:
+            matched = target.join(feed.select(*keys), list(keys), "left_semi")
+            touched = receiving.unionByName(matched.select(key, F.lit(False).alias("_received")))
+        # One row per touched partition folder.
+        touched = touched.groupBy("_partition").agg(F.max("_received").alias("_received")).collect()
+        if not touched:
+            return {"inserted": 0, "updated": 0, "unchanged": 0}
+        old = target.filter(_partition_key(partition_cols).isin([r._partition for r in touched]))
+        complete = complete_feed(old, feed, keys, evolve_schema)
+        tagged = stored(tag_changes(old, complete, keys, ignore), "changes")
+        counts = {r.op: r["count"] for r in tagged.groupBy("op").count().collect()}
+        if change_log and counts.keys() - {"unchanged"}:
+            _append_changes(tagged.filter("op <> 'unchanged'"), change_log)
+        news = (tagged.filter("op <> 'unchanged'") if skip_unchanged else tagged).drop("op")
+        kept = old.join(news.select(*keys), list(keys), "left_anti")
+        merged = stored(kept.unionByName(news, allowMissingColumns=evolve_schema), "merge")
+        write_partitioned(merged, path, partition_cols)
+        left = [r._partition for r in touched if not r._received]
+        _drop_emptied(path, merged, left, partition_cols)
+        return {
+            "inserted": counts.get("insert", 0),
+            "updated": counts.get("update", 0),
+            "unchanged": counts.get("unchanged", 0),
+        }
+    finally:
+        for copy in copies:
+            delete_path(spark, copy)
+
+
+def _append_changes(changes: DataFrame, change_log: str) -> None:
+    spark = changes.sparkSession
+    version = 1
+    if path_exists(spark, change_log):
+        version += read_change_log(spark, change_log).agg(F.max("version")).first()[0]
+    stamped = changes.withColumns(
+        {"version": F.lit(version), "committed_at": F.current_timestamp()}
     )
-    if not touched:
-        return
-    partitions = [row[:-1] for row in touched]
-    old = target.filter(_any_partition(partitions, partition_cols))
-    merged = materialize(merge(old, feed, keys, skip_unchanged, ignore=ignore), "merge")
-    write_partitioned(merged, path, partition_cols)
-    _drop_emptied(path, merged, [row[:-1] for row in touched if not row[-1]], partition_cols)
+    stamped.write.mode("append").parquet(change_log)
+
+
+def read_change_log(spark: SparkSession, change_log: str) -> DataFrame:
+    """What upserts have changed, version by version."""
+    return spark.read.option("mergeSchema", True).parquet(change_log)
 
 
 def _drop_emptied(path: str, merged: DataFrame, left: list, partition_cols: Sequence[str]) -> None:
     """Remove partitions whose rows all moved elsewhere; overwriting others leaves them behind."""
     if not left:
         return
-    spark = merged.sparkSession
-    filled = merged.filter(_any_partition(left, partition_cols)).select(*partition_cols)
-    still = {tuple(row) for row in filled.distinct().collect()}
-    emptied = [row for row in left if tuple(row) not in still]
+    spark, key = merged.sparkSession, _partition_key(partition_cols)
+    filled = merged.filter(key.isin(left)).select(key.alias("_partition")).distinct()
+    emptied = sorted(set(left) - {r._partition for r in filled.collect()})
     if not emptied:
         return
     old = spark.read.schema(merged.schema).parquet(path)
     folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")
-    for row in old.filter(_any_partition(emptied, partition_cols)).select(folder).distinct().collect():
+    for row in old.filter(key.isin(emptied)).select(folder).distinct().collect():
         delete_path(spark, spark.sparkContext._jvm.java.net.URI(row.folder))
 
 

@@ -72,9 +72,14 @@ def incremental_ingest(
     keys: tuple[str, ...] = ("record_id",),
     partition_cols: tuple[str, ...] = ("year_month",),
     skip_unchanged: bool = False,
-) -> None:
-    """Stamp a feed and merge it into the table, creating the table on the first run."""
+    change_log: str | None = None,
+) -> dict[str, int]:
+    """Stamp a feed and merge it into the table, creating the table on the first run.
+
+    Returns the rows inserted, updated and unchanged.
+    """
     stamped = feed.withColumn("updated_at", F.lit(updated_at).cast("timestamp"))
-    upsert_table(
-        path, stamped, keys, partition_cols, skip_unchanged=skip_unchanged, ignore=["updated_at"]
-    )
+    return upsert_table(
+        path, stamped, keys, partition_cols, skip_unchanged=skip_unchanged, ignore=["updated_at"],
+        change_log=change_log,
+    )
