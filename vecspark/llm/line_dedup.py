@@ -31,6 +31,9 @@ MIN_WORDS = 10
 #: Words that make a single line a passage, and a chunk of its own.
 PASSAGE_WORDS = 50
 
+#: Tasks that the occurrences of one chunk are dealt to at least.
+SALTS = 4
+
 
 def chunks_of(text: Column, mean_lines: int, passage_words: int) -> Column:
     """The chunks of a text as an array of texts; joined by line feeds they are the text."""
@@ -136,8 +139,11 @@ def remove_repeated_lines(
         .select(*key, place.alias("place"), "chunk_no", F.xxhash64("chunk").alias("hash"), "chunk")
     )
     firsts = occurrences.groupBy("hash", "chunk").agg(F.min("place").alias("first"))
+    # Both sides are dealt anew, so that Spark can split a chunk that very many documents share.
+    salts = F.array(*[F.lit(i) for i in range(SALTS)])
+    occurrences = occurrences.withColumn("salt", F.pmod("_text", F.lit(SALTS)).cast("int"))
     removed = (
-        occurrences.join(firsts, ["hash", "chunk"])
+        occurrences.join(firsts.withColumn("salt", F.explode(salts)), ["hash", "chunk", "salt"])
         .filter(F.col("place") != F.col("first"))
         .groupBy(*key)
         .agg(F.collect_set("chunk_no").alias("removed"))

@@ -7,9 +7,13 @@ chunks of 4 lanes one differs in a single lane at most (pigeonhole), so each chu
 times, with each of its lanes left out.
 
 * Documents with equal sets form a class; one stands for all.
-* Members of an index bucket are first compared with its smallest one, which links large groups
-  without pairs among their members.  Only members that end in different components are then
-  compared with each other, if their signatures allow it.
+* Shingles that only one member of all buckets has can't be shared.  Their number bounds what a
+  document can have in common with any other, which proves of many edited copies that they are
+  linked with nothing, or not with each other.
+* Members of an index bucket are first compared with the one that has the fewest such shingles,
+  most likely the original, which links large groups without pairs among their members.  Only
+  members that end in different components are then compared with each other, each pair once,
+  if the bound and their signatures allow it.
 * Links are confirmed on the full sets of words, not on hashes.
 
 Defined cases: null and blank texts have an empty set and are linked with nothing; a text of
@@ -137,27 +141,65 @@ def sketch(documents: DataFrame, k: int, id_col: str = "doc_id", text_col: str =
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
-    """``key`` and ``id``: every chunk of a signature with each of its lanes left out."""
+    """``key``, ``tag`` and ``id``: every chunk of a signature with each of its lanes left out."""
     keys = []
     for chunk in range(CHUNKS):
         for lane in range(LANES_IN_CHUNK):
             mask = int(~np.int64(0xFFFF << (16 * lane) if lane < 3 else -1 << 48))
             kept = F.col(f"sig{chunk}").bitwiseAND(F.lit(mask))
-            keys.append(F.xxhash64(kept, F.lit(chunk * LANES_IN_CHUNK + lane)))
-    return classes.select(F.explode(F.array(*keys)).alias("key"), F.col("doc_id").alias("id"))
+            tag = F.lit(chunk * LANES_IN_CHUNK + lane)
+            keys.append(F.struct(F.xxhash64(kept, tag).alias("key"), tag.alias("tag")))
+    return classes.select(F.inline(F.array(*keys)), F.col("doc_id").alias("id"))
+
+
+def _differing(a: str, b: str, chunk: int) -> Column:
+    """The lowest bit of each lane of a chunk in which two signatures differ."""
+    x = F.col(f"{a}.sig{chunk}").bitwiseXOR(F.col(f"{b}.sig{chunk}"))
+    for shift in (8, 4, 2, 1):
+        x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+    return x.bitwiseAND(F.lit(0x0001000100010001))
 
 
 def distance(a: str, b: str) -> Column:
     """Differing lanes of two signatures."""
     total = F.lit(0)
     for chunk in range(CHUNKS):
-        x = F.col(f"{a}.sig{chunk}").bitwiseXOR(F.col(f"{b}.sig{chunk}"))
-        for shift in (8, 4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
+        total = total + F.bit_count(_differing(a, b, chunk))
     return total
 
 
+def first_tag(a: str, b: str) -> Column:
+    """The first of the keys that two signatures share."""
+    found = []
+    for chunk in range(CHUNKS):
+        lanes = _differing(a, b, chunk)
+        # The single bit of a lane has sixteen bits below it for each lane before.
+        lane = F.when(lanes == 0, F.lit(0)).otherwise((F.bit_count(lanes - 1) / 16).cast("int"))
+        found.append(F.when(F.bit_count(lanes) <= 1, lane + chunk * LANES_IN_CHUNK))
+    return F.coalesce(*found)
+
+
+def may_be_alike(a: str, b: str, percent: int) -> Column:
+    """Whether two sets can be alike, by their sizes and what they can share at most."""
+    shared = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared"))
+    return 100 * shared >= percent * (F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles") - shared)
+
+
+def own_shingles(texts: DataFrame, k: int) -> DataFrame:
+    """``id`` and ``own``, the number of shingles that no other id has."""
+
+    def run(batches):
+        for batch, of in text_slices(batches, "text"):
+            per_text, shingles = shingle_hashes(of, k)
+            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(per_text)), per_text)))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(shingles.view(np.int64))], names=["id", "shingle"])
+
+    found = texts.select(F.col("doc_id").alias("id"), "text")
+    schema = found.select("id").schema.add("shingle", "long")
+    holders = found.mapInArrow(run, schema).groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("last"))
+    return holders.filter("id = last").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+
+
 def _sets_alike(k: int, percent: int):
     """Whether two texts are alike, on the shingles themselves."""
 
@@ -226,34 +268,51 @@ def near_duplicates(
         .filter("a < b")
     )
     keys = index_keys(classes)
-    buckets = keys.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    buckets = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     crowded = materialize(
-        keys.join(buckets.filter("first < last"), "key").select("key", "id", "first"), "buckets"
+        keys.join(buckets.filter("low < high"), "key").select("key", "tag", "id"), "buckets"
+    )
+    ids = crowded.select(F.col("id").alias("doc_id")).distinct()
+    texts = materialize(texts.join(ids, "doc_id", "left_semi"), "texts")
+    # Two texts under one id have one number between them, which bounds neither.
+    single = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts")).filter("texts = 1")
+    own = own_shingles(texts, k).join(single, F.col("id") == F.col("doc_id"), "left_semi")
+    members_of = (
+        classes.join(ids, "doc_id", "left_semi")
+        .join(own.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+        .withColumn("shared", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
+        .filter(100 * F.col("shared") >= percent * F.col("n_shingles"))
+        .select("doc_id", "n_shingles", "shared", *signature)
     )
-    sigs = classes.select("doc_id", *signature)
-
-    def near(pairs: DataFrame) -> DataFrame:
-        joined = (
-            pairs.join(sigs.alias("x"), F.col("a") == F.col("x.doc_id"))
-            .join(sigs.alias("y"), F.col("b") == F.col("y.doc_id"))
-        )
-        return joined.filter(distance("x", "y") <= MAX_DISTANCE).select("a", "b")
-
-    stars = crowded.filter("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    stars = materialize(near(stars), "stars")
-    edges = materialize(
-        confirm(stars, texts, k, percent).unionByName(members), "links"
+    linked = materialize(members_of, "members")
+
+    # The centre of a bucket has the smallest part of shingles to itself.
+    part = (1 - F.col("shared") / F.col("n_shingles")).alias("part")
+    ranked = crowded.join(linked.select(F.col("doc_id").alias("id"), part).distinct(), "id")
+    centres = ranked.groupBy("key").agg(F.min(F.struct("part", "id"))["id"].alias("centre"))
+    stars = ranked.join(centres, "key").filter("centre <> id")
+    stars = stars.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
+    stars = (
+        stars.join(linked.alias("x"), F.col("a") == F.col("x.doc_id"))
+        .join(linked.alias("y"), F.col("b") == F.col("y.doc_id"))
+        .filter(may_be_alike("x", "y", percent) & (distance("x", "y") <= MAX_DISTANCE))
+        .select("a", "b")
+        .distinct()
     )
+    stars = materialize(stars, "stars")
+    edges = materialize(confirm(stars, texts, k, percent).unionByName(members), "links")
     labels = connected_components(edges)
     # Buckets whose members are not all linked yet.
-    labelled = crowded.join(labels, F.col("id") == F.col("node"), "left").select(
-        "key", "id", F.coalesce("component_id", "id").alias("c")
+    labelled = (
+        crowded.join(linked.select(F.col("doc_id").alias("id")).distinct(), "id")
+        .join(labels, F.col("id") == F.col("node"), "left")
+        .select("key", "tag", "id", F.coalesce("component_id", "id").alias("c"))
     )
     mixed = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"))
     open_rows = materialize(
-        labelled.join(mixed.filter("low < high").select("key"), "key")
-        .join(sigs, F.col("id") == F.col("doc_id"))
-        .drop("doc_id"),
+        labelled.join(mixed.filter("low < high").select("key"), "key").join(
+            linked.withColumnRenamed("doc_id", "id"), "id"
+        ),
         "open",
     )
     one, other = open_rows.alias("x"), open_rows.alias("y")
@@ -262,7 +321,9 @@ def near_duplicates(
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.id") < F.col("y.id"))
         & (F.col("x.c") != F.col("y.c"))
-        & (distance("x", "y") <= MAX_DISTANCE),
+        & may_be_alike("x", "y", percent)
+        & (distance("x", "y") <= MAX_DISTANCE)
+        & (F.col("x.tag") == first_tag("x", "y")),
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     fresh = across.distinct().join(stars, ["a", "b"], "left_anti")
     more = materialize(confirm(fresh, texts, k, percent), "links")
