@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text that is worked on at a time. A single longer text makes a slice of its own.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 def text_slices(

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vecspark.llm.batches import spans, text_slices, word_codes
-from vecspark.llm.wordpieces import PieceEncoder
+from vecspark.llm.wordpieces import TOKEN_SLICE_BYTES, PieceEncoder
 
 _NEVER = np.int64(1) << 40
 
@@ -225,7 +225,7 @@ def encode_and_decode(documents: DataFrame, tokenizer: str, text_col: str = "tex
 
     def run(batches):
         encoder = SpeculativeEncoder(tokenizer)
-        for batch, texts in text_slices(batches, "_text"):
+        for batch, texts in text_slices(batches, "_text", TOKEN_SLICE_BYTES):
             per_text, codes, pieces = word_codes(texts)
             count, ids = encoder.encode_pieces(pieces)
             first, last = spans(count)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark.llm.batches import spans, text_slices
-from vecspark.llm.wordpieces import PieceEncoder
+from vecspark.llm.wordpieces import TOKEN_SLICE_BYTES, PieceEncoder
 from vecspark.sources.workspace import materialize
 
 #: Windows that a task keeps open.
@@ -156,7 +156,7 @@ def pack_documents(
     def run(batches):
         encoder, windows = PieceEncoder(tokenizer), OpenWindows(window_tokens, open_windows)
         out = _Output(0)
-        for batch, texts in text_slices(batches, "text"):
+        for batch, texts in text_slices(batches, "text", TOKEN_SLICE_BYTES):
             doc_ids = batch.column(0).to_pylist()
             count, flat = encoder.encode(texts)
             first, last = spans(count)

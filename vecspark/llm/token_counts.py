@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecspark.llm.batches import text_slices
-from vecspark.llm.wordpieces import PieceEncoder
+from vecspark.llm.wordpieces import TOKEN_SLICE_BYTES, PieceEncoder
 
 #: Longest text, in code points, that is encoded in one piece.
 CHUNK_CHARS = 32_768
@@ -89,7 +89,7 @@ def count_tokens(
 
     def run(batches):
         encoder = PieceEncoder(tokenizer)
-        for batch, texts in text_slices(batches, "_text"):
+        for batch, texts in text_slices(batches, "_text", TOKEN_SLICE_BYTES):
             size = pc.binary_length(texts).to_numpy(zero_copy_only=False)
             chars = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
             long = np.flatnonzero(chars > chunk_chars)

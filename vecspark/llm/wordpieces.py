@@ -24,6 +24,8 @@ WORD_OR_END = regex.compile(PRE_TOKEN + r"|\n")
 # Characters that compose with nothing and are classed alike by every Unicode version.
 PLAIN = regex.compile("[\x21-\x7e¡-įı-˿]*")
 
+#: Text that is encoded at a time; in larger slices more words are seen once for all.
+TOKEN_SLICE_BYTES = 16 << 20
 #: Distinct words whose ids a task remembers; beyond it the memory starts anew.
 MAX_REMEMBERED = 1_000_000
 
