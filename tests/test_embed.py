@@ -54,6 +54,14 @@ def test_failures_become_zero_or_raise(spark):
     assert {r.embed_status for r in wrong} == {"failed"}
 
 
+def test_one_bad_text_costs_one_row(spark):
+    values = ["fine"] * 299 + ["boom"]
+    rows = embed(texts(spark, values), "text", broken_encoder, 2, error_col="error").collect()
+    failed = [r for r in rows if r.embed_status != "ok"]
+    assert [(r.text, r.embed_status, r.error) for r in failed] == [("boom", "failed", "RuntimeError: no model")]
+    assert all(r.embedding == [1, 1] for r in rows if r.embed_status == "ok") and len(rows) == 300
+
+
 def test_hashing_matches_definition(spark):
     values = ["Hello world hello", "", "world  HELLO hello", "other"]
     rows = hash_embed(texts(spark, values), "text", DIM).orderBy("id").collect()

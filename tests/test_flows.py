@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vecspark.operators.embed import hash_embed
 from vecspark.plans import ingest
-from vecspark.plans.index import build_index
+from vecspark.plans.index import build_index, refresh_index
 from vecspark.plans.search import search
 from vecspark.sources.index_store import load_index
 from vecspark.sources.workspace import new_path
@@ -120,5 +120,53 @@ def test_search_answers_requests(spark, trips, m):
     assert late.hits.count() == 25 and asked == [2, 0, 2]
 
 
+    # Of two stored fills the newer one is used, and only once.
+    older = stored.withColumn("filled_at", F.col("filled_at") - F.expr("INTERVAL 10 SECONDS"))
+    twice = run(stored=stored.unionByName(older), asked_at=asked_at + timedelta(seconds=100))
+    assert sorted(map(str, twice.pages.collect())) == sorted(map(str, answer.pages.collect()))
+    assert {(r.request_id, r.cache_hit) for r in twice.answered.collect()} == {(1, True), (2, True), (5, True)}
+    assert {(r.request_id, r.cache_hit) for r in answer.answered.collect()} == {(1, False), (2, False), (5, False)}
+
+
+def test_no_request_vanishes(spark, trips):
+    embedded = ingest.embed_trips(trips, datetime(2026, 1, 1), DIM)
+    path = new_path(spark, "index")
+    build_index(embedded, path, DIM, nlist=4, m=None, id_col="record_id", shard_col="year_month")
+    requests = spark.createDataFrame(
+        [(1, "good", 3, None, None, 1, 3), (2, "short", 3, None, None, 1, 3), (3, "bad", 3, None, None, 1, 3)],
+        "request_id int, query string, top_k int, shard_key string, nprobe int, page int, page_size int",
+    )
+
+    def embed_queries(df, column):
+        found = hash_embed(df, column, DIM)
+        short = F.when(F.col(column) == "short", F.slice("embedding", 1, 3)).otherwise(F.col("embedding"))
+        status = F.when(F.col(column) == "bad", "failed").otherwise(F.col("embed_status"))
+        return found.withColumns({"embedding": short, "embed_status": status})
+
+    index = load_index(spark, path)
+    answer = search(requests, index, embed_queries, default_shard="2023-01", id_col="record_id")
+    assert {r.request_id: r.reasons for r in answer.rejected.collect()} == {
+        2: [f"dimension 3 is not {DIM}"], 3: ["embedding failed"],
+    }
+    assert {r.request_id for r in answer.pages.collect()} == {1}
+
+
+@pytest.mark.parametrize("m", [None, 4])
+def test_refresh_publishes_a_new_version(spark, trips, m):
+    embedded = ingest.embed_trips(trips, datetime(2026, 1, 1), DIM).cache()
+    path = new_path(spark, "index")
+    names = dict(id_col="record_id", shard_col="year_month")
+    build_index(embedded, path, DIM, nlist=4, m=m, nbits=4, **names)
+    old = load_index(spark, path)
+    changed = embedded.filter("record_id < 5")
+    assert refresh_index(changed, path, nbits=4, deleted=embedded.filter("record_id = 9"), **names) == 2
+    new = load_index(spark, path)
+    assert (old.version, new.version) == (1, 2) and old.postings.count() == 400
+    assert new.postings.count() == 399 and new.postings.columns == old.postings.columns
+    column = "embedding" if m is None else "codes"
+    same = old.postings.join(new.postings, ["record_id", "cell", column, "shard_key"])
+    assert same.count() == 399
+
+
 def _key(answer, request_id):
     return answer.pages.filter(F.col("request_id") == request_id).first().result_key

@@ -47,9 +47,9 @@ def test_full_probe_is_exact_and_recall_grows(index):
     ]
     assert seen == sorted(seen) and seen[0] > 0.5
     assert hits(ivf.ivf_flat_search(postings, centroids, queries, 10, NLIST)) == exact
-    grid = dict(max_broadcast_queries=1, vector_block_rows=70, query_block_rows=4)
+    parts = dict(max_broadcast_bytes=400)
     few = hits(ivf.ivf_flat_search(postings, centroids, queries, 10, 4))
-    assert few == hits(ivf.ivf_flat_search(postings, centroids, queries, 10, 4, **grid))
+    assert few == hits(ivf.ivf_flat_search(postings, centroids, queries, 10, 4, **parts))
 
 
 def test_nprobe_per_query(index):

@@ -1,4 +1,4 @@
-"""Exact search in both layouts against brute force."""
+"""Exact search against brute force, with the queries in one part and in several."""
 
 import numpy as np
 import pytest
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests_support import brute_force, clustered, hits, plan_of, query_frame, vector_frame
 from vecspark.operators import knn
 
-GRID = dict(max_broadcast_queries=2, vector_block_rows=300, query_block_rows=3)
+PARTS = dict(max_broadcast_bytes=600)
 
 
 @pytest.fixture(scope="module")
@@ -21,13 +21,13 @@ def data(spark):
     return x, label, q, vectors, query_frame(spark, q)
 
 
-@pytest.mark.parametrize("limits", [{}, GRID])
+@pytest.mark.parametrize("limits", [{}, PARTS])
 def test_exact_matches_brute_force(data, limits):
     x, _, q, vectors, queries = data
     assert hits(knn.exact_knn(vectors, queries, 10, **limits)) == brute_force(x, q, 10)
 
 
-@pytest.mark.parametrize("limits", [{}, GRID])
+@pytest.mark.parametrize("limits", [{}, PARTS])
 def test_fanout_over_shards(data, limits):
     x, label, q, vectors, queries = data
     wanted = queries.withColumn("shards", F.array(F.col("query_id"), F.col("query_id") + 1))
@@ -60,8 +60,18 @@ def test_query_lengths_must_agree(spark):
     queries = spark.createDataFrame(
         [(0, [1.0, 1.0]), (1, [1.0])], "query_id int, query_vector array<float>"
     )
-    with pytest.raises(ValueError, match="length"):
-        knn.exact_knn(vector_frame(spark, np.ones((3, 2))), queries, 5)
+    for limits in ({}, PARTS, {"max_broadcast_bytes": 1}):
+        with pytest.raises(ValueError, match="length"):
+            knn.exact_knn(vector_frame(spark, np.ones((3, 2))), queries, 5, **limits)
+
+
+def test_large_ids_next_to_null_ones(spark):
+    big = 2**53 + 1
+    vectors = spark.createDataFrame(
+        [(big, [1.0, 1.0]), (None, [1.0, 1.0]), (3, [0.0, 1.0])], "id long, embedding array<float>"
+    )
+    found = knn.exact_knn(vectors.coalesce(1), query_frame(spark, np.ones((1, 2))), 5)
+    assert [r.id for r in found.orderBy("rank").collect()] == [big, 3]
 
 
 def test_no_queries(spark):
@@ -91,6 +101,14 @@ def test_limit_per_request(spark):
     assert {r.query_id: r["count"] for r in cut.groupBy("query_id").count().collect()} == {0: 2, 1: 4}
 
 
+def test_many_queries_move_no_vectors(spark, data):
+    _, _, _, vectors, _ = data
+    requests = vectors.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    plan = plan_of(knn.exact_knn(vectors, requests, 2))
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any("embedding" in line for line in exchanges)
+
+
 def test_mean_vectors(spark):
     x = np.array([[1, 2], [3, 4], [5, 9]], dtype=np.float32)
     means = knn.mean_vectors(vector_frame(spark, x, g=[0, 0, 1]), "g", "embedding")

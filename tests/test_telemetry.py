@@ -175,3 +175,10 @@ def test_metadata_and_json(spark):
         assert {r.id: r.metadata for r in mapped.collect()} == {7: {"zone": "x"}, 9: {"zone": None}}
     row = rs.results_json(hits, ["q"], "id").first()
     assert row.results_json == '[{"id":9,"score":0.25},{"id":7,"score":0.5}]'
+
+
+def test_percentiles_keep_null_and_empty_groups(spark):
+    rows = [(None, 1.0), (None, 3.0), ("a", 2.0), ("b", None), ("b", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    found = {r.g: (r["mean"], r.p50) for r in tm.exact_percentiles(df, "g", "v", [0.5]).collect()}
+    assert found == {None: (2.0, 2.0), "a": (2.0, 2.0), "b": (None, None)}

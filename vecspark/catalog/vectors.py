@@ -148,6 +148,25 @@ QUERIES["exact_knn"] = q_exact_knn
 ORACLES["exact_knn"] = EXACT_SQL
 
 
+def q_batch_knn(spark, sf):
+    """Every vector is a query, in several parts."""
+    vectors = embeddings(spark, sf)
+    requests = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    return ranked(exact_knn(vectors, requests, 3, id_col="vec_id", max_broadcast_bytes=1 << 18))
+
+
+QUERIES["batch_knn"] = q_batch_knn
+ORACLES["batch_knn"] = """
+WITH d AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         list_sum(list_transform(list_zip(q.embedding, v.embedding),
+                                 x -> power(x[1]::DOUBLE - x[2]::DOUBLE, 2))) AS distance
+  FROM embeddings q, embeddings v)
+SELECT query_id, vec_id, round(distance, 6) AS distance,
+       (row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id))::INTEGER AS rank
+FROM d QUALIFY rank <= 3"""
+
+
 def q_hit_metadata_join(spark, sf):
     vectors = embeddings(spark, sf)
     hits = _exact(spark, sf)

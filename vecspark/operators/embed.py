@@ -70,12 +70,14 @@ def embed(
     output_col: str = "embedding",
     batch_size: int = 256,
     on_error: str = "zero",
+    error_col: str | None = None,
 ) -> DataFrame:
     """Add a vector of length ``dim`` and ``embed_status`` (``ok``, ``blank`` or ``failed``).
 
     ``make_encoder`` runs once per task, so models and clients are built inside the worker.
     The output has exactly the input rows: blank inputs, and with ``on_error="zero"`` also
-    batches the encoder fails on, get the zero vector.
+    rows the encoder fails on, get the zero vector.  A batch that fails is tried again row by
+    row, so one bad text costs one row.  ``error_col`` names a column for the error's text.
     """
     if on_error not in ("zero", "raise"):
         raise ValueError("on_error is 'zero' or 'raise'")
@@ -87,8 +89,16 @@ def embed(
             T.StructField("embed_status", T.StringType()),
         ]
     )
+    if error_col:
+        schema = schema.add(error_col, T.StringType())
     names = schema.fieldNames()
 
+    def encode(encoder, values: pa.Array, part: np.ndarray) -> np.ndarray:
+        encoded = np.asarray(encoder(values.take(pa.array(part))), dtype=np.float32)
+        if encoded.shape != (len(part), dim):
+            raise ValueError(f"encoder returned {encoded.shape}, not {(len(part), dim)}")
+        return encoded
+
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = make_encoder()
         for batch in batches:
@@ -96,19 +106,24 @@ def embed(
             vectors = np.zeros((len(values), dim), dtype=np.float32)
             status = np.full(len(values), "blank", dtype=object)
             filled = _filled(values)
-            for start in range(0, len(filled), batch_size):
-                part = filled[start : start + batch_size]
+            errors: list[str | None] = [None] * len(values)
+            parts = [filled[i : i + batch_size] for i in range(0, len(filled), batch_size)][::-1]
+            while parts:
+                part = parts.pop()
                 try:
-                    encoded = np.asarray(encoder(values.take(pa.array(part))), dtype=np.float32)
-                    if encoded.shape != (len(part), dim):
-                        raise ValueError(f"encoder returned {encoded.shape}, not {(len(part), dim)}")
-                    vectors[part] = encoded
+                    vectors[part] = encode(encoder, values, part)
                     status[part] = "ok"
-                except Exception:
+                except Exception as error:
                     if on_error == "raise":
                         raise
+                    if len(part) > 1:
+                        parts += [part[i : i + 1] for i in range(len(part))][::-1]
+                        continue
                     status[part] = "failed"
+                    errors[part[0]] = f"{type(error).__name__}: {error}"
             columns = [*batch.columns, float_lists(vectors), pa.array(status, type=pa.string())]
+            if error_col:
+                columns.append(pa.array(errors, type=pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return df.mapInArrow(encode_batches, schema)

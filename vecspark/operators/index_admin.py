@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecspark.operators.ivf import assign_cells, ivf_flat_search
+from vecspark.operators.pq import pq_encode
 
 _ID_BYTES = 8
 _FLOAT_BYTES = 4
@@ -73,10 +74,20 @@ def refresh_postings(
     id_col: str = "id",
     vec_col: str = "embedding",
     deleted: DataFrame | None = None,
+    codebooks: DataFrame | None = None,
 ) -> DataFrame:
-    """Postings after a merge: only changed rows are assigned again, with the same centroids."""
-    columns = [c for c in postings.columns if c not in ("cell", "cell_distance")]
+    """Postings after a merge: only changed rows are assigned again, with the same centroids.
+
+    Postings with codes need the ``codebooks`` that the changed rows are encoded with.
+    """
+    coded = "codes" in postings.columns
+    if coded and codebooks is None:
+        raise ValueError("postings with codes need their codebooks")
+    columns = [c for c in postings.columns if c not in ("cell", "cell_distance", "codes")]
+    columns = [*columns, vec_col] if coded else columns
     assigned = assign_cells(changed.select(*columns), centroids, vec_col)
+    if coded:
+        assigned = pq_encode(assigned, centroids, codebooks, vec_col)
     gone = changed.select(id_col)
     if deleted is not None:
         gone = gone.unionByName(deleted.select(id_col))

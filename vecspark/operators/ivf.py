@@ -19,7 +19,6 @@ from vecspark.sources.workspace import materialize
 # Training size rules.
 MAX_TRAINING_VECTORS = 1_000_000
 VECTORS_PER_CENTROID = 39
-MAX_VECTORS_PER_CENTROID = 256
 MAX_MODEL_BYTES = 1024 * 1024 * 1024
 
 
@@ -43,12 +42,16 @@ def train_centroids(
     seed: int = 42,
     max_iter: int = 20,
     max_training_vectors: int = MAX_TRAINING_VECTORS,
+    max_per_centroid: int | None = None,
 ) -> DataFrame:
     """Coarse quantiser as a table ``cell, centroid`` of at most ``nlist`` rows.
 
-    More than ``MAX_VECTORS_PER_CENTROID`` training vectors per centroid add nothing.
+    Tables of more than ``max_training_vectors`` are sampled by hash; ``max_per_centroid``
+    lowers that to so many vectors per centroid.
     """
-    max_rows = min(max_training_vectors, MAX_VECTORS_PER_CENTROID * nlist)
+    max_rows = max_training_vectors
+    if max_per_centroid:
+        max_rows = min(max_rows, max_per_centroid * nlist)
     sample, total = training_sample(vectors, id_col, max_rows, seed)
     if total < nlist * VECTORS_PER_CENTROID:
         warnings.warn(
@@ -91,10 +94,17 @@ def _nearest(x: np.ndarray, centroids: np.ndarray, n: int) -> tuple[np.ndarray,
     slack = rounding_slack(centroids, x)[:, None]
     kth = np.partition(approx, n - 1, axis=1)[:, n - 1 : n]
     rows, cols = np.nonzero(approx <= kth + 2 * slack)
-    exact = np.full(approx.shape, np.inf)
-    exact[rows, cols] = ((x[rows] - centroids[cols]) ** 2).sum(axis=1)
-    order = np.argsort(exact, axis=1, kind="stable")[:, :n]
-    return order, np.take_along_axis(exact, order, axis=1)
+    exact = ((x[rows] - centroids[cols]) ** 2).sum(axis=1)
+    # Vectors that compare with nothing (NaN) are given the first cells, infinitely far.
+    lost = np.flatnonzero(np.bincount(rows, minlength=len(x)) < n)
+    rows = np.append(rows, np.repeat(lost, n))
+    cols = np.append(cols, np.tile(np.arange(n), len(lost)))
+    exact = np.append(exact, np.full(n * len(lost), np.inf))
+    # Only the few candidates of each row are sorted, not all centroids.
+    order = np.lexsort((cols, exact, rows))
+    first = np.searchsorted(rows[order], np.arange(len(x)))
+    best = order[first[:, None] + np.arange(n)] if len(x) else np.zeros((0, n), int)
+    return cols[best], exact[best]
 
 
 def assign_cells(

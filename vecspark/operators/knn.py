@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vecspark.operators.scan import scan_topk
 
@@ -63,11 +67,51 @@ def limit_per_request(hits: DataFrame, requests: DataFrame, key: str, top_k_col:
 
 
 def mean_vectors(df: DataFrame, group_col: str, vec_col: str, out_col: str = "mean_vector") -> DataFrame:
-    """Element-wise mean of the vectors of each group."""
+    """Element-wise mean of the vectors of each group.
+
+    Every task sends one sum per group and length; entries are never taken apart into rows
+    before that.  A null entry counts neither in the sum nor in the number of its place.
+    """
+    kind = df.schema[group_col].dataType
+    schema = T.StructType(
+        [
+            T.StructField(group_col, kind),
+            T.StructField("_sums", T.ArrayType(T.DoubleType())),
+            T.StructField("_counts", T.ArrayType(T.LongType())),
+        ]
+    )
+
+    def partial(batches):
+        sums: dict = {}
+        for batch in batches:
+            groups = batch.column(0).to_pylist()
+            vectors = batch.column(1).to_pylist()
+            members: dict = {}
+            for at, (group, vector) in enumerate(zip(groups, vectors, strict=True)):
+                if vector is not None:
+                    members.setdefault((group, len(vector)), []).append(at)
+            for key, rows in members.items():
+                x = np.array([vectors[i] for i in rows], dtype=np.float64).reshape(len(rows), key[1])
+                known = np.array([[v is not None for v in vectors[i]] for i in rows], bool).reshape(x.shape)
+                old = sums.get(key, (0.0, 0))
+                sums[key] = (old[0] + np.where(known, x, 0.0).sum(axis=0), old[1] + known.sum(axis=0))
+        arrow = to_arrow_schema(schema)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([g for g, _ in sums], arrow.field(0).type),
+                pa.array([s.tolist() for s, _ in sums.values()], arrow.field(1).type),
+                pa.array([c.tolist() for _, c in sums.values()], arrow.field(2).type),
+            ],
+            schema=arrow,
+        )
+
+    vectors = df.select(group_col, F.col(vec_col).cast("array<double>"))
+    place = F.posexplode(F.arrays_zip("_sums", "_counts")).alias("_pos", "_x")
     return (
-        df.select(group_col, F.posexplode(F.col(vec_col).cast("array<double>")).alias("_pos", "_x"))
+        vectors.mapInArrow(partial, schema)
+        .select(group_col, place)
         .groupBy(group_col, "_pos")
-        .agg(F.avg("_x").alias("_x"))
+        .agg((F.sum("_x._sums") / F.nullif(F.sum("_x._counts"), F.lit(0))).alias("_x"))
         .groupBy(group_col)
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_x"))).alias("_means"))
         .select(group_col, F.col("_means._x").alias(out_col))

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from vecspark.functions.vectors import squared_l2
 from vecspark.operators.ivf import (
     MAX_TRAINING_VECTORS,
-    MAX_VECTORS_PER_CENTROID,
     model_matrix,
     model_table,
     probe_cells,
@@ -26,6 +25,7 @@ from vecspark.operators.ivf import (
 from vecspark.operators.knn import best_per_query
 from vecspark.operators.results import MAX_BROADCAST_HITS
 from vecspark.operators.scan import dense, scan_topk, squared_distances
+from vecspark.sources.workspace import materialize
 
 
 _ENCODE_ROWS = 2048
@@ -67,9 +67,12 @@ def train_codebooks(
     iterations: int = 10,
     seed: int = 42,
     max_training_vectors: int = MAX_TRAINING_VECTORS,
+    max_per_codeword: int | None = None,
 ) -> DataFrame:
     """Codebooks as a table ``sub, code, codeword``.
 
+    ``postings`` should be stored: they are counted and then sampled.
+
     Each Lloyd round is one job over the training sample for all sub-spaces together: tasks
     send one partial sum per codeword, and only the codebooks come back to the driver.
     """
@@ -79,18 +82,18 @@ def train_codebooks(
     context = postings.sparkSession.sparkContext
     model = context.broadcast((cells, matrix))
     columns = postings.select(id_col, "cell", vec_col).filter(F.size(vec_col) == dim)
-    max_rows = min(max_training_vectors, MAX_VECTORS_PER_CENTROID * size)
+    max_rows = max_training_vectors
+    if max_per_codeword:
+        max_rows = min(max_rows, max_per_codeword * size)
     sample, _ = training_sample(columns, id_col, max_rows, seed)
-    sample = sample.persist()
-    try:
-        start = sample.orderBy(F.xxhash64(id_col, F.lit(seed)), id_col).limit(size).toArrow()
-        seeds = _residuals(start, 2, 1, cells, matrix)
-        seeds = seeds[np.arange(size) % len(seeds)]
-        codebooks = np.ascontiguousarray(seeds.reshape(size, m, dim // m).transpose(1, 0, 2))
-        for _ in range(iterations):
-            codebooks = _lloyd_round(sample, model, context.broadcast(codebooks), codebooks)
-    finally:
-        sample.unpersist()
+    # Written, so that a lost executor costs no second pass over the table.
+    sample = materialize(sample, "pq-sample")
+    start = sample.orderBy(F.xxhash64(id_col, F.lit(seed)), id_col).limit(size).toArrow()
+    seeds = _residuals(start, 2, 1, cells, matrix)
+    seeds = seeds[np.arange(size) % len(seeds)]
+    codebooks = np.ascontiguousarray(seeds.reshape(size, m, dim // m).transpose(1, 0, 2))
+    for _ in range(iterations):
+        codebooks = _lloyd_round(sample, model, context.broadcast(codebooks), codebooks)
     sub, code = np.indices((m, size), dtype=np.int32)
     keys = {"sub": sub.ravel(), "code": code.ravel()}
     return model_table(postings.sparkSession, keys, "codeword", codebooks.reshape(m * size, -1))

@@ -1,11 +1,9 @@
 """Top-k scan: query vectors against a table of vectors, exact for any table sizes.
 
-Two layouts give the same rows:
-
-* few queries (the size is checked): they are broadcast, every task keeps a running top-k
-  per query over its own vectors, and only those k rows per task and query are shuffled;
-* more queries: vectors and queries are cut into blocks of bounded size per group, and each
-  pair of blocks is one co-group.  A hot group therefore becomes many tasks.
+Queries are broadcast, as many at a time as fit into a bound of bytes; more are cut into parts
+that fit, and the table is scanned for each part in turn.  Vectors stay where they are: every
+task keeps a running top-k per query over its own vectors, and only those k rows per task and
+query are shuffled.  Groups that a part looks in are pushed into its scan.
 
 No pair of vector and query ever leaves a task unless it is in that task's top-k.
 """
@@ -16,7 +14,6 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +21,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from vecspark.sources.workspace import materialize
 
-MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+# Longer lists of groups would slow planning down more than they save; the rows are the same.
 MAX_PUSHED_GROUPS = 10_000
-VECTOR_BLOCK_ROWS = 50_000
-QUERY_BLOCK_ROWS = 4096
 _BATCH_ROWS = 8192
 # Distances computed at a time, so that they stay in the processor's cache.
 _SCORE_CELLS = 1 << 19
@@ -189,14 +184,14 @@ def scan_topk(
     group_cols: Sequence[str] = (),
     probe_col: str | None = None,
     make_kernel: Callable[[str, np.ndarray], Kernel] = flat_kernel,
-    max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
-    vector_block_rows: int = VECTOR_BLOCK_ROWS,
-    query_block_rows: int = QUERY_BLOCK_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``query_cols``, ``id_col``, ``distance`` and ``rank`` of the k nearest rows per query.
 
     With ``group_cols`` a query only looks at the groups in its ``probe_col``, an array of
-    structs with those columns.  Fewer than k candidates give fewer rows.
+    structs with those columns.  Fewer than k candidates give fewer rows.  Vectors without an id
+    can't be named as hits and are left out; query vectors that are null or of different lengths
+    raise an error, however many there are.
     """
     group_cols, query_cols = list(group_cols), list(query_cols)
     schema = T.StructType(
@@ -207,20 +202,34 @@ def scan_topk(
         ]
     )
     probes = [probe_col] if group_cols else []
-    wanted = queries.select(*query_cols, F.col(query_vec_col).cast("array<double>"), *probes)
-    vectors = vectors.select(*group_cols, id_col, payload_col)
-
-    head = wanted.limit(max_broadcast_queries + 1).toArrow()
-    if head.num_rows <= max_broadcast_queries and head.nbytes <= MAX_BROADCAST_BYTES:
-        found = _broadcast_scan(
-            vectors, head, k, id_col, payload_col, query_cols, query_vec_col, group_cols,
-            probe_col, make_kernel, schema,
-        )
-    else:
-        found = _grid_scan(
-            vectors, wanted, k, id_col, payload_col, query_cols, query_vec_col, group_cols,
-            probe_col, make_kernel, schema, vector_block_rows, query_block_rows,
-        )
+    vector = F.col(query_vec_col).cast("array<double>").alias(query_vec_col)
+    # Computed once, then read for the facts below and for each part.
+    wanted = materialize(queries.select(*query_cols, vector, *probes), "queries")
+    vectors = vectors.select(*group_cols, id_col, payload_col).filter(F.col(id_col).isNotNull())
+
+    length = F.size(query_vec_col)
+    size = F.octet_length(F.to_json(F.struct(*query_cols))) + 8 * length
+    for probe in probes:
+        size = size + F.greatest(F.size(probe), F.lit(0)) * 32 * len(group_cols)
+    facts = wanted.agg(
+        F.count(F.lit(1)).alias("queries"), F.min(length).alias("least"), F.max(length).alias("most"),
+        F.sum(size.cast("long")).alias("bytes"),
+    ).first()
+    if facts.queries and (facts.least != facts.most or facts.least < 0):
+        raise ValueError("query vectors differ in length")
+    parts = -(-(facts.bytes or 0) // max_broadcast_bytes)
+    if parts > 1:
+        parts += parts // 4 + 1  # parts are of equal size on average only
+    names = (k, id_col, payload_col, query_cols, query_vec_col, group_cols, probe_col, make_kernel, schema)
+    found = None
+    for part in range(max(parts, 1)):
+        if parts > 1:
+            head = wanted.filter(F.pmod(F.xxhash64(*query_cols), F.lit(parts)) == part).toArrow()
+            # Written before the next part, so that the driver holds one part at a time.
+            hits = materialize(_broadcast_scan(vectors, head, *names), "hits")
+        else:
+            hits = _broadcast_scan(vectors, wanted.toArrow(), *names)
+        found = hits if found is None else found.unionByName(hits)
     rank = F.row_number().over(Window.partitionBy(*query_cols).orderBy("distance", id_col))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
@@ -232,8 +241,6 @@ def _broadcast_scan(
     spark = vectors.sparkSession
     if head.num_rows == 0:
         return spark.createDataFrame([], schema)
-    if len(pc.unique(pc.list_value_length(head.column(query_vec_col)))) > 1:
-        raise ValueError("query vectors differ in length")
     query_values = [head.column(c).to_pylist() for c in query_cols]
     matrix = dense(head.column(query_vec_col))
     groups: dict[tuple, list[int]] | None = None
@@ -271,66 +278,3 @@ def _matching_size(vectors: DataFrame, payload_col: str, dim: int) -> DataFrame:
     if isinstance(vectors.schema[payload_col].dataType, T.ArrayType):
         return vectors.filter(F.size(payload_col) == dim)
     return vectors.filter(F.col(payload_col).isNotNull())
-
-
-def _grid_scan(
-    vectors, wanted, k, id_col, payload_col, query_cols, query_vec_col, group_cols, probe_col,
-    make_kernel, schema, vector_block_rows, query_block_rows,
-):
-    dim = wanted.select(F.size(query_vec_col)).first()[0]
-    vectors = _matching_size(vectors, payload_col, dim)
-    if group_cols:
-        wanted = wanted.withColumn("_probe", F.explode(probe_col)).select(
-            *[F.col(f"_probe.{c}").alias(c) for c in group_cols], *query_cols, query_vec_col
-        )
-
-    def blocks(rows, size):
-        return F.ceil(rows / F.lit(size)).cast("int")
-
-    if group_cols:
-        n_vectors = vectors.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_v"))
-        n_queries = wanted.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_q"))
-        # One short row per probed group; written so that Catalyst knows its size.
-        sizes = materialize(
-            n_vectors.join(n_queries, group_cols).select(
-                *group_cols,
-                blocks(F.col("_v"), vector_block_rows).alias("_nv"),
-                blocks(F.col("_q"), query_block_rows).alias("_nq"),
-            ),
-            "blocks",
-        )
-        vectors, wanted = vectors.join(sizes, group_cols), wanted.join(sizes, group_cols)
-    else:
-        counts = {
-            "_nv": blocks(F.lit(vectors.count()), vector_block_rows),
-            "_nq": blocks(F.lit(wanted.count()), query_block_rows),
-        }
-        vectors, wanted = vectors.withColumns(counts), wanted.withColumns(counts)
-
-    def block_of(cols, n):
-        return F.pmod(F.xxhash64(*cols), F.greatest(F.col(n), F.lit(1))).cast("int")
-
-    def all_blocks(n):
-        return F.explode(F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1))
-
-    left = vectors.select(
-        *group_cols, id_col, payload_col,
-        block_of([id_col], "_nv").alias("_vb"), all_blocks("_nq").alias("_qb"),
-    )
-    right = wanted.select(
-        *group_cols, *query_cols, query_vec_col,
-        all_blocks("_nv").alias("_vb"), block_of(query_cols, "_nq").alias("_qb"),
-    )
-
-    def pair(block: pa.Table, queries: pa.Table) -> pa.Table:
-        best = RunningTopK(queries.num_rows, k)
-        values = [queries.column(c).to_pylist() for c in query_cols]
-        if queries.num_rows and block.num_rows:
-            kernel = make_kernel(payload_col, dense(queries.column(query_vec_col)))
-            everyone = np.arange(queries.num_rows)
-            for batch in block.combine_chunks().to_batches(max_chunksize=_BATCH_ROWS):
-                scan_batch(batch, id_col, group_cols, lambda _key: everyone, kernel, best)
-        return pa.Table.from_arrays(_output(schema, values, best), names=schema.fieldNames())
-
-    keys = [*group_cols, "_vb", "_qb"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(pair, schema)

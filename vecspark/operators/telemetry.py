@@ -61,11 +61,14 @@ def exact_percentiles(
     Approximate quantiles only choose bin edges.  Exact bin counts then say in which bins the
     wanted ranks lie, and only those bins are cut again until they are small.  The values left
     are counted before they are ranked, so copies of one value are one row.  Neither a hot
-    group nor the number of values is held in one task.
+    group nor the number of values is held in one task.  The null group is a group like
+    others, and a group without any value has null results.
     """
-    values = df.select(
-        F.col(group_col).alias("g"), F.col(value_col).cast("double").alias("v")
-    ).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    # Within a struct a null equals a null, also in joins.
+    group = F.struct(F.col(group_col).alias("k")).alias("g")
+    values = df.select(group, F.col(value_col).cast("double").alias("v")).filter(
+        F.col("v").isNotNull() & ~F.isnan("v")
+    )
     keys, wanted = ["g"], None
     for level in range(max_levels):
         bin_col = f"b{level}"
@@ -111,7 +114,11 @@ def exact_percentiles(
         .agg(F.max("mean").alias("mean"), (low + (high - low) * F.max("share")).alias("q"))
     )
     columns = [F.max(F.when(F.col("p") == p, F.col("q"))).alias(percentile_name(p)) for p in probs]
-    return found.groupBy(F.col("g").alias(group_col)).agg(F.max("mean").alias("mean"), *columns)
+    found = found.groupBy("g").agg(F.max("mean").alias("mean"), *columns)
+    groups = df.select(group).distinct()
+    return groups.join(found, "g", "left").select(
+        F.col("g.k").alias(group_col), *[c for c in found.columns if c != "g"]
+    )
 
 
 def percentile_name(p: float) -> str:

@@ -29,12 +29,18 @@ from vecspark.sources.workspace import materialize
 
 @dataclass(frozen=True)
 class SearchAnswer:
-    """``rejected`` have reasons, ``hits`` are the full results, ``pages`` the requested parts."""
+    """Every request is in one of the parts.
+
+    ``rejected`` have reasons, those of failed encoding included; ``hits`` are the full results
+    and ``pages`` the requested parts; ``answered`` tells of each answered request its
+    ``query_hash``, ``shard_key`` and whether a stored result was used (``cache_hit``).
+    """
 
     rejected: DataFrame
     unknown_shards: DataFrame
     hits: DataFrame
     pages: DataFrame
+    answered: DataFrame
 
 
 def prepare_requests(requests: DataFrame, default_shard: str) -> tuple[DataFrame, DataFrame]:
@@ -92,14 +98,28 @@ def search(
         oldest = F.lit((asked_at - timedelta(seconds=ttl_seconds)).isoformat(sep=" "))
         alive = (F.col("filled_at") > oldest.cast("timestamp_ntz")) & (F.col("filled_at") <= asked)
         reused = stored.filter(alive).join(wanted.select("result_key"), "result_key", "left_semi")
+        # Of several fills that are alive the newest counts.
+        newest = reused.groupBy("result_key").agg(F.max("filled_at").alias("_newest"))
+        reused = materialize(
+            reused.join(newest, "result_key").filter(F.col("filled_at") == F.col("_newest")).drop("_newest"),
+            "reused",
+        )
         wanted = wanted.join(reused.select("result_key"), "result_key", "left_anti")
 
     embedded = embed_queries(wanted, "query").withColumn("shards", F.array("shard_key"))
     vector = l2_normalize("embedding") if index.normalized else F.col("embedding")
-    queries = embedded.filter(F.col("embed_status") == "ok").withColumn("query_vector", vector)
+    reason = F.when(F.col("embed_status") != "ok", F.concat(F.lit("embedding "), "embed_status")).when(
+        ~F.coalesce(F.size("query_vector") == index.dim, F.lit(False)),
+        F.concat(F.lit("dimension "), F.coalesce(F.size("query_vector"), F.lit(0)), F.lit(f" is not {index.dim}")),
+    )
     # Encoded once, then read by both probing and scanning.
-    queries = queries.select("result_key", "top_k", "nprobe", "shards", "query_vector")
+    queries = embedded.withColumn("query_vector", vector).withColumn("reason", reason)
+    queries = queries.select("result_key", "top_k", "nprobe", "shards", "query_vector", "reason")
     queries = materialize(queries, "queries")
+    unusable = queries.filter("reason IS NOT NULL").select("result_key", F.array("reason").alias("reasons"))
+    failed = valid.select("request_id", "result_key").join(unusable, "result_key").drop("result_key")
+    rejected = rejected.unionByName(requests.join(failed, "request_id"))
+    queries = queries.filter("reason IS NULL").drop("reason")
     n_queries, k = queries.agg(F.count(F.lit(1)), F.max("top_k")).first()
     k = k or DEFAULT_TOP_K
     names = dict(id_col=id_col, query_cols=["result_key"], shards_col="shards")
@@ -123,7 +143,13 @@ def search(
         hits = attach_metadata(hits, source, id_col, metadata_cols, max_hits=n_queries * k)
     # Searched once: pages and later runs read the written result.
     hits = materialize(hits.withColumn("filled_at", asked), "hits")
+    used = queries.select("result_key", F.lit(False).alias("cache_hit"))
     if reused is not None:
         hits = hits.unionByName(reused)
+        kept = reused.select("result_key").distinct().withColumn("cache_hit", F.lit(True))
+        used = used.unionByName(kept)
     pages = page_hits(hits, valid, ["result_key"], ["request_id"])
-    return SearchAnswer(rejected, unknown, hits, pages)
+    answered = valid.join(used, "result_key").select(
+        "request_id", "query_hash", "shard_key", "top_k", "nprobe", "cache_hit"
+    )
+    return SearchAnswer(rejected, unknown, hits, pages, answered)
