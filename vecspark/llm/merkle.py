@@ -19,19 +19,19 @@ empty texts are alike by 1, an empty and another one by 0.
 from __future__ import annotations
 
 import hashlib
+import json
+import math
 import re
 import zlib
 from collections import Counter
 
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from vecspark.llm.batches import text_slices
-from vecspark.sources.workspace import materialize
 
 PIECE_WORDS, MOST_PIECE_WORDS, PIECE_CLASSES, SECTION_CLASSES = 2, 12, 5, 4
 #: Words at the start of a document that are pieces of their own.
@@ -210,47 +210,61 @@ class _Document:
         }
 
 
-def _in_range(schema: pa.Schema):
-    """Compares the documents of a sorted range; the outer ones go out with their texts."""
+def _in_ranges(schema: pa.Schema):
+    """Compares the documents of sorted ranges, the last of each with the copy that ends it."""
 
     def run(batches):
-        part, held, first = TaskContext.get().partitionId(), None, None
+        held, range_no = None, None
         for batch in batches:
             for piece, texts in text_slices([batch], "text"):
                 rows = []
-                for doc_id, text in zip(piece.column(0).to_pylist(), texts.to_pylist(), strict=True):
+                for number, copy, doc_id, text in zip(
+                    *(piece.column(i).to_pylist() for i in range(3)), texts.to_pylist(), strict=True
+                ):
+                    if number != range_no:
+                        held, range_no = None, number
+                    if copy and held is None:  # a further row with the id of the first copy
+                        continue
                     new = _Document(doc_id, text)
-                    if held is None:
-                        first = new
-                    else:
+                    if held is not None:
                         rows.append(held.compared(new))
-                    held = new
+                    held = None if copy else new
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
-        if held is not None:
-            ends = {"part": part, "first_text": first.text, "last_text": held.text, "doc_id": held.doc_id}
-            yield pa.RecordBatch.from_pylist([ends], schema=schema)
 
     return run
 
 
-def _across(schema: pa.Schema):
-    def run(batches):
-        for batch in batches:
-            rows = [
-                _Document(r["doc_id"], r["last_text"]).compared(_Document(None, r["next_text"]))
-                for r in batch.to_pylist()
-            ]
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+#: Rows of a range on average, and the most ranges that ids are cut into.
+RANGE_ROWS, MAX_RANGES = 2_000, 16_384
 
-    return run
+
+def _longs(values: list, kind: str = "array<bigint>") -> Column:
+    """A constant array, as one literal."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
 
 
-def compare_with_next(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _range_of(doc_id: Column, borders: list[int]) -> Column:
+    """How many of the falling borders lie above the id; found in two steps, by every so manieth
+    border and then by those between two of them. Rows without an id come after all others."""
+    step = max(1, math.isqrt(len(borders)))
+    groups = [borders[i : i + step] for i in range(0, len(borders), step)]
+    passed = F.size(F.filter(_longs([g[0] for g in groups]), lambda b: b > doc_id))
+    inside = F.get(_longs(groups, "array<array<bigint>>"), passed - 1)
+    found = F.when(passed == 0, F.lit(0)).otherwise(
+        (passed - 1) * step + F.size(F.filter(inside, lambda b: b > doc_id))
+    )
+    return F.when(doc_id.isNull(), F.lit(len(borders) + 1)).otherwise(found)
+
+
+def compare_with_next(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_rows: int = RANGE_ROWS
+) -> DataFrame:
     """Each document with its fingerprint, that of its edited text, and likenesses.
 
-    The next document is the one with the next smaller id; after the last comes the first.  Texts
-    are sent once, to the task of their range of ids.  What is left are the last documents of the
-    ranges, one a task: each is joined to the first one of the range that follows.
+    The next document is the one with the next smaller id; after the last comes the first.  Ids are
+    cut into ranges of about equal numbers of rows, and every text is sent once, to the task of its
+    range.  The first document of a range also goes to the range before, as what follows its last.
+    The driver learns a border and a first id per range, not more.
 
     Rows with equal ids follow each other by text; rows without an id come last; a table of one row
     is followed by itself.
@@ -259,22 +273,30 @@ def compare_with_next(documents: DataFrame, id_col: str = "doc_id", text_col: st
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
-    order = [F.desc("doc_id"), F.asc("text")]
-    edges = "part long, first_text string, last_text string"
-    fields = T.StructType.fromDDL(f"{_RESULT}, {edges}")
-    laid_out = source.repartitionByRange(F.desc("doc_id")).sortWithinPartitions(*order)
-    done = materialize(
-        laid_out.mapInArrow(_in_range(to_arrow_schema(fields)), fields), "compared"
-    )
-    ends = done.filter("part IS NOT NULL")
-    # One number per range: its place among the ranges that have rows.
-    parts = sorted(r.part for r in ends.select("part").collect())
-    following = dict(zip(parts, [*parts[1:], *parts[:1]], strict=True))
-    numbers = documents.sparkSession.createDataFrame(
-        [(a, b) for a, b in following.items()], "part long, next_part long"
+    ids = source.select("doc_id").filter("doc_id IS NOT NULL")
+    parts = min(MAX_RANGES, -(-ids.count() // range_rows))
+    borders = []
+    if parts > 1:
+        shares = [i / parts for i in range(1, parts)]
+        found = ids.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * parts))).first()[0]
+        borders = sorted(set(found), reverse=True)
+    number = _range_of(F.col("doc_id"), borders) if borders else F.when(F.col("doc_id").isNull(), 1).otherwise(0)
+    number = number.cast("int")
+    firsts = source.select(number.alias("range"), "doc_id").groupBy("range").agg(F.max("doc_id").alias("first"))
+    firsts = sorted((r.range, r.first) for r in firsts.collect())
+    # By range: its first id, and the range that this id also goes to.
+    first_id, before = [None] * (len(borders) + 2), [-1] * (len(borders) + 2)
+    for at, (range_no, doc_id) in enumerate(firsts):
+        first_id[range_no], before[range_no] = doc_id, firsts[at - 1][0]
+    own = F.struct(F.col("range"), F.lit(False).alias("copy"))
+    copy = F.struct(F.get(_longs(before), F.col("range")).cast("int").alias("range"), F.lit(True).alias("copy"))
+    is_first = F.get(_longs(first_id), F.col("range")).eqNullSafe(F.col("doc_id"))
+    dealt = (
+        source.withColumn("range", number)
+        .select(F.explode(F.when(is_first, F.array(own, copy)).otherwise(F.array(own))).alias("to"), "doc_id", "text")
+        .select("to.range", "to.copy", "doc_id", "text")
+        .repartition("range")
+        .sortWithinPartitions("range", "copy", F.desc("doc_id"), "text")
     )
-    firsts = ends.select(F.col("part").alias("next_part"), F.col("first_text").alias("next_text"))
-    pairs = ends.join(numbers, "part").join(firsts, "next_part").select("doc_id", "last_text", "next_text")
     result = T.StructType.fromDDL(_RESULT)
-    last = pairs.mapInArrow(_across(to_arrow_schema(result)), result)
-    return done.filter("part IS NULL").select(*result.names).unionByName(last)
+    return dealt.mapInArrow(_in_ranges(to_arrow_schema(result)), result)
