@@ -6,9 +6,9 @@ Every module holds ``QUERIES`` (name to function of session and folder) and ``OR
 
 from __future__ import annotations
 
-from vecspark.catalog import changes, ingest, logs, streams, vectors
+from vecspark.catalog import changes, flows, ingest, logs, streams, vectors
 
-MODULES = (ingest, changes, vectors, logs, streams)
+MODULES = (ingest, changes, vectors, logs, streams, flows)
 
 
 def all_queries() -> dict:

@@ -160,7 +160,7 @@ ORACLES["batch_knn"] = """
 WITH d AS (
   SELECT q.vec_id AS query_id, v.vec_id,
          list_sum(list_transform(list_zip(q.embedding, v.embedding),
-                                 x -> power(x[1]::DOUBLE - x[2]::DOUBLE, 2))) AS distance
+                                 lambda x: power(x[1]::DOUBLE - x[2]::DOUBLE, 2))) AS distance
   FROM embeddings q, embeddings v)
 SELECT query_id, vec_id, round(distance, 6) AS distance,
        (row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id))::INTEGER AS rank
