@@ -62,6 +62,7 @@ _NEVER_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split()
 )
 _NAME = re.compile("[a-z]+")
+_CUT_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 _KEPT_WHATEVER_NAMED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 
 
@@ -185,7 +186,8 @@ def smoothed(values: np.ndarray, deviation: float = SMOOTHING) -> np.ndarray:
 def main_text(html: str) -> str:
     """The text of the content regions of a page, lines joined by one space."""
     parser = Lines()
-    parser.feed(html)
+    # A tag that the end of the page cuts off is markup, which the parser would give as text.
+    parser.feed(_CUT_TAG.sub("", html))
     parser.close()
     lines = parser.found
     if not lines:
