@@ -13,7 +13,8 @@ times, with each of its lanes left out.
 * Members of an index bucket are first compared with the one that has the fewest such shingles,
   most likely the original, which links large groups without pairs among their members.  Only
   members that end in different components are then compared with each other, each pair once,
-  if the bound and their signatures allow it.
+  if their signatures and what is known of both allow it: two sets share at most what both share
+  with the centre, and as much of the rest as the smaller rest is.
 * Links are confirmed on the full sets of words, not on hashes.
 
 Defined cases: null and blank texts have an empty set and are linked with nothing; a text of
@@ -180,8 +181,24 @@ def first_tag(a: str, b: str) -> Column:
 
 
 def may_be_alike(a: str, b: str, percent: int) -> Column:
-    """Whether two sets can be alike, by their sizes and what they can share at most."""
-    shared = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared"))
+    """Whether two sets can be alike, by their sizes and what they can share at most.
+
+    ``shared`` is what a set has in common with any other; ``common``, where it is known, what
+    it has in common with the centre of the bucket that both are in.
+    """
+
+    def of(name: str) -> tuple[Column, Column]:
+        return F.col(f"{a}.{name}"), F.col(f"{b}.{name}")
+
+    def rest(side: str) -> Column:
+        return F.greatest(F.col(f"{side}.shared") - F.col(f"{side}.common"), F.lit(0))
+
+    # Nulls are passed over by the outer least.
+    by_centre = F.when(
+        F.col(f"{a}.common").isNotNull() & F.col(f"{b}.common").isNotNull(),
+        F.least(*of("common")) + F.least(rest(a), rest(b)),
+    )
+    shared = F.least(*of("shared"), by_centre)
     return 100 * shared >= percent * (F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles") - shared)
 
 
@@ -200,8 +217,8 @@ def own_shingles(texts: DataFrame, k: int) -> DataFrame:
     return holders.filter("id = last").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
 
 
-def _sets_alike(k: int, percent: int):
-    """Whether two texts are alike, on the shingles themselves."""
+def _compare_sets(k: int):
+    """What two texts have in common and in all, on the shingles themselves."""
 
     def shingles(text: str) -> set:
         words = text.encode().lower().split()
@@ -212,27 +229,33 @@ def _sets_alike(k: int, percent: int):
     def run(batches):
         known: dict[str, set] = {}
         for batch in batches:
-            alike = []
+            common, total = [], []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if a not in known:  # pairs with one text in common often follow each other
                     known = {a: shingles(a)}
                 one, other = known[a], shingles(b)
-                shared = len(one & other)
-                alike.append(100 * shared >= percent * (len(one) + len(other) - shared) > 0)
-            keep = pa.array(alike, pa.bool_())
+                common.append(len(one & other))
+                total.append(len(one) + len(other) - common[-1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"]
+                [batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(total, pa.int64())],
+                names=["a", "b", "common", "total"],
             )
 
     return run
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` of ids whose sets are alike. ``texts`` has ``doc_id``, ``text``."""
+def compare(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """The pairs ``a``, ``b`` of ids with what their sets have in common and in all.
+    ``texts`` has ``doc_id``, ``text``."""
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_sets_alike(k, percent), pairs.select("a", "b").schema)
+    schema = pairs.select("a", "b").schema.add("common", "long").add("total", "long")
+    return both.mapInArrow(_compare_sets(k), schema)
+
+
+def is_alike(percent: int) -> Column:
+    return (F.col("total") > 0) & (100 * F.col("common") >= percent * F.col("total"))
 
 
 def near_duplicates(
@@ -289,18 +312,21 @@ def near_duplicates(
     # The centre of a bucket has the smallest part of shingles to itself.
     part = (1 - F.col("shared") / F.col("n_shingles")).alias("part")
     ranked = crowded.join(linked.select(F.col("doc_id").alias("id"), part).distinct(), "id")
-    centres = ranked.groupBy("key").agg(F.min(F.struct("part", "id"))["id"].alias("centre"))
+    centres = materialize(
+        ranked.groupBy("key").agg(F.min(F.struct("part", "id"))["id"].alias("centre")), "centres"
+    )
     stars = ranked.join(centres, "key").filter("centre <> id")
     stars = stars.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
     stars = (
         stars.join(linked.alias("x"), F.col("a") == F.col("x.doc_id"))
         .join(linked.alias("y"), F.col("b") == F.col("y.doc_id"))
-        .filter(may_be_alike("x", "y", percent) & (distance("x", "y") <= MAX_DISTANCE))
+        .filter(distance("x", "y") <= MAX_DISTANCE)
         .select("a", "b")
         .distinct()
     )
-    stars = materialize(stars, "stars")
-    edges = materialize(confirm(stars, texts, k, percent).unionByName(members), "links")
+    stars = materialize(compare(stars, texts, k), "stars")
+    confirmed = stars.filter(is_alike(percent)).select("a", "b")
+    edges = materialize(confirmed.unionByName(members), "links")
     labels = connected_components(edges)
     # Buckets whose members are not all linked yet.
     labelled = (
@@ -309,11 +335,19 @@ def near_duplicates(
         .select("key", "tag", "id", F.coalesce("component_id", "id").alias("c"))
     )
     mixed = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    # Ids with several texts have several numbers, which say nothing.
+    seen = stars.groupBy("a", "b").agg(F.max("common").alias("found"), F.count(F.lit(1)).alias("rows"))
+    common = F.when(F.col("id") == F.col("centre"), F.col("n_shingles")).otherwise(F.col("found"))
+    open_rows = (
+        labelled.join(mixed.filter("low < high").select("key"), "key")
+        .join(linked.withColumnRenamed("doc_id", "id"), "id")
+        .join(centres, "key")
+        .withColumns({"a": F.least("centre", "id"), "b": F.greatest("centre", "id")})
+        .join(seen.filter("rows = 1").drop("rows"), ["a", "b"], "left")
+        .withColumn("common", common)
+    )
     open_rows = materialize(
-        labelled.join(mixed.filter("low < high").select("key"), "key").join(
-            linked.withColumnRenamed("doc_id", "id"), "id"
-        ),
-        "open",
+        open_rows.select("key", "tag", "id", "c", "n_shingles", "shared", "common", *signature), "open"
     )
     one, other = open_rows.alias("x"), open_rows.alias("y")
     across = one.join(
@@ -325,8 +359,9 @@ def near_duplicates(
         & (distance("x", "y") <= MAX_DISTANCE)
         & (F.col("x.tag") == first_tag("x", "y")),
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    fresh = across.distinct().join(stars, ["a", "b"], "left_anti")
-    more = materialize(confirm(fresh, texts, k, percent), "links")
+    fresh = across.distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    more = compare(fresh, texts, k).filter(is_alike(percent)).select("a", "b")
+    more = materialize(more, "links")
     if not more.isEmpty():
         labels = connected_components(edges.unionByName(more))
     return rows.join(labels, F.col("doc_id") == F.col("node"), "left").select(
