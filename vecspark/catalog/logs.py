@@ -194,6 +194,53 @@ UNION ALL SELECT 'error_rate', round(error_rate, 6), 0.01, error_rate < 0.01 FRO
 UNION ALL SELECT 'hit_rate', round(hit_rate, 6), 0.7, hit_rate > 0.7 FROM metrics"""
 
 
+def hour_of(ts_col):
+    return F.date_trunc("hour", ts_col).cast("timestamp_ntz")
+
+
+def q_windowed_hit_rate(spark, sf):
+    """Hit rate per hour, as alerts read it."""
+    log = replayed(spark, sf).withColumn("window_start", hour_of("ts"))
+    return hit_rate(log, "window_start", F.col("cache_hit")).withColumn("hit_rate", r6("hit_rate"))
+
+
+QUERIES["windowed_hit_rate"] = q_windowed_hit_rate
+ORACLES["windowed_hit_rate"] = f"""{TTL_SQL}
+SELECT date_trunc('hour', ts)::TIMESTAMP AS window_start, count(*) FILTER (cache_hit) AS hits,
+       count(*) FILTER (NOT cache_hit) AS misses, round(count(*) FILTER (cache_hit) / count(*), 6) AS hit_rate
+FROM reused GROUP BY 1"""
+
+
+def q_sliding_error_ratio(spark, sf):
+    """Error ratio over the last hour, every quarter of an hour."""
+    found = error_ratio(events(spark, sf), "ts", is_error(), "1 hour", "15 minutes")
+    return found.withColumn("error_ratio", r6("error_ratio"))
+
+
+QUERIES["sliding_error_ratio"] = q_sliding_error_ratio
+ORACLES["sliding_error_ratio"] = """
+SELECT time_bucket(INTERVAL 15 MINUTE, ts) - i * INTERVAL 15 MINUTE AS window_start, count(*) AS requests,
+       count(*) FILTER (event_type = 'error') AS errors,
+       round(count(*) FILTER (event_type = 'error') / count(*), 6) AS error_ratio
+FROM events, (SELECT unnest(range(4)) AS i) GROUP BY 1"""
+
+
+def q_windowed_quantile(spark, sf):
+    """Histogram quantile of the latency per day."""
+    log = events(spark, sf).withColumn("window_start", day_of("ts"))
+    found = histogram_quantile(log, "window_start", "value", 0.95, BOUNDS)
+    return found.withColumn("quantile", r6("quantile"))
+
+
+QUERIES["windowed_quantile"] = q_windowed_quantile
+ORACLES["windowed_quantile"] = (
+    ORACLES["histogram_quantile"]
+    .replace("FROM events", "FROM (SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, value FROM events) e")
+    .replace("event_type", "window_start")
+    .replace("0.99", "0.95")
+)
+
+
 def q_slo_burn_rate(spark, sf):
     burn = slo_burn_rate(events(spark, sf), "ts", slow_error(), "1 day", 1440)
     rounded = {c: r6(c) for c in ("availability", "budget_minutes", "burn_rate")}

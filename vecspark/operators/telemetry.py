@@ -151,11 +151,13 @@ def hit_rate(df: DataFrame, group_col: str, hit: Column) -> DataFrame:
     )
 
 
-def error_ratio(df: DataFrame, ts_col: str, is_error: Column, width: str = "5 minutes") -> DataFrame:
-    """Requests, errors and their ratio per window."""
+def error_ratio(
+    df: DataFrame, ts_col: str, is_error: Column, width: str = "5 minutes", slide: str | None = None
+) -> DataFrame:
+    """Requests, errors and their ratio per window; windows overlap when ``slide`` is shorter."""
     requests, errors = F.count(F.lit(1)), F.count_if(is_error)
     return (
-        df.groupBy(F.window(ts_col, width).alias("w"))
+        df.groupBy(F.window(ts_col, width, slide).alias("w"))
         .agg(
             requests.alias("requests"),
             errors.alias("errors"),
