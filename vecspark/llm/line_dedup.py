@@ -91,11 +91,16 @@ def remove_repeated_lines(
     ``n_removed_chunks`` and ``removed_text``."""
     doc = F.col("_row")[id_col].cast("string")
     text = F.col("_row")[text_col]
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"))
-    # The key of a document: its id, and its text by 128 bits.
-    rows = rows.withColumns(
-        {"_doc": doc, "_text": F.xxhash64(text), "_more": F.xxhash64(F.lit("more"), text)}
-    )
+
+    def keyed(columns: list[str]) -> DataFrame:
+        """Rows with the key of their document: its id, and its text by 128 bits."""
+        found = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
+        return found.withColumns(
+            {"_doc": doc, "_text": F.xxhash64(text), "_more": F.xxhash64(F.lit("more"), text)}
+        )
+
+    # What decides has the same two columns wherever it is read, so that it is dealt out once.
+    rows, narrow = keyed(documents.columns), keyed([id_col, text_col])
     key = ["_doc", "_text", "_more"]
     # Ids are ordered as they are, not as text.
     place = F.struct(
@@ -116,7 +121,7 @@ def remove_repeated_lines(
         )
 
     found = materialize(
-        exploded(rows.filter(text.isNotNull()))
+        exploded(narrow.filter(text.isNotNull()))
         .filter(is_eligible(F.col("chunk"), min_words, passage_words))
         .select(*key, place.alias("place"), "chunk_no", F.xxhash64("chunk").alias("hash")),
         "chunks",
@@ -132,7 +137,7 @@ def remove_repeated_lines(
         .groupBy(*key)
         .agg(F.collect_set("chunk_no").alias("candidates"))
     )
-    held = by_key(rows, wanted)
+    held = by_key(narrow, wanted)
     occurrences = (
         exploded(held.filter("candidates IS NOT NULL"), "candidates")
         .filter(F.array_contains("candidates", F.col("chunk_no")))
@@ -148,7 +153,7 @@ def remove_repeated_lines(
         .groupBy(*key)
         .agg(F.collect_set("chunk_no").alias("removed"))
     )
-    result = by_key(held, removed)
+    result = by_key(rows, removed)
     chunks = chunks_of(text, mean_lines, passage_words)
     kept_text = F.when(F.col("removed").isNull(), text).otherwise(
         F.array_join(
