@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from vecspark.catalog.streams import deduplicated_feed
 from vecspark.operators.merge import upsert_table
 from vecspark.operators.telemetry import admission_windows, failure_breach
 from vecspark.sources.workspace import new_path
@@ -85,6 +86,15 @@ def test_dedup_across_batches(spark):
     assert sorted(r.key for r in result.collect()) == ["a", "b", "c"]
 
 
+def test_dedup_of_a_long_feed_with_gaps_and_missing_times(spark):
+    days = [0, 3, 6, 7, 29, 34, 35, 36, 80, 81, 400, None, None]
+    rows = [(i, d if d is None else START + timedelta(days=d, hours=1), "view", float(i)) for i, d in enumerate(days)]
+    schema = "event_id long, ts timestamp_ntz, event_type string, value double"
+    found = deduplicated_feed(spark.createDataFrame(rows, schema).repartition(3))
+    assert sorted(map(tuple, found.collect())) == rows
+    assert not deduplicated_feed(spark.createDataFrame([], schema)).collect()
+
+
 def test_ttl_stream_equals_plain_replay(spark):
     inbox, out, checkpoint = (new_path(spark, n) for n in ("inbox", "out", "checkpoint"))
     schema = spark.createDataFrame([], LOG).schema

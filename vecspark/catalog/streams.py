@@ -36,20 +36,35 @@ ORACLES["stream_upsert"] = MERGED_SQL
 
 
 def q_stream_dedup(spark, sf):
-    """Every event is delivered twice, a week after the other at most; each comes out once.
+    """Every event is delivered twice, a week after the other at most; each comes out once."""
+    return deduplicated_feed(table(spark, sf, "events").select("event_id", "ts", "event_type", "value"))
 
-    The delay is shorter than the table's time span, so keys of old weeks leave the state.
+
+def deduplicated_feed(events):
+    """The events through the stream, week by week, each week again with the one after it.
+
+    All weeks of the table are delivered, and events without a time first, both times at once.
+    No week is longer than the delay, whatever the data, and a longer table lets the keys of its
+    old weeks leave the state.
     """
-    events = table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
-    inbox, out = new_path(spark, "inbox"), new_path(spark, "unique")
+    spark = events.sparkSession
+    feed, inbox, out, checkpoint = (new_path(spark, n) for n in ("feed", "inbox", "unique", "checkpoint"))
     start = events.select(F.date_trunc("day", F.min("ts"))).scalar()
-    week = F.floor(F.date_diff("ts", start) / 7)
-    for number in range(5):
-        for _ in range(2):
-            events.filter(week == number).coalesce(1).write.mode("append").parquet(inbox)
-    stream = read_files(spark, inbox, events.schema, max_files=1)
+    week = F.coalesce(F.floor(F.date_diff("ts", start) / 7), F.lit(-1))
+    events.withColumn("week", week).write.partitionBy("week").parquet(feed)
+    weeks = [r.week for r in events.select(week.alias("week")).distinct().collect()]
+    dated = sorted(w for w in weeks if w >= 0)
+    rounds = [[-1, -1]] if -1 in weeks else []
+    rounds += [[old, new] for old, new in zip([None, *dated], [*dated, None], strict=True)]
+    events.limit(0).write.parquet(inbox)
+    stream = read_files(spark, inbox, events.schema)
     unique = stream_dedup(stream, ["event_id"], "ts", "8 days")
-    append_files(unique, out, new_path(spark, "checkpoint")).awaitTermination()
+    for delivered in rounds:
+        for number in delivered:
+            if number is not None:
+                part = spark.read.schema(events.schema).parquet(f"{feed}/week={number}")
+                part.write.mode("append").parquet(inbox)
+        append_files(unique, out, checkpoint).awaitTermination()
     result = spark.read.schema(unique.schema).parquet(out)
     return result.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value")
 
