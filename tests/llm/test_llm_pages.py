@@ -36,6 +36,32 @@ def test_main_text(body, text):
     assert main_text(PAGE.format(body=body)) == text
 
 
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        # Headline and lead outside the part that holds most.
+        ("<div id='c'><h1>Head</h1><div><p>{0}</p></div><div><p>{1}</p><p>{1}</p><p>{1}</p></div></div>", "Head {0} {1} {1} {1}"),
+        # One section that is much longer than the others, and a headline in a part of its own.
+        (
+            "<div><div><h1>Head</h1></div><section><p>{0}</p></section><section><p>{2}</p></section>"
+            "<section><p>{0}</p><p>end</p></section></div>",
+            "Head {0} {2} {0} end",
+        ),
+        # Text in main beside a card, and beside an article that is a card only.
+        ("<main><p>{1}</p><p>{1}</p><article>Card</article></main>", "{1} {1} Card"),
+        ("<div><p>{1}</p><p>{1}</p><p>{1}</p></div><article>A card of some words</article>", "{1} {1} {1} A card of some words"),
+        # A page in a form; a search form in it would be nested, which HTML doesn't know.
+        ("<form id='f'><div><h1>Head</h1><p>{1}</p><p>{0}</p></div></form>", "Head {1} {0}"),
+        ("<form><article><p>{1}</p></article></form>", "{1}"),
+        # What is outside an article that holds most stays outside.
+        ("<div>Crumb</div><article><p>{1}</p><p>{1}</p></article><div>Tag</div>", "{1} {1}"),
+    ],
+)
+def test_content_is_whole_without_one_article(body, text):
+    parts = [" ".join(["lead"] * 30), " ".join(["word"] * 80), " ".join(["long"] * 600)]
+    assert main_text(PAGE.format(body=body.format(*parts))) == text.format(*parts)
+
+
 def test_page_edges(spark):
     assert main_text("") == "" and main_text("no tags\n at all") == "no tags at all"
     assert main_text("<div>" * 3_000 + "deep") == "deep" and main_text("<p>a" * 3_000) == " ".join(["a"] * 3_000)

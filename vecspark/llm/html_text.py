@@ -4,9 +4,11 @@ The parser streams start tags, end tags and text; block tags end a line.  Of eac
 the tags in it and the elements round it are kept.  Lines inside elements that are never the
 article (scripts, menus, footers, adverts, forms, comments, ...) are left out.  For the others the
 ratio of characters to tags is smoothed along the page with a Gaussian, and lines over the
-threshold, a part of the ratios' standard deviation, are clustered by the region that holds them:
-an article or main element, or else the smallest container with most of the text.  A region is
-taken whole, so short lines in it are never lost.
+threshold, a part of the ratios' standard deviation, are selected.  Where article and main
+elements hold most of the selected text, those with a selected line are the content, and headlines
+beside them.  Everywhere else it is the smallest container that holds all selected lines.  A region
+is taken whole, so short lines in it are never lost.  A form that holds most of the text of a page
+is the frame of the page.
 
 Defined cases: a null or empty page has an empty text; unclosed and stray tags are tolerated;
 repeated rows are read each by itself; an empty table gives an empty result; other columns stay,
@@ -28,8 +30,10 @@ from vecspark.llm.batches import text_slices
 
 #: Deviation of the Gaussian in lines, and the part of the standard deviation a line must reach.
 SMOOTHING, THRESHOLD = 1.0, 0.5
-#: Part of the selected text that a container must hold to be taken instead of the one round it.
-HOLDS_MOST = 0.8
+#: Characters by tag from which a line is prose in full, so that one long line doesn't outweigh others.
+PROSE = 80.0
+#: Part of the text that makes marked regions the content, or a form the frame of a page.
+HOLDS_MOST = 0.5
 
 # Elements of HTML.
 _VOID = frozenset(
@@ -49,7 +53,7 @@ _CLOSED_BY = {
 }
 # Elements, class names and roles of what isn't part of an article.
 _NEVER = frozenset(
-    "aside audio button canvas datalist dialog embed footer form head header iframe input menu nav "
+    "aside audio button canvas datalist dialog embed footer head header iframe input menu nav "
     "noscript object script search select style svg template textarea title video".split()
 )
 _NEVER_NAMED = frozenset(
@@ -85,7 +89,7 @@ def is_foreign(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
 
 
 class Lines(HTMLParser):
-    """The lines of a page: text, number of tags, region and containers."""
+    """The lines of a page: text, number of tags, region, container, form and whether a headline."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -93,20 +97,23 @@ class Lines(HTMLParser):
         self.count: dict[str, int] = {}
         self.foreign = 0
         self.regions: list[tuple[str, int]] = []
+        # The outermost open form by number, and the tags before it; 0 is none.
+        self.form = self.forms = self.tags_before = 0
         # Containers by number, each with the number of the one round it; 0 is the page.
         self.outer: list[int] = [0]
         self.container = 0
         self.elements = 0
         self.parts: list[str] = []
         self.tags = 0
-        self.found: list[tuple[str, int, tuple[str, int] | None, int]] = []
+        self.found: list[tuple[str, int, tuple[str, int] | None, int, int, bool]] = []
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             # Tags without text count for the line that follows.
             region = self.regions[0] if self.regions else None
-            self.found.append((text, self.tags, region, self.container))
+            headline = self.count.get("h1", 0) > 0
+            self.found.append((text, self.tags, region, self.container, self.form, headline))
             self.tags = 0
         self.parts = []
 
@@ -120,6 +127,9 @@ class Lines(HTMLParser):
             self.container = len(self.outer) - 1
         if tag in ("article", "main"):
             self.regions.append((tag, self.elements))
+        if tag == "form" and self.count[tag] == 1:
+            self.forms += 1
+            self.form, self.tags_before = self.forms, self.tags
 
     def pop(self) -> str:
         tag, foreign = self.open.pop()
@@ -129,6 +139,8 @@ class Lines(HTMLParser):
             self.container = self.outer[self.container]
         if tag in ("article", "main"):
             self.regions.pop()
+        if tag == "form" and not self.count[tag]:
+            self.form, self.tags = 0, self.tags_before
         return tag
 
     def close_for(self, tag: str) -> None:
@@ -189,30 +201,47 @@ def main_text(html: str) -> str:
     # A tag that the end of the page cuts off is markup, which the parser would give as text.
     parser.feed(_CUT_TAG.sub("", html))
     parser.close()
-    lines = parser.found
+    lines = without_forms(parser.found)
     if not lines:
         return ""
     size = np.array([len(line[0]) for line in lines], float)
-    ratio = smoothed(size / np.maximum([line[1] for line in lines], 1))
-    selected = ratio >= THRESHOLD * ratio.std()
-    for kind in ("article", "main"):
-        inside = np.array([line[2] is not None and line[2][0] == kind for line in lines])
-        if inside.any():
-            chosen = {lines[i][2] for i in np.flatnonzero(inside & selected)}
-            if not chosen:
-                chosen = {lines[int(np.where(inside, size, -1).argmax())][2]}
-            return " ".join(line[0] for line in lines if line[2] in chosen)
-    inside = within_container([line[3] for line in lines], parser.outer, size * selected)
-    return " ".join(line[0] for line, keep in zip(lines, inside, strict=True) if keep)
-
-
-def within_container(containers: list[int], outer: list[int], weight: np.ndarray) -> list[bool]:
-    """Which lines are in the smallest container that holds most of the weight."""
-    held = np.bincount(containers, weight, len(outer))
+    plain = np.minimum(size / np.maximum([line[1] for line in lines], 1), PROSE)
+    ratio = smoothed(plain)
+    least = THRESHOLD * ratio.std()
+    near = ratio >= least
+    # A short line is not selected for its neighbours alone, unless it is a headline.
+    headline = np.array([line[5] for line in lines]) & near
+    selected = near & (plain >= least)
+    marked = np.array([line[2] is not None for line in lines])
+    if marked.any() and size[marked & selected].sum() >= HOLDS_MOST * size[selected].sum():
+        chosen = {lines[i][2] for i in np.flatnonzero(marked & near)}
+        keep = [line[2] in chosen or head for line, head in zip(lines, headline, strict=True)]
+    else:
+        keep = within_container([line[3] for line in lines], parser.outer, selected | headline)
+    return " ".join(line[0] for line, kept in zip(lines, keep, strict=True) if kept)
+
+
+def without_forms(lines: list[tuple]) -> list[tuple]:
+    """The lines outside forms, and those of a form that is the frame of the page.
+
+    A form is that if it holds most of the text, and not beside an article or main element.
+    """
+    total = sum(len(line[0]) for line in lines)
+    dropped = set()
+    for form in {line[4] for line in lines if line[4]}:
+        inside = [line for line in lines if line[4] == form]
+        beside = any(line[2] for line in lines if not line[4]) and not any(line[2] for line in inside)
+        if beside or sum(len(line[0]) for line in inside) < HOLDS_MOST * total:
+            dropped.add(form)
+    return [line for line in lines if line[4] not in dropped]
+
+
+def within_container(containers: list[int], outer: list[int], selected: np.ndarray) -> list[bool]:
+    """Which lines are in the smallest container that holds all selected ones."""
+    held = np.bincount(containers, selected, len(outer))
     for number in range(len(outer) - 1, 0, -1):  # outer containers have lower numbers
         held[outer[number]] += held[number]
-    enough = [n for n in range(len(outer)) if held[n] >= HOLDS_MOST * held[0]]
-    best = enough[-1]  # such containers lie within each other
+    best = int(np.flatnonzero(held == held[0])[-1])  # such containers lie within each other
     inside = [False] * len(outer)
     for number in range(len(outer)):
         inside[number] = number == best or (number > 0 and inside[outer[number]])
