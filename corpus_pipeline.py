@@ -34,7 +34,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rule, of hosts that are not rejected."""
+    """Documents that pass the base rule, and the symbol rule unless their host excuses it, of
+    hosts that are not rejected."""
     return filter_documents(docs)
 
 

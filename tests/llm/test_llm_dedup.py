@@ -213,6 +213,29 @@ def test_hosts_are_shrunk_and_joined_back(spark):
     assert not filter_documents(frame.limit(0)).collect()
 
 
+def test_symbols_reject_documents_unless_usual_for_their_host(spark):
+    rng, rows = random.Random(8), []
+    for host, n, bad in (("a", 400, 20), ("b", 400, 24), ("code", 60, 27), (None, 300, 9)):
+        for i in range(n):
+            text = sentence(rng, 20)
+            rows.append((len(rows), text.replace(" ", "$$$ ") if i < bad else text, "en", host))
+    frame = docs(spark, rows)
+    want = {i for i, t, _, host in rows if "$" not in t or host == "code"}
+    assert {r.doc_id for r in filter_documents(frame).collect()} == want
+    assert judge(measure(frame)).filter("kept").count() == len(rows)  # as its SQL has it
+
+
+@pytest.mark.skipif(not HAS_TABLES, reason="no supplied tables")
+def test_labelled_good_documents_stay(spark):
+    frame = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    base = judge(measure(frame)).filter("kept").select("doc_id").join(labels, "doc_id")
+    kept = filter_documents(frame).select("doc_id").join(labels, "doc_id")
+    good, bad = "quality = 1", "quality = 0"
+    assert kept.filter(good).count() == base.filter(good).count()
+    assert kept.filter(bad).count() < base.filter(bad).count()
+
+
 def test_fingerprints():
     rng = random.Random(6)
     text = "\n".join(sentence(rng, 12) for _ in range(20))

@@ -3,7 +3,9 @@
 Each document is measured against rules; failures are counted by host, here the column
 ``source``.  A host's failure rate is shrunk towards the corpus with a beta prior that is fitted
 to all hosts by its moments, so a host with few documents is not judged by chance.  A host whose
-shrunk rate of any rule is over the limit is rejected, and its verdict is joined back.
+shrunk rate of any rule is over the limit is rejected, and its verdict is joined back.  Filtering
+also rejects a document that fails the symbol rule, unless symbols are usual for its host: its
+shrunk rate is several times the corpus rate that the prior is fitted to.
 
 Defined cases: a null or blank text has no words and fails the base rule; a null host is a host
 of its own; rows that repeat are measured and counted each by itself; an empty table gives an
@@ -29,6 +31,8 @@ MAX_SYMBOL_PERCENT = 10
 MAX_DUP_LINE_PERCENT = 30
 #: Shrunk failure rate over which a host is rejected.
 MAX_HOST_RATE = 0.5
+#: Shrunk failure rate of the symbol rule, in corpus rates, over which a host excuses its documents.
+EXCUSED_RATES = 4.0
 #: Strength of the prior when the hosts don't differ, in documents; and its least.
 MAX_PRIOR, MIN_PRIOR = 1e6, 1.0
 
@@ -139,7 +143,8 @@ def apply_rules(measured: DataFrame) -> DataFrame:
 
 
 def host_verdicts(judged: DataFrame, host_col: str = "source") -> DataFrame:
-    """Per host: documents, the shrunk failure rate of each rule, and whether it is rejected.
+    """Per host: documents, the shrunk failure rate of each rule, whether it is rejected, and
+    whether it excuses symbols.
 
     The prior's mean is the corpus rate; its strength follows from how much more the hosts'
     rates differ than the numbers of their documents explain.
@@ -178,9 +183,12 @@ def host_verdicts(judged: DataFrame, host_col: str = "source") -> DataFrame:
             ).alias(f"{rule}_rate")
             for rule in RULES
         ],
+        F.col("_prior.symbols_failed_mean").alias("_mean"),
     )
+    excused = F.col("symbols_failed_rate") > EXCUSED_RATES * F.col("_mean")
     worst = F.greatest(*[F.col(f"{rule}_rate") for rule in RULES])
-    return shrunk.withColumn("host_rejected", worst > MAX_HOST_RATE)
+    verdicts = shrunk.withColumns({"host_rejected": worst > MAX_HOST_RATE, "symbols_excused": excused})
+    return verdicts.drop("_mean")
 
 
 def judge(measured: DataFrame, host_col: str = "source") -> DataFrame:
@@ -210,11 +218,9 @@ def filter_documents(documents: DataFrame, text_col: str = "text", host_col: str
         "_text",
     ).drop("_text")
     hosts = materialize(
-        host_verdicts(apply_rules(measured.drop("_row")), "_source").select("_host", "host_rejected"),
+        host_verdicts(apply_rules(measured.drop("_row")), "_source").select("_host", "host_rejected", "symbols_excused"),
         "hosts",
     )
     judged = apply_rules(measured).filter(~F.col("base_failed"))
-    good = judged.join(
-        hosts.filter(~F.col("host_rejected")), F.col("_source").eqNullSafe(F.col("_host")), "left_semi"
-    )
-    return good.select("_row.*")
+    good = judged.join(hosts.filter(~F.col("host_rejected")), F.col("_source").eqNullSafe(F.col("_host")))
+    return good.filter(~F.col("symbols_failed") | F.col("symbols_excused")).select("_row.*")
