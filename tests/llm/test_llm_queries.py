@@ -33,7 +33,7 @@ def held_out(doc_id, folds, fold):
 
 def test_all_are_registered():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
     assert set(ORACLES) <= set(entry_module.oracle_sql())
 
@@ -41,13 +41,14 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_agrees_with_sql(spark, name):
     with duckdb.connect() as duck:
-        duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+        for table in ("documents", "conversations", "embeddings"):
+            duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
         want = duck.sql(ORACLES[name])
         columns = want.columns
-        want = sorted(want.fetchall())
+        want = sorted(want.fetchall(), key=str)
     df = QUERIES[name](spark, FOLDER)
     assert sorted(df.columns) == sorted(columns)
-    assert sorted(map(tuple, df.select(*columns).collect())) == want
+    assert sorted(map(tuple, df.select(*columns).collect()), key=str) == want
 
 
 def test_fingerprints(spark, texts):
@@ -90,6 +91,12 @@ def test_tokens(spark, texts):
     assert sum(fills) > 2048 * (len(fills) - 1)
 
 
+def test_toxicity(spark, texts):
+    found = run(spark, "op11_toxicity")
+    assert {r.doc_id: r.held_out for r in found} == {i: held_out(i, 4, 2) for i in texts}
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in found)
+
+
 def test_repeated_lines(spark, texts):
     found = {r.doc_id: r.text for r in run(spark, "op10_line_dedup")}
     assert found == brute_line_dedup(list(texts.items()))

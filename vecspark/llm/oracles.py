@@ -74,3 +74,74 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_wo
   NOT base_failed AND NOT host_rejected AS kept
 FROM r JOIN v ON r.source IS NOT DISTINCT FROM v.source
 """
+
+
+def _assigned(number: int) -> str:
+    """Vectors by their nearest of the centroids of a round, the smaller number if two are as near."""
+    return f"""a{number} AS MATERIALIZED (
+  SELECT r, arg_min(j, (d, j)) AS j, min(d) AS d FROM (
+    SELECT v.r, c.j, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{number} c USING (i) GROUP BY v.r, c.j
+  ) GROUP BY r
+)"""
+
+
+def _moved(number: int) -> str:
+    """Centroids after a round: exact floors of the means, unless no vector is left."""
+    return f"""c{number + 1} AS MATERIALIZED (
+  SELECT j, i, coalesce(m.x, c.x) AS x FROM c{number} c LEFT JOIN (
+    SELECT a.j, v.i, (sum(v.x) - (sum(v.x) % count(*) + count(*)) % count(*)) // count(*) AS x
+    FROM a{number} a JOIN v USING (r) GROUP BY a.j, v.i
+  ) m USING (j, i)
+)"""
+
+
+_ROUNDS = 5
+
+CENTROID_CLUSTERING = f"""
+WITH kept AS (
+  SELECT vec_id, row_number() OVER () AS r, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding::DOUBLE[], lambda x: x IS NOT NULL AND isfinite(x)))
+), v AS MATERIALIZED (
+  SELECT r, u.i, floor(256 * e[u.i])::HUGEINT AS x FROM kept, unnest(range(1, 65)) AS u(i)
+), first AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('2:' || vec_id), e) - 1 AS j FROM kept QUALIFY j < 40
+), c0 AS MATERIALIZED (SELECT f.j, v.i, v.x FROM first f JOIN v USING (r)),
+{", ".join(f"{_assigned(n)}, {_moved(n)}" for n in range(_ROUNDS))}, {_assigned(_ROUNDS)},
+digest AS (SELECT j, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS s FROM c{_ROUNDS} GROUP BY 1)
+SELECT vec_id, j::INT AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY j))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, s AS centroid_sha256
+FROM a{_ROUNDS} JOIN kept USING (r) JOIN digest USING (j)
+"""
+
+_CRC32 = (
+    "xor(4294967295, list_reduce([b::BIGINT for b in list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c))], "
+    "lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], "
+    "lambda x, _: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END), 4294967295::BIGINT))"
+)
+
+PREFIX_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, strlen(coalesce(text, '')) AS size,
+    sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS step
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({{'s': step, 'b': size}} ORDER BY turn NULLS FIRST, role, step) AS steps, {_CRC32} % 9 AS h FROM t GROUP BY 1
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.steps[1:o.h], []), o.steps[o.h + 1:]) AS steps
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5
+), keyed AS (
+  SELECT conv_id, len(steps) AS n, list_transform(steps, lambda s: s.s) AS key, list_transform(steps, lambda s: s.b) AS sizes FROM rebuilt
+), node AS MATERIALIZED (
+  SELECT d AS depth, key[1:d] AS key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(CASE WHEN d > 0 THEN sizes[d] ELSE 0 END) AS size,
+    coalesce(string_agg(CASE WHEN n = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS ends
+  FROM keyed, unnest(range(0, n + 1)) AS u(d) GROUP BY 1, 2
+), child AS (SELECT depth - 1 AS depth, key[1:depth - 1] AS key, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1, 2),
+counted AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (depth, key)),
+below AS (
+  SELECT d AS depth, key[1:d] AS key, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens
+  FROM counted, unnest(range(0, depth + 1)) AS u(d) GROUP BY 1, 2
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+  sha256(c.ends) AS ends_sha256
+FROM counted c JOIN below USING (depth, key) LEFT JOIN node p ON p.depth = c.depth - 1 AND p.key = c.key[1:c.depth - 1]
+"""
