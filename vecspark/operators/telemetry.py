@@ -66,9 +66,9 @@ def exact_percentiles(
     """
     # Within a struct a null equals a null, also in joins.
     group = F.struct(F.col(group_col).alias("k")).alias("g")
-    values = df.select(group, F.col(value_col).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v")
-    )
+    # Two columns, written once and read at every level; a constant group is a column like others.
+    pairs = materialize(df.select(group, F.col(value_col).cast("double").alias("v")), "values")
+    values = pairs.filter(F.col("v").isNotNull() & ~F.isnan("v"))
     keys, wanted = ["g"], None
     for level in range(max_levels):
         bin_col = f"b{level}"
@@ -115,7 +115,7 @@ def exact_percentiles(
     )
     columns = [F.max(F.when(F.col("p") == p, F.col("q"))).alias(percentile_name(p)) for p in probs]
     found = found.groupBy("g").agg(F.max("mean").alias("mean"), *columns)
-    groups = df.select(group).distinct()
+    groups = pairs.select("g").distinct()
     return groups.join(found, "g", "left").select(
         F.col("g.k").alias(group_col), *[c for c in found.columns if c != "g"]
     )
