@@ -101,9 +101,9 @@ class Term(NamedTuple):
 
 def labelled_texts(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """``text`` and ``toxic`` of the labelled documents."""
-    return documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).join(
-        one_label(labels, id_col, label_col), "doc_id"
-    )
+    texts = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    # Labels grow with the documents; hashed by partition they spare a sort of the texts.
+    return texts.join(one_label(labels, id_col, label_col).hint("shuffle_hash"), "doc_id")
 
 
 def one_label(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
