@@ -69,9 +69,10 @@ m AS (
   SELECT source, count(*) AS n_docs, {", ".join(f"count(*) FILTER ({x})::DOUBLE AS {x}" for x in _RULES)} FROM r GROUP BY 1
 ), moments AS (SELECT {", ".join(map(_moments, _RULES))} FROM h),
 t AS (SELECT {", ".join(map(_strength, _RULES))} FROM moments),
-v AS (SELECT h.source, greatest({", ".join(map(_shrunk, _RULES))}) > 0.5 AS host_rejected FROM h, t)
-SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed, host_rejected,
-  NOT base_failed AND NOT host_rejected AS kept
+v AS (SELECT h.source, greatest({", ".join(map(_shrunk, _RULES))}) > 0.5 AS host_rejected,
+  {_shrunk("symbols_failed")} > 4.0 * t.symbols_failed_m AS symbols_excused FROM h, t)
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed, symbols_failed, host_rejected,
+  symbols_excused, NOT base_failed AND NOT host_rejected AND (NOT symbols_failed OR symbols_excused) AS kept
 FROM r JOIN v ON r.source IS NOT DISTINCT FROM v.source
 """
 

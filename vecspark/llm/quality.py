@@ -3,9 +3,9 @@
 Each document is measured against rules; failures are counted by host, here the column
 ``source``.  A host's failure rate is shrunk towards the corpus with a beta prior that is fitted
 to all hosts by its moments, so a host with few documents is not judged by chance.  A host whose
-shrunk rate of any rule is over the limit is rejected, and its verdict is joined back.  Filtering
-also rejects a document that fails the symbol rule, unless symbols are usual for its host: its
-shrunk rate is several times the corpus rate that the prior is fitted to.
+shrunk rate of any rule is over the limit is rejected, and its verdict is joined back.  A document
+that fails the symbol rule is rejected too, unless symbols are usual for its host: its shrunk rate
+is several times the corpus rate that the prior is fitted to.
 
 Defined cases: a null or blank text has no words and fails the base rule; a null host is a host
 of its own; rows that repeat are measured and counted each by itself; an empty table gives an
@@ -192,23 +192,31 @@ def host_verdicts(judged: DataFrame, host_col: str = "source") -> DataFrame:
 
 
 def judge(measured: DataFrame, host_col: str = "source") -> DataFrame:
-    """Measured documents with the base rule, the host's verdict and ``kept``.
+    """Measured documents with their failures, the host's verdicts and ``kept``.
 
     ``measured`` should be stored: it is read for the hosts and again for the documents.
     """
-    added = ("base_failed", "host_rejected", "kept")
+    added = ("base_failed", "symbols_failed", "host_rejected", "symbols_excused", "kept")
     judged = apply_rules(measured)
-    hosts = host_verdicts(judged, host_col).select("_host", F.col("host_rejected").alias("_rejected"))
-    documents = judged.drop("host_rejected", "kept")
-    joined = documents.join(hosts, F.col(f"`{host_col}`").eqNullSafe(F.col("_host")), "left")
+    hosts = host_verdicts(judged, host_col).select(
+        "_host", F.col("host_rejected").alias("_rejected"), F.col("symbols_excused").alias("_excused")
+    )
+    joined = judged.join(hosts, F.col(f"`{host_col}`").eqNullSafe(F.col("_host")), "left")
     return joined.select(
         *[F.col(f"`{c}`") for c in measured.columns if c not in added],
         "base_failed",
+        "symbols_failed",
         F.col("_rejected").alias("host_rejected"),
-        (~F.col("base_failed") & ~F.col("_rejected")).alias("kept"),
+        F.col("_excused").alias("symbols_excused"),
+        passes(F.col("_rejected"), F.col("_excused")).alias("kept"),
     )
 
 
+def passes(host_rejected: Column, symbols_excused: Column) -> Column:
+    """Whether a document with the failures of ``apply_rules`` stays under its host's verdicts."""
+    return ~F.col("base_failed") & ~host_rejected & (~F.col("symbols_failed") | symbols_excused)
+
+
 def filter_documents(documents: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The documents that pass, with their own columns."""
     columns = documents.columns
@@ -221,6 +229,5 @@ def filter_documents(documents: DataFrame, text_col: str = "text", host_col: str
         host_verdicts(apply_rules(measured.drop("_row")), "_source").select("_host", "host_rejected", "symbols_excused"),
         "hosts",
     )
-    judged = apply_rules(measured).filter(~F.col("base_failed"))
-    good = judged.join(hosts.filter(~F.col("host_rejected")), F.col("_source").eqNullSafe(F.col("_host")))
-    return good.filter(~F.col("symbols_failed") | F.col("symbols_excused")).select("_row.*")
+    judged = apply_rules(measured).join(hosts, F.col("_source").eqNullSafe(F.col("_host")))
+    return judged.filter(passes(F.col("host_rejected"), F.col("symbols_excused"))).select("_row.*")
