@@ -125,7 +125,7 @@ def check_packing(rows, texts, library, size):
     return fills
 
 
-@pytest.mark.parametrize("merged_at_once", [2, 1_000])
+@pytest.mark.parametrize("merged_at_once", [1, 2, 5, 1_000])
 def test_packing_is_whole(spark, library, merged_at_once):
     rng = random.Random(6)
     texts = {i: sentence(rng, rng.choice([0, 1, 5, 30, 200])) for i in range(150)}

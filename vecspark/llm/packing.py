@@ -35,6 +35,7 @@ from vecspark.sources.workspace import materialize
 OPEN_WINDOWS = 64
 #: Open windows that one task merges at most; larger numbers are merged in several rounds.
 MERGED_AT_ONCE = 8_192
+MAX_MERGE_TASKS = 1 << 24
 
 _PIECE_FIELDS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "offset")
 PIECE = T.StructType([T.StructField(name, T.LongType()) for name in _PIECE_FIELDS])
@@ -117,7 +118,7 @@ class _Output:
                 ("pieces", pa.list_(pa.struct([(name, pa.int64()) for name in _PIECE_FIELDS]))),
             ]
         )
-        # Rounds, tasks and windows have their own bits of the number.
+        # Rounds (below 2^5), tasks (2^24) and windows (2^34) have their own bits of the number.
         self.number = (round_no << 58) | (TaskContext.get().partitionId() << 34)
         self.rows: list[dict] = []
 
@@ -221,8 +222,12 @@ def pack(
         "packed",
     )
     done, left, round_no = [first.filter("closed")], first.filter("NOT closed"), 1
+    tasks = 0
     while True:
-        tasks = -(-left.count() // merged_at_once)
+        # Every task leaves some windows open, so half as many take them up the next time, whatever
+        # the parameters are; at most 25 rounds then follow 2^24 tasks.
+        wanted = -(-left.count() // merged_at_once)
+        tasks = min(wanted, tasks // 2 if tasks else MAX_MERGE_TASKS)
         dealt = left.repartition(tasks, "window") if tasks > 1 else left.coalesce(1)
         # Largest windows first: the small ones then fill the gaps.
         dealt = dealt.sortWithinPartitions(F.desc("fill"), "window")
