@@ -13,7 +13,7 @@ error rather than a cut.
 Defined cases: null texts and texts without letters are ``und`` with score 0; rows without a
 language teach nothing; ties go to the n-gram of the lower code and the language of the lower
 name; if nothing can be learned every text is ``und``; repeated rows count each; an empty table
-gives an empty result; other columns stay, and clashing result columns replace them.
+gives an empty result; texts of any length are worked on in parts of ``PART_CHARS`` characters; other columns stay, and clashing result columns replace them.
 """
 
 from __future__ import annotations
@@ -24,12 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vecspark.llm.batches import text_slices, word_codes
+from vecspark.llm.batches import ragged_take, text_slices, word_codes
 
 #: Places of a profile, of a language as of a text.
 PLACES = 400
 #: Languages that the profiles may hold.
 MAX_LANGUAGES = 4_000
+#: Text whose words are counted together, and n-grams that a task sums up before it sends them on.
+SLICE_BYTES, MAX_SUMS = 1 << 20, 1 << 20
+#: Characters of a text whose n-grams are made at a time.
+PART_CHARS = 1 << 18
 UNDETERMINED = "und"
 
 _EDGE = 1  # stands before and after a word
@@ -37,8 +41,8 @@ _BITS = np.uint64(21)
 
 
 def letter_codes(text: str) -> np.ndarray:
-    """Code points of the text in lower case; everything but letters is an edge."""
-    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    """Code points of a lower-case text; everything but letters is an edge."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     known, which = np.unique(codes, return_inverse=True)
     letters = np.fromiter((chr(c).isalpha() for c in known.tolist()), bool, len(known))
     return np.where(letters, known, _EDGE)[which].astype(np.uint64)
@@ -55,41 +59,68 @@ def grams_of(codes: np.ndarray) -> list[np.ndarray]:
     return [one, two, three]
 
 
-def ranked(grams: np.ndarray, weights: np.ndarray | None = None, places: int | None = None):
-    """Distinct n-grams and their counts, most frequent first."""
-    found, which = (np.unique(grams, return_counts=True) if weights is None else np.unique(grams, return_inverse=True))
-    count = which if weights is None else np.bincount(which, weights, len(found)).astype(np.int64)
-    if places is None:
-        return found, count
-    order = np.lexsort((found, -count))[:places]
-    return found[order], count[order]
+def ranked(grams: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams, in order, and their counts."""
+    if weights is None:
+        return np.unique(grams, return_counts=True)
+    order = np.argsort(grams, kind="stable")
+    grams, weights = grams[order], weights[order]
+    first = np.flatnonzero(np.diff(grams, prepend=~grams[:1]) != 0)
+    return grams[first], np.add.reduceat(weights, first) if len(first) else weights
+
+
+def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of a text and their counts, by parts of ``PART_CHARS`` characters."""
+    padded = f" {text.lower()} "
+    found, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for start in range(0, len(padded), PART_CHARS):
+        # Two more characters complete the n-grams that begin in the part.
+        part = grams_of(letter_codes(padded[start : start + PART_CHARS + 2]))
+        grams, n = ranked(np.concatenate([g[:PART_CHARS][g[:PART_CHARS] > 0] for g in part]))
+        found, count = (grams, n) if not start else ranked(np.append(found, grams), np.append(count, n))
+    return found, count
 
 
 def count_grams(labelled: DataFrame) -> DataFrame:
     """``lang``, ``gram`` and ``n`` of every task, from the columns ``lang`` and ``text``."""
 
+    def emit(sums):
+        for lang, (grams, count) in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(count, pa.int64())],
+                names=["lang", "gram", "n"],
+            )
+
     def run(batches):
-        for batch, texts in text_slices(batches, "text"):
-            langs = batch.column(0).dictionary_encode()
-            lang_no = langs.indices.to_numpy(zero_copy_only=False)
+        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for batch, texts in text_slices(batches, "text", SLICE_BYTES):
             per_text, codes, words = word_codes(texts)
             if not len(codes):
                 continue
-            tf = np.bincount(
-                np.repeat(lang_no, per_text) * len(words) + codes, minlength=len(langs.dictionary) * len(words)
-            ).reshape(len(langs.dictionary), -1)
-            flat = letter_codes(" ".join(words))
-            # A space ends each word; the first one precedes them all.
-            length = np.fromiter((len(w.lower()) + 1 for w in words), np.int64, len(words))
-            word = np.append(np.repeat(np.arange(len(words)), length), len(words) - 1)
-            for i, lang in enumerate(langs.dictionary.to_pylist()):
-                weight = tf[i][word[: len(flat)]]
-                parts = [(g[ok], weight[ok]) for g in grams_of(flat) for ok in [(g > 0) & (weight > 0)]]
-                found, count = ranked(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(count, pa.int64())],
-                    names=["lang", "gram", "n"],
+            # All words of the slice after one space each, and where each begins.
+            lowered = [w.lower() for w in words]
+            length = np.fromiter((len(w) + 1 for w in lowered), np.int64, len(words))
+            grams = [g[: int(length.sum())] for g in grams_of(letter_codes(f" {' '.join(lowered)} "))]
+            langs = batch.column(0).dictionary_encode()
+            owner = np.repeat(langs.indices.to_numpy(zero_copy_only=False), per_text)
+            order = np.argsort(owner, kind="stable")
+            present, first = np.unique(owner[order], return_index=True)
+            for number, mine in zip(present.tolist(), np.split(codes[order], first[1:]), strict=True):
+                word, n = np.unique(mine, return_counts=True)
+                at = ragged_take(np.arange(int(length.sum())), (np.cumsum(length) - length)[word], length[word])
+                weight = np.repeat(n, length[word])
+                parts = [(g[at], g[at] > 0) for g in grams]
+                lang = langs.dictionary[number].as_py()
+                known, count = sums.get(lang, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+                sums[lang] = ranked(
+                    np.concatenate([known, *[g[ok] for g, ok in parts]]),
+                    np.concatenate([count, *[weight[ok] for _, ok in parts]]),
                 )
+            if sum(len(g) for g, _ in sums.values()) > MAX_SUMS:
+                yield from emit(sums)
+                sums = {}
+        yield from emit(sums)
+        pa.default_memory_pool().release_unused()
 
     return labelled.mapInArrow(run, "lang string, gram long, n long")
 
@@ -123,10 +154,11 @@ class Profiles:
             self.rank[np.searchsorted(self.grams, np.array(grams, np.uint64)), i] = np.arange(len(grams))
 
     def nearest(self, text: str) -> tuple[str, float]:
-        parts = [g[g > 0] for g in grams_of(letter_codes(text))]
-        if not self.names or not len(parts[0]):
+        grams, count = gram_counts(text)
+        # Of one letter are those without the bits of a second.
+        if not self.names or not (grams < (np.uint64(1) << _BITS)).any():
             return UNDETERMINED, 0.0
-        grams, _ = ranked(np.concatenate(parts), places=self.places)
+        grams = grams[np.lexsort((grams, -count))[: self.places]]
         at = np.searchsorted(self.grams, grams)
         at[at == len(self.grams)] = 0
         ranks = np.where((self.grams[at] == grams)[:, None], self.rank[at], -1)
@@ -145,7 +177,7 @@ def identify_language(
     table = Profiles(profiles, places)
 
     def run(batches):
-        for batch, texts in text_slices(batches, "_text"):
+        for batch, texts in text_slices(batches, text_at, SLICE_BYTES):
             found = [table.nearest(t) for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -156,7 +188,10 @@ def identify_language(
                 names=[*kept, *added],
             )
 
-    source = documents.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("_text"))
+    # The text goes out once, unless it is one of the columns that are replaced.
+    text_at = text_col if text_col in kept else "_text"
+    extra = [] if text_at == text_col else [F.col(f"`{text_col}`").alias("_text")]
+    source = documents.select(*[F.col(f"`{c}`") for c in kept], *extra)
     schema = documents.select(*[F.col(f"`{c}`") for c in kept]).schema
     for name, kind in added.items():
         schema = schema.add(name, kind)
