@@ -25,12 +25,13 @@ MIN_LANGUAGE_SCORE = 0.2
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the labelled documents are in."""
     columns = docs.columns
-    rows = docs.select(F.struct("*").alias("row"), F.col("text"))
+    others = [c for c in columns if c != "text"]
+    rows = docs.select(F.struct(*[f"`{c}`" for c in others]).alias("row"), "text")
     judged = identify_language(rows, learn_profiles(docs))
     kept = judged.filter(
         (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
     )
-    return kept.select(*[F.col("row")[c].alias(c) for c in columns])
+    return kept.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
