@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from vecspark.catalog.common import Query, r6, table
 from vecspark.functions.times import micros
-from vecspark.operators.evaluate import variant_delta, welch_t
+from vecspark.operators.evaluate import ab_significance, variant_delta, welch_t
 from vecspark.operators.reuse import replay_ttl
+from vecspark.operators.sketches import merge_sketches, rank_errors, sketch_quantiles, window_sketches
 from vecspark.operators.telemetry import (
     admission_windows,
     error_ratio,
@@ -23,6 +24,7 @@ from vecspark.operators.telemetry import (
     threshold_verdicts,
     throughput,
 )
+from vecspark.sources.workspace import materialize
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -334,6 +336,42 @@ SELECT variant, round((mean - mean0) / sqrt(v + v0), 6) AS t,
 FROM stats, base WHERE variant <> 'click'"""
 
 
+def q_ab_significance(spark, sf):
+    tests = ab_significance(events(spark, sf), "event_type", "value", baseline="click")
+    return tests.select("variant", r6("p_value").alias("p_value"), "significant")
+
+
+# The area of the t density beyond |t|, as t = sqrt(v) tan(w), by Simpson's rule.
+QUERIES["ab_significance"] = q_ab_significance
+ORACLES["ab_significance"] = f"""{STATS_SQL},
+tests AS (
+  SELECT variant, abs(mean - mean0) / sqrt(v + v0) AS t,
+         (v + v0) * (v + v0) / (v * v / (n - 1) + v0 * v0 / (n0 - 1)) AS df
+  FROM stats, base WHERE variant <> 'click'),
+areas AS (
+  SELECT variant, any_value(df) AS df, any_value(pi() / 2 - atan(t / sqrt(df))) / 60000 AS h,
+         sum(CASE WHEN i IN (0, 60000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+             * pow(greatest(cos(atan(t / sqrt(df)) + i * (pi() / 2 - atan(t / sqrt(df))) / 60000), 0), df - 1)) AS s
+  FROM tests, range(60001) AS u(i) GROUP BY 1),
+p AS (SELECT variant, 2 * h / 3 * s * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi()) AS p FROM areas)
+SELECT variant, round(p, 6) AS p_value, p < 0.01 AS significant FROM p"""
+
+
+def q_sketch_percentiles(spark, sf):
+    """Hourly sketches, stored, then merged by type; held to the ranks in the log."""
+    log = events(spark, sf)
+    hours = materialize(window_sketches(log, "ts", ["event_type"], "value", "1 hour"), "sketches")
+    quantiles = sketch_quantiles(merge_sketches(hours, ["event_type"]), [0.5, 0.95, 0.99])
+    errors = rank_errors(log, "event_type", "value", materialize(quantiles, "quantiles"))
+    return errors.select("event_type", "p", "n", (F.col("rank_error") <= 0.02).alias("accurate"))
+
+
+QUERIES["sketch_percentiles"] = q_sketch_percentiles
+ORACLES["sketch_percentiles"] = """
+SELECT event_type, p, count(value) AS n, TRUE AS accurate
+FROM events, (SELECT unnest([0.5, 0.95, 0.99])::DOUBLE AS p) GROUP BY 1, 2"""
+
+
 def q_variant_delta(spark, sf):
     deltas = variant_delta(events(spark, sf), "event_type", "value", baseline="click")
     rounded = {c: r6(c) for c in ("mean", "baseline_mean", "relative_change")}

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from vecspark.catalog.changes import MERGED_SQL, merged_orders, orders_loaded
 from vecspark.catalog.common import Query, r6, table
+from vecspark.catalog.logs import ORACLES as LOG_ORACLES
 from vecspark.operators.merge import upsert_table
 from vecspark.operators.telemetry import sliding_rate
 from vecspark.sources.workspace import new_path
+from vecspark.streaming.alerts import FLUSH, stream_alerts
 from vecspark.streaming.dedup import stream_dedup
 from vecspark.streaming.runs import append_files, read_files, with_event_time
 from vecspark.streaming.upsert import stream_upsert
@@ -73,6 +75,38 @@ QUERIES["stream_dedup"] = q_stream_dedup
 ORACLES["stream_dedup"] = "SELECT event_id, ts, event_type, value FROM events"
 
 
+def q_stream_alerts(spark, sf):
+    """The rows of ``sustained_alerts``, once the last windows are over: two streams, one that closes
+    windows and one that keeps the runs."""
+    return ended_alerts(table(spark, sf, "events").select("ts", "event_type", "value"))
+
+
+def ended_alerts(events):
+    spark = events.sparkSession
+    inbox, closed, ends, out = (new_path(spark, n) for n in ("inbox", "windows", "ends", "alerts"))
+    # A row after the end lets the watermark pass all windows.
+    after = events.agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"))
+    flush = after.select("ts", F.lit(FLUSH).alias("event_type"), F.lit(0.0).alias("value"))
+    events.unionByName(flush).repartitionByRange(2, "ts").write.parquet(inbox)
+    stream = with_event_time(read_files(spark, inbox, events.schema), "ts", "2 hours")
+    hours = stream.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.avg("value").alias("mean"))
+    hours = hours.select("event_type", F.col("w.start").alias("window_start"), "mean")
+    append_files(hours, closed, new_path(spark, "checkpoint")).awaitTermination()
+    flush.select(F.col("ts").cast("timestamp").alias("window_start"), "event_type", F.col("value").alias("mean")).write.parquet(ends)
+    windows = read_files(spark, closed, hours.schema).unionByName(read_files(spark, ends, hours.schema))
+    alerts = stream_alerts(windows, "event_type", "window_start", F.col("mean") > 45, 3600, 3, "2 hours")
+    append_files(alerts, out, new_path(spark, "checkpoint")).awaitTermination()
+    ended = spark.read.schema(alerts.schema).parquet(out).filter("event = 'ended'")
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("breach_start", "last_window", "fired_at")}
+    return ended.withColumns(times).select(
+        F.col("series").alias("event_type"), "breach_start", "last_window", "n_windows", "fired_at"
+    )
+
+
+QUERIES["stream_alerts"] = q_stream_alerts
+ORACLES["stream_alerts"] = LOG_ORACLES["sustained_alerts"]
+
+
 def q_stream_sliding_rate(spark, sf):
     """Windows that the watermark has closed, appended exactly once."""
     events = table(spark, sf, "events").select("ts", "event_type")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vecspark.functions.statistics import two_sided_p
+
 from vecspark.operators.ivf import ivf_flat_search, probe_cells
 
 
@@ -95,6 +97,15 @@ def welch_t(df: DataFrame, variant_col: str, value_col: str, baseline: str) -> D
     )
 
 
+def ab_significance(
+    df: DataFrame, variant_col: str, value_col: str, baseline: str, level: float = 0.01
+) -> DataFrame:
+    """Welch's test with ``p_value``, two-sided, and ``significant``, whether it is below the level."""
+    p = two_sided_p(F.col("t"), F.col("degrees_of_freedom"))
+    tests = welch_t(df, variant_col, value_col, baseline).withColumn("p_value", p)
+    return tests.withColumn("significant", F.col("p_value") < level)
+
+
 def variant_delta(df: DataFrame, variant_col: str, value_col: str, baseline: str) -> DataFrame:
     """Relative change of the mean of each variant against the baseline."""
     base = F.col("base.mean")
