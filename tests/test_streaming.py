@@ -2,9 +2,12 @@
 
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from vecspark.catalog.streams import deduplicated_feed
+from vecspark.operators import merge
 from vecspark.operators.merge import upsert_table
 from vecspark.operators.telemetry import admission_windows, failure_breach
 from vecspark.sources.workspace import new_path
@@ -51,6 +54,41 @@ def test_upsert_stream_is_idempotent_and_equals_batch(spark, rows_of):
     assert drain(new_path(spark, "checkpoint")) == expected
 
 
+@pytest.mark.parametrize("fails_after", ["log", "table"])
+def test_a_batch_that_broke_off_counts_and_logs_once(spark, rows_of, monkeypatch, fails_after):
+    schema = "id int, v string, m string"
+    inbox, path, log, checkpoint = (new_path(spark, n) for n in ("inbox", "table", "log", "checkpoint"))
+    for feed in ([(1, "a", "01"), (2, "b", "02")], [(2, "B", "01"), (3, "c", "03"), (1, "a", "01")]):
+        deliver(spark, inbox, feed, schema)
+    wrote = merge.write_partitioned
+    left = [1]
+
+    def breaks_once(df, target, cols, mode="overwrite"):
+        if mode == "overwrite" and left:
+            left.pop()
+            if fails_after == "table":
+                wrote(df, target, cols, mode)
+            raise RuntimeError("lost")
+        wrote(df, target, cols, mode)
+
+    def drain():
+        stream = read_files(spark, inbox, spark.createDataFrame([], schema).schema, max_files=1)
+        stream_upsert(stream, path, checkpoint, ["id"], ["m"], change_log=log).awaitTermination()
+
+    monkeypatch.setattr(merge, "write_partitioned", breaks_once)
+    with pytest.raises(StreamingQueryException):
+        drain()
+    drain()
+    assert not left
+    assert rows_of(spark.read.schema(schema).parquet(path)) == [(1, "a", "01"), (2, "B", "01"), (3, "c", "03")]
+    logged = merge.read_change_log(spark, log)
+    assert rows_of(logged.select("id", "v", "op", "version")) == [(1, "a", "insert", 1), (2, "B", "update", 2), (2, "b", "insert", 1), (3, "c", "insert", 2)]
+    counts = spark.read.parquet(f"{checkpoint}-merged")
+    assert rows_of(counts.select("batch", "inserted", "updated", "unchanged")) == [(0, 2, 0, 0), (1, 1, 1, 1)]
+    drain()
+    assert logged.count() == 4
+
+
 def test_late_row_is_dropped_and_on_time_row_kept(spark):
     inbox, out, checkpoint = (new_path(spark, n) for n in ("inbox", "out", "checkpoint"))
     schema = spark.createDataFrame([], LOG).schema

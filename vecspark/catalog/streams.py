@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vecspark.catalog.changes import MERGED_SQL, merged_orders, orders_loaded
+from vecspark.catalog.changes import FEED_FROM, LOADED_UNTIL, MERGED_SQL, merged_orders, orders_loaded
 from vecspark.catalog.common import Query, r6, table
 from vecspark.catalog.logs import ORACLES as LOG_ORACLES
-from vecspark.operators.merge import upsert_table
+from vecspark.operators.merge import read_change_log, upsert_table
 from vecspark.operators.telemetry import sliding_rate
-from vecspark.sources.workspace import new_path
+from vecspark.sources.workspace import delete_path, new_path
 from vecspark.streaming.alerts import FLUSH, stream_alerts
 from vecspark.streaming.dedup import stream_dedup
 from vecspark.streaming.runs import append_files, read_files, with_event_time
-from vecspark.streaming.upsert import stream_upsert
+from vecspark.streaming.upsert import batch_upsert, stream_upsert
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,37 @@ QUERIES["stream_upsert"] = q_stream_upsert
 ORACLES["stream_upsert"] = MERGED_SQL
 
 
+def q_stream_upsert_repeated(spark, sf):
+    """Every batch is merged twice, as after a failure before its commit; the log has it once."""
+    loaded, feed = orders_loaded(spark, sf)
+    path, log, checkpoint = new_path(spark, "orders"), new_path(spark, "log"), new_path(spark, "checkpoint")
+    merge_batch = batch_upsert(path, checkpoint, ["o_orderkey"], ["year_month"], change_log=log)
+    forgetful = batch_upsert(path, checkpoint, ["o_orderkey"], ["year_month"], change_log=log)
+    for number, batch in enumerate((loaded, feed)):
+        merge_batch(batch, number)
+        delete_path(spark, f"{checkpoint}-merged/batch={number}")  # the marker got lost
+        forgetful(batch, number)
+        forgetful(batch, number)
+    counts = spark.read.parquet(f"{checkpoint}-merged")
+    logged = read_change_log(spark, log).groupBy(F.substring_index("batch", "-", -1).cast("int").alias("batch")).agg(
+        F.count_if(F.col("op") == "insert").alias("logged_inserted"), F.count_if(F.col("op") == "update").alias("logged_updated")
+    )
+    return counts.join(logged, "batch")
+
+
+QUERIES["stream_upsert_repeated"] = q_stream_upsert_repeated
+ORACLES["stream_upsert_repeated"] = f"""
+WITH c AS (
+  SELECT 0 AS batch, count(*) AS inserted, 0 AS updated, 0 AS unchanged
+  FROM orders WHERE o_orderdate < TIMESTAMP '{LOADED_UNTIL}'
+  UNION ALL
+  SELECT 1, count(*) FILTER (o_orderdate >= TIMESTAMP '{LOADED_UNTIL}'),
+         count(*) FILTER (o_orderdate < TIMESTAMP '{LOADED_UNTIL}' AND o_orderstatus = 'F'),
+         count(*) FILTER (o_orderdate < TIMESTAMP '{LOADED_UNTIL}' AND o_orderstatus <> 'F')
+  FROM orders WHERE o_orderdate >= TIMESTAMP '{FEED_FROM}')
+SELECT batch, inserted, updated, unchanged, inserted AS logged_inserted, updated AS logged_updated FROM c"""
+
+
 def q_stream_dedup(spark, sf):
     """Every event is delivered twice, a week after the other at most; each comes out once."""
     return deduplicated_feed(table(spark, sf, "events").select("event_id", "ts", "event_type", "value"))

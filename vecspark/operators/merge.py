@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,13 +142,17 @@ def upsert_table(
     evolve_schema: bool = False,
     fixed_partitions: bool = False,
     change_log: str | None = None,
+    batch: str | None = None,
 ) -> dict[str, int]:
     """Create the partitioned table on the first run, merge into it afterwards.
 
     The table keeps its own columns: those that the feed lacks keep their values, and those that
     only the feed has are left out unless ``evolve_schema``.  Returns the rows ``inserted``,
     ``updated`` and ``unchanged``; with ``change_log`` the inserted and updated rows are also
-    appended there, with ``op``, ``version`` and ``committed_at``, before the table changes.
+    appended there, with ``op``, ``version`` and ``committed_at``, before the table changes.  With
+    ``batch``, a name for the feed, they go to the log once: a feed that is merged again, for
+    instance after a failure between log and table, finds its changes there and returns their
+    counts.  A log is written either with such names or without.
 
     Only partitions that hold a matched key or receive a feed row are rewritten; with
     ``fixed_partitions``, for keys that never move, the others aren't even looked at.  New content
@@ -174,7 +178,7 @@ def upsert_table(
             require_unique_keys(feed, keys)
         if not path_exists(spark, path):
             if change_log:
-                _append_changes(feed.withColumn("op", F.lit("insert")), change_log)
+                _append_changes(feed.withColumn("op", F.lit("insert")), change_log, batch)
             write_partitioned(feed, path, partition_cols, mode="replace_all")
             return {"inserted": feed.count(), "updated": 0, "unchanged": 0}
 
@@ -191,10 +195,16 @@ def upsert_table(
             return {"inserted": 0, "updated": 0, "unchanged": 0}
         old = target.filter(_partition_key(partition_cols).isin([r._partition for r in touched]))
         complete = complete_feed(old, feed, keys, evolve_schema)
-        tagged = stored(tag_changes(old, complete, keys, ignore), "changes")
+        # A merge that broke off can leave a row that moved in two partitions: it is one change.
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("op")))
+        once = reduce(lambda a, k: a | F.col(k).isNull(), keys, F.col("_nth") == 1)
+        tagged = tag_changes(old, complete, keys, ignore).withColumn("_nth", nth).filter(once).drop("_nth")
+        tagged = stored(tagged, "changes")
         counts = {r.op: r["count"] for r in tagged.groupBy("op").count().collect()}
-        if change_log and counts.keys() - {"unchanged"}:
-            _append_changes(tagged.filter("op <> 'unchanged'"), change_log)
+        if change_log and (batch or counts.keys() - {"unchanged"}):
+            logged = _append_changes(tagged.filter("op <> 'unchanged'"), change_log, batch)
+            if logged is not None:
+                counts = logged | {"unchanged": sum(counts.values()) - sum(logged.values())}
         news = (tagged.filter("op <> 'unchanged'") if skip_unchanged else tagged).drop("op")
         kept = old.join(news.select(*keys), list(keys), "left_anti")
         merged = stored(kept.unionByName(news, allowMissingColumns=evolve_schema), "merge")
@@ -211,15 +221,21 @@ def upsert_table(
             delete_path(spark, copy)
 
 
-def _append_changes(changes: DataFrame, change_log: str) -> None:
+def _append_changes(changes: DataFrame, change_log: str, batch: str | None) -> dict[str, int] | None:
+    """Log the changes; of a batch that the log has already, the counts by operation instead."""
     spark = changes.sparkSession
+    path = change_log if batch is None else f"{change_log}/batch={batch}"
+    # Spark leaves this file when all others are in place.
+    if batch is not None and path_exists(spark, f"{path}/_SUCCESS"):
+        return {r.op: r["count"] for r in spark.read.parquet(path).groupBy("op").count().collect()}
     version = 1
     if path_exists(spark, change_log):
-        version += read_change_log(spark, change_log).agg(F.max("version")).first()[0]
+        version += read_change_log(spark, change_log).agg(F.max("version")).first()[0] or 0
     stamped = changes.withColumns(
         {"version": F.lit(version), "committed_at": F.current_timestamp()}
     )
-    stamped.write.mode("append").parquet(change_log)
+    stamped.write.mode("append" if batch is None else "overwrite").parquet(path)
+    return None
 
 
 def read_change_log(spark: SparkSession, change_log: str) -> DataFrame:
