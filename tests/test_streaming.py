@@ -13,6 +13,7 @@ from vecspark.operators.telemetry import admission_windows, failure_breach
 from vecspark.sources.workspace import new_path
 from vecspark.streaming.dedup import stream_dedup
 from vecspark.streaming.reuse import stream_ttl_reuse
+from vecspark.streaming.late import latest_updates, split_late, update_files
 from vecspark.streaming.runs import append_files, read_files, with_event_time
 from vecspark.streaming.upsert import stream_upsert
 
@@ -146,3 +147,36 @@ def test_ttl_stream_equals_plain_replay(spark):
     assert {r.id: r.cache_hit for r in result.collect()} == {
         0: False, 1: True, 2: False, 3: True, 4: True, 5: False, 6: False, 50: False, 51: False,
     }
+
+
+def test_late_rows_go_to_their_table(spark):
+    """Deliveries against a plain replay of the watermark; a repeated batch changes nothing."""
+    inbox, on_time, late, checkpoint = (new_path(spark, n) for n in ("inbox", "on-time", "late", "checkpoint"))
+    deliver(spark, inbox, [])
+    stream = read_files(spark, inbox, spark.createDataFrame([], LOG).schema)
+    deliveries = [[100, 0, None], [39, 40, 300], [239, 240, 100], []]
+    expected, latest, number = {}, None, 0
+    for times in deliveries:
+        rows = [(number + i, "a", None if t is None else START + timedelta(seconds=t), False) for i, t in enumerate(times)]
+        deliver(spark, inbox, rows)
+        split_late(stream, "ts", 60, on_time, late, checkpoint).awaitTermination()
+        expected |= {number + i: t is None or (latest is not None and t < latest - 60) for i, t in enumerate(times)}
+        latest = max([latest or 0, *[t for t in times if t is not None]])
+        number += len(times)
+    schema = spark.createDataFrame([], LOG).schema
+    found = {r.id: name == "late" for name, p in (("late", late), ("on time", on_time)) for r in spark.read.schema(schema).parquet(p).collect()}
+    assert found == expected
+
+
+def test_updates_hold_open_windows(spark):
+    inbox, out, checkpoint = (new_path(spark, n) for n in ("inbox", "updates", "checkpoint"))
+    deliver(spark, inbox, [])
+    stream = with_event_time(read_files(spark, inbox, spark.createDataFrame([], LOG).schema), "ts", "10 seconds")
+    counts = stream.groupBy(F.window("ts", "10 seconds").start.alias("w"), "key").agg(F.count(F.lit(1)).alias("n"))
+    for rows in ([at(1, 0), at(2, 5), at(3, 12, "b")], [at(4, 6), at(5, 13, "b"), at(6, 21)]):
+        deliver(spark, inbox, rows)
+        update_files(counts, out, checkpoint).awaitTermination()
+    found = latest_updates(spark, out, counts, ["w", "key"]).select("w", "key", "n").collect()
+    assert {(int((r.w.replace(tzinfo=None) - START).total_seconds()), r.key): r.n for r in found} == {
+        (0, "a"): 3, (10, "b"): 2, (20, "a"): 1,
+    }

@@ -182,3 +182,31 @@ def test_percentiles_keep_null_and_empty_groups(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     found = {r.g: (r["mean"], r.p50) for r in tm.exact_percentiles(df, "g", "v", [0.5]).collect()}
     assert found == {None: (2.0, 2.0), "a": (2.0, 2.0), "b": (None, None)}
+
+
+def test_breaches_last_over_every_window(spark):
+    """Runs of hours, one of them missing, against a plain count."""
+    bad = [True, True, None, True, False, True, True, True]
+    hours = [(START + timedelta(hours=i), b) for i, b in enumerate(bad) if i != 6]
+    df = spark.createDataFrame(hours, "w timestamp_ntz, bad boolean").repartition(3)
+    whole = tm.every_window(df, "w", "1 hour")
+    rows = whole.select("w", "bad", tm.breach_minutes("w", F.col("bad"), 60).alias("m")).orderBy("w").collect()
+    assert [r.w for r in rows] == [START + timedelta(hours=i) for i in range(8)]
+    assert [r.m for r in rows] == [60, 120, 0, 60, 0, 60, 0, 60]
+    assert not tm.every_window(df.limit(0), "w", "1 hour").collect()
+
+
+def test_breaches_last_within_their_series(spark):
+    rows = [("a", i, True) for i in range(3)] + [("b", i, i != 1) for i in range(3)]
+    df = spark.createDataFrame(rows, "s string, w int, bad boolean")
+    found = df.select("s", "w", tm.breach_minutes("w", F.col("bad"), 5, ["s"]).alias("m")).orderBy("s", "w").collect()
+    assert [r.m for r in found] == [5, 10, 15, 5, 0, 5]
+
+
+def test_severity_takes_own_limits(spark):
+    df = spark.createDataFrame([(True, 0.0, 600.0, 15.0, 0.0, 0.9)], "a boolean, b double, p double, m double, e double, h double")
+    columns = [F.col(c) for c in "abpmeh"]
+    assert tm.incident_severity(df, *columns).first().severity == "P2"
+    assert tm.incident_severity(df, *columns, limits={"p99_critical": 599.0}).first().severity == "P1"
+    with pytest.raises(ValueError, match="unknown"):
+        tm.incident_severity(df, *columns, limits={"p98": 1.0})

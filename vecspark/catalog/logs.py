@@ -11,7 +11,9 @@ from vecspark.operators.reuse import replay_ttl
 from vecspark.operators.sketches import merge_sketches, rank_errors, sketch_quantiles, window_sketches
 from vecspark.operators.telemetry import (
     admission_windows,
+    breach_minutes,
     error_ratio,
+    every_window,
     exact_percentiles,
     failure_breach,
     histogram_quantile,
@@ -266,55 +268,69 @@ def day_of(ts_col):
     return F.date_trunc("day", ts_col).cast("timestamp_ntz")
 
 
+def hour_of(ts_col):
+    return F.date_trunc("hour", ts_col).cast("timestamp_ntz")
+
+
+#: What counts as an incident in this log, whose hours hold few requests and few repeated ones.
+LOG_LIMITS = {
+    "p99_critical": 250, "error_rate": 0.15, "hit_rate": 0.02, "p99_high": 150, "p99_minutes": 60,
+}
+
+
 def q_incident_severity(spark, sf):
-    """Per day; each hour with a failure breach counts as an hour of open breaker."""
-    log = replayed(spark, sf).withColumn("day", day_of("ts"))
-    days = log.groupBy("day").agg(
+    """Per hour, hours without a request included; breaches last from their first hour on."""
+    log = materialize(replayed(spark, sf).withColumn("hour", hour_of("ts")), "replayed")
+    counts = log.groupBy("hour").agg(
         F.count(F.lit(1)).alias("requests"),
+        F.count_if(is_error()).alias("failures"),
         F.avg(slow_error().cast("int")).alias("error_rate"),
         F.avg(F.col("cache_hit").cast("int")).alias("hit_rate"),
     )
-    latency = exact_percentiles(
-        events(spark, sf).withColumn("day", day_of("ts")), "day", "value", [0.99]
-    ).drop("mean")
-    breaches = failure_breach(events(spark, sf), "ts", is_error(), "1 hour")
-    open_hours = breaches.groupBy(day_of("window_start").alias("day")).agg(
-        F.count(F.lit(1)).alias("open_hours")
+    latency = exact_percentiles(log, "hour", "value", [0.99]).drop("mean")
+    hours = every_window(materialize(counts.join(latency, "hour", "left"), "hours"), "hour", "1 hour")
+    opened = (F.col("requests") >= 5) & (F.col("failures") / F.col("requests") >= 0.5)
+    slow = F.col("p99") > LOG_LIMITS["p99_high"]
+    lasting = hours.withColumns(
+        {"open_minutes": breach_minutes("hour", opened, 60), "slow_minutes": breach_minutes("hour", slow, 60)}
     )
-    joined = days.join(latency, "day").join(open_hours, "day", "left")
     rated = incident_severity(
-        joined,
-        available=F.col("requests") > 0,
-        breaker_minutes=F.coalesce("open_hours", F.lit(0)) * 60,
+        lasting,
+        available=F.coalesce("requests", F.lit(0)) > 0,
+        breaker_minutes=F.col("open_minutes"),
         p99=F.col("p99"),
-        p99_minutes=F.lit(1440),
+        p99_minutes=F.col("slow_minutes"),
         error_rate=F.col("error_rate"),
-        # The log repeats few fingerprints within six hours; tenfold, the rule tells days apart.
-        hit_rate_=F.col("hit_rate") * 10,
+        hit_rate_=F.col("hit_rate"),
+        limits=LOG_LIMITS,
     )
     return rated.select(
-        "day", r6("error_rate").alias("error_rate"), r6("hit_rate").alias("hit_rate"),
-        r6("p99").alias("p99"), F.coalesce("open_hours", F.lit(0)).alias("open_hours"), "severity",
-    )
+        "hour", *[r6(c).alias(c) for c in ("error_rate", "hit_rate", "p99")], "open_minutes", "slow_minutes", "severity"
+    )
 
 
 QUERIES["incident_severity"] = q_incident_severity
 ORACLES["incident_severity"] = f"""{TTL_SQL},
-days AS (
-  SELECT date_trunc('day', ts)::TIMESTAMP AS day,
+found AS (
+  SELECT date_trunc('hour', ts)::TIMESTAMP AS hour, count(*) AS n, count(*) FILTER (event_type = 'error') AS failures,
          count(*) FILTER (event_type = 'error' AND value > 150) / count(*) AS error_rate,
          count(*) FILTER (cache_hit) / count(*) AS hit_rate, quantile_cont(value, 0.99) AS p99
   FROM reused GROUP BY 1),
-breaches AS (
-  SELECT date_trunc('hour', ts)::TIMESTAMP AS hour FROM events GROUP BY 1
-  HAVING count(*) >= 5 AND count(*) FILTER (event_type = 'error') / count(*) >= 0.5),
-opened AS (SELECT date_trunc('day', hour)::TIMESTAMP AS day, count(*) AS n FROM breaches GROUP BY 1)
-SELECT day, round(error_rate, 6) AS error_rate, round(hit_rate, 6) AS hit_rate, round(p99, 6) AS p99,
-       coalesce(n, 0) AS open_hours,
-       CASE WHEN coalesce(n, 0) * 60 > 5 THEN 'P0' WHEN p99 > 1000 OR error_rate > 0.05 THEN 'P1'
-            WHEN hit_rate * 10 < 0.7 OR p99 > 500 THEN 'P2' WHEN error_rate > 0 THEN 'P3'
+spine AS (SELECT unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM found),
+marked AS (
+  SELECT *, coalesce(n >= 5 AND failures / n >= 0.5, FALSE)::INT AS opened, coalesce(p99 > 150, FALSE)::INT AS slow
+  FROM spine LEFT JOIN found USING (hour)),
+runs AS (SELECT *, sum(1 - opened) OVER (ORDER BY hour) AS a, sum(1 - slow) OVER (ORDER BY hour) AS b FROM marked),
+lasting AS (
+  SELECT *, (60 * sum(opened) OVER (PARTITION BY a ORDER BY hour))::INT AS open_minutes,
+         (60 * sum(slow) OVER (PARTITION BY b ORDER BY hour))::INT AS slow_minutes
+  FROM runs)
+SELECT hour, round(error_rate, 6) AS error_rate, round(hit_rate, 6) AS hit_rate, round(p99, 6) AS p99,
+       open_minutes, slow_minutes,
+       CASE WHEN n IS NULL OR open_minutes > 5 THEN 'P0' WHEN p99 > 250 OR error_rate > 0.15 THEN 'P1'
+            WHEN hit_rate < 0.02 OR (p99 > 150 AND slow_minutes > 60) THEN 'P2' WHEN error_rate > 0 THEN 'P3'
             ELSE 'none' END AS severity
-FROM days LEFT JOIN opened USING (day)"""
+FROM lasting"""
 
 
 def q_ab_welch_t(spark, sf):

@@ -9,9 +9,10 @@ from vecspark.catalog.common import Query, r6, table
 from vecspark.catalog.logs import ORACLES as LOG_ORACLES
 from vecspark.operators.merge import read_change_log, upsert_table
 from vecspark.operators.telemetry import sliding_rate
-from vecspark.sources.workspace import delete_path, new_path
+from vecspark.sources.workspace import delete_path, materialize, new_path
 from vecspark.streaming.alerts import FLUSH, stream_alerts
 from vecspark.streaming.dedup import stream_dedup
+from vecspark.streaming.late import latest_updates, split_late, update_files
 from vecspark.streaming.runs import append_files, read_files, with_event_time
 from vecspark.streaming.upsert import batch_upsert, stream_upsert
 
@@ -139,14 +140,14 @@ ORACLES["stream_alerts"] = LOG_ORACLES["sustained_alerts"]
 
 
 def q_stream_sliding_rate(spark, sf):
-    """Windows that the watermark has closed, appended exactly once."""
+    """Closed windows and those still open after the last row: the rows of ``sliding_rate``."""
     events = table(spark, sf, "events").select("ts", "event_type")
     inbox, out = new_path(spark, "inbox"), new_path(spark, "rates")
     events.repartitionByRange(2, "ts").write.parquet(inbox)
     stream = with_event_time(read_files(spark, inbox, events.schema), "ts", "2 hours")
     rates = sliding_rate(stream, "ts", "event_type", "1 hour", "15 minutes", 3600)
-    append_files(rates, out, new_path(spark, "checkpoint")).awaitTermination()
-    result = spark.read.schema(rates.schema).parquet(out)
+    update_files(rates, out, new_path(spark, "checkpoint")).awaitTermination()
+    result = latest_updates(spark, out, rates, ["window_start", "event_type"])
     return result.select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         "event_type",
@@ -156,10 +157,36 @@ def q_stream_sliding_rate(spark, sf):
 
 
 QUERIES["stream_sliding_rate"] = q_stream_sliding_rate
-ORACLES["stream_sliding_rate"] = """
-WITH closed AS (
-  SELECT time_bucket(INTERVAL 15 MINUTE, ts) - i * INTERVAL 15 MINUTE AS window_start, event_type,
-         count(*) AS requests
-  FROM events, (SELECT unnest(range(4)) AS i) GROUP BY 1, 2)
-SELECT window_start, event_type, requests, round(requests / 3600, 6) AS rate FROM closed
-WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"""
+ORACLES["stream_sliding_rate"] = LOG_ORACLES["sliding_rate"]
+
+
+def q_stream_late_rows(spark, sf):
+    """Five deliveries by time; every tenth event comes one or two deliveries later than the others.
+    With six days of delay, some of these are late."""
+    return on_time_and_late(table(spark, sf, "events").select("event_id", "ts", "event_type"))
+
+
+def on_time_and_late(events):
+    spark = events.sparkSession
+    inbox, on_time, late, checkpoint = (new_path(spark, n) for n in ("inbox", "on-time", "late", "checkpoint"))
+    behind = F.when(F.col("event_id") % 10 == 0, 1 + F.col("event_id") % 20 / 10).otherwise(0)
+    due = F.floor((F.day("ts") - 1) / 6) + behind.cast("long")
+    feed = materialize(events.withColumn("delivery", F.least(due, F.lit(4))), "feed")
+    events.limit(0).write.parquet(inbox)
+    stream = read_files(spark, inbox, events.schema)
+    for number in range(5):
+        feed.filter(F.col("delivery") == number).drop("delivery").write.mode("append").parquet(inbox)
+        split_late(stream, "ts", 6 * 86400, on_time, late, checkpoint).awaitTermination()
+    parts = [spark.read.schema(events.schema).parquet(p).withColumn("late", F.lit(p == late)) for p in (on_time, late)]
+    return parts[0].unionByName(parts[1]).select("event_id", "event_type", "late")
+
+
+QUERIES["stream_late_rows"] = q_stream_late_rows
+ORACLES["stream_late_rows"] = """
+WITH feed AS (
+  SELECT event_id, ts, event_type,
+         least((day(ts) - 1) // 6 + CASE WHEN event_id % 20 = 0 THEN 1 WHEN event_id % 20 = 10 THEN 2 ELSE 0 END, 4) AS d
+  FROM events),
+latest AS (SELECT d, max(max(ts)) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+           FROM feed GROUP BY d)
+SELECT event_id, event_type, ts IS NULL OR coalesce(ts < seen - INTERVAL 6 DAY, FALSE) AS late FROM feed JOIN latest USING (d)"""

@@ -18,6 +18,14 @@ HISTOGRAM_BOUNDS = (5, 10, 25, 50, 75, 100, 250, 500, 750, 1000, 2500, 5000, 750
 BAND_BOUNDS = (250, 2500, 5000)
 AVAILABILITY_TARGET = 0.999
 BURN_RATES = {"P0": 36.0, "P1": 14.4, "P2": 5.0}
+INCIDENT_LIMITS = {
+    "breaker_minutes": 5.0,
+    "p99_critical": 1000.0,
+    "error_rate": 0.05,
+    "hit_rate": 0.70,
+    "p99_high": 500.0,
+    "p99_minutes": 10.0,
+}
 PERMIT_LIMIT = 100
 QUEUE_LIMIT = 50
 
@@ -257,6 +265,27 @@ def slo_burn_rate(
     )
 
 
+def every_window(windows: DataFrame, start_col: str, width: str) -> DataFrame:
+    """The windows with a row for each that is missing between the first and the last, its other
+    columns null."""
+    span = windows.agg(F.min(start_col).alias("a"), F.max(start_col).alias("b"))
+    starts = span.select(F.explode(F.sequence("a", "b", F.expr(f"interval {width}"))).alias(start_col))
+    return starts.join(windows, start_col, "left")
+
+
+def breach_minutes(start_col: str, breach: Column, window_minutes: float, series_cols: Sequence[str] = ()) -> Column:
+    """How long a breach has lasted at the end of each window: 0 where it doesn't breach.
+
+    For tables with a row for every window (``every_window``), one time line a series.  A breach
+    that is null counts as none.
+    """
+    breaching = F.coalesce(breach, F.lit(False)).cast("int")
+    by_time = Window.partitionBy(*series_cols).orderBy(start_col)
+    place = F.row_number().over(by_time)
+    calm = F.max(F.when(breaching == 0, place)).over(by_time)
+    return breaching * (place - F.coalesce(calm, F.lit(0))) * window_minutes
+
+
 def incident_severity(
     windows: DataFrame,
     available: Column,
@@ -265,11 +294,18 @@ def incident_severity(
     p99_minutes: Column,
     error_rate: Column,
     hit_rate_: Column,
+    limits: dict[str, float] | None = None,
 ) -> DataFrame:
-    """Severity of each window: the first of the rules P0 to P3 that applies."""
-    p0 = ~available | (breaker_minutes > 5)
-    p1 = (p99 > 1000) | (error_rate > 0.05)
-    p2 = (hit_rate_ < 0.70) | ((p99 > 500) & (p99_minutes > 10))
+    """Severity of each window: the first of the rules P0 to P3 that applies.
+
+    A rule over a null doesn't apply.  ``limits`` replaces single values of ``INCIDENT_LIMITS``.
+    """
+    at = {**INCIDENT_LIMITS, **(limits or {})}
+    if len(at) > len(INCIDENT_LIMITS):
+        raise ValueError(f"unknown limits: {sorted(at.keys() - INCIDENT_LIMITS.keys())}")
+    p0 = ~available | (breaker_minutes > at["breaker_minutes"])
+    p1 = (p99 > at["p99_critical"]) | (error_rate > at["error_rate"])
+    p2 = (hit_rate_ < at["hit_rate"]) | ((p99 > at["p99_high"]) & (p99_minutes > at["p99_minutes"]))
     p3 = error_rate > 0
     severity = (
         F.when(p0, "P0").when(p1, "P1").when(p2, "P2").when(p3, "P3").otherwise("none")
