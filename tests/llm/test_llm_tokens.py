@@ -76,6 +76,7 @@ def test_verification_agrees_with_merging():
         table = Merges(vocab, merges, "")
         words = ["".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(80)]
         exact = table.merge([table.symbols(w) for w in words])
+        assert [table.merge_long(table.symbols(w)) for w in words] == exact
         assert table.encode_words(words)[0] == exact
         for word, tokens in zip(words, exact, strict=True):
             plain = list(word)
@@ -88,6 +89,25 @@ def test_verification_agrees_with_merging():
             assert [vocab[p] for p in plain] == tokens
 
 
+def test_long_words_and_texts_are_encoded_whole(library):
+    """Words of 200,000 and 300 letters, repeated pairs, and a text of 5 MB."""
+    encoder, rng = SpeculativeEncoder(TOKENIZER), random.Random(8)
+    import pyarrow as pa
+
+    def letters(n):
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+
+    texts = [letters(200_000), letters(300), "ab" * 5_000 + "a", "aaa" * 3_000, "".join(rng.choices("ab/+9Zq", k=20_000))]
+    texts.append(" ".join(sentence(rng, 50) for _ in range(100)) + " ")
+    texts[-1] *= 5_000_000 // len(texts[-1]) + 1
+    count, ids = encoder.encode(pa.array(texts, pa.large_string()))
+    assert count.sum() == len(ids)
+    at = 0
+    for text, n in zip(texts, count.tolist(), strict=True):
+        assert ids[at : at + n].tolist() == ids_of(library, text)
+        at += n
+
+
 def test_round_trip_digests(spark, library):
     frame = edge_frame(spark)
     found = encode_and_decode(frame, TOKENIZER)

@@ -7,7 +7,8 @@ Encoding of a distinct word:
    border between two neighbouring tokens.  Undoing the merges of both in reverse order shows
    every pair of symbols that met at the border, and when.  All borders of all words of a
    batch are tested together, in lockstep over numpy arrays.
-3. *Merge*: only words with a failing border are merged exactly, pair by pair.
+3. *Merge*: only words with a failing border are merged exactly, pair by pair; long ones by a
+   heap of their pairs, so that a text without white space costs n log n steps.
 
 Words are the pre-tokens of the tokenizer file.  Plain text is cut by its pattern here, and
 pieces with special tokens or composing characters by the library's own normaliser and
@@ -15,7 +16,8 @@ pre-tokeniser; token ids always come from the three steps.
 
 Defined cases: a null text counts as empty (no ids, the digest of nothing); repeated rows are
 encoded each by itself; other columns stay as they are, and clashing result columns replace
-them; an empty table gives an empty result.
+them; an empty table gives an empty result; a very long text is encoded whole, in memory that
+grows with its length.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,9 @@ from vecspark.llm.wordpieces import TOKEN_SLICE_BYTES, PieceEncoder
 
 _NEVER = np.int64(1) << 40
 
+#: Words of more symbols are merged one by one with a heap, shorter ones together in lockstep.
+LOCKSTEP_SYMBOLS = 256
+
 
 class Merges:
     """A vocabulary whose tokens are single symbols or made by one merge each.
@@ -59,6 +66,7 @@ class Merges:
             self.made[when], keys[when - 1] = made, vocab[a] * self.size + vocab[b]
         order = np.argsort(keys)
         self.keys, self.key_time = keys[order], times[order]
+        self.pair_time = dict(zip(keys.tolist(), times.tolist(), strict=True))
         # A token may be proposed only if its own text is encoded as that token.
         merged = np.flatnonzero(self.time)
         sound = np.ones(self.size, bool)
@@ -120,8 +128,36 @@ class Merges:
         return [self.vocab[s] for s in parts if s in self.vocab]
 
     def merge(self, words: list[list[int]]) -> list[list[int]]:
-        """Exact merging of all words together, one merge of each word a round: always its
-        earliest pair, of equal ones the leftmost."""
+        """Exact merging: always the earliest pair of a word, of equal ones the leftmost."""
+        found = {i: self.merge_long(w) for i, w in enumerate(words) if len(w) > LOCKSTEP_SYMBOLS}
+        short = iter(self.merge_short([w for i, w in enumerate(words) if i not in found]))
+        return [found[i] if i in found else next(short) for i in range(len(words))]
+
+    def merge_long(self, symbols: list[int]) -> list[int]:
+        """One word, whose pairs wait in a heap; n log n steps."""
+        tokens, n, size, times, made = array("q", symbols), len(symbols), self.size, self.pair_time, self.made.tolist()
+        before, after = array("q", range(-1, n - 1)), array("q", range(1, n + 1))
+        pairs = tokens[:-1], tokens[1:]
+        waiting = [t * n + i for i, (a, b) in enumerate(zip(*pairs)) if (t := times.get(a * size + b))]
+        heapify(waiting)
+        while waiting:
+            time, at = divmod(heappop(waiting), n)
+            right = after[at]
+            # The pair may have lost a side to another merge meanwhile.
+            if tokens[at] < 0 or right >= n or times.get(tokens[at] * size + tokens[right]) != time:
+                continue
+            tokens[at], tokens[right] = made[time], -1
+            follower = after[at] = after[right]
+            if follower < n:
+                before[follower] = at
+                if t := times.get(tokens[at] * size + tokens[follower]):
+                    heappush(waiting, t * n + at)
+            if (previous := before[at]) >= 0 and (t := times.get(tokens[previous] * size + tokens[at])):
+                heappush(waiting, t * n + previous)
+        return [t for t in tokens if t >= 0]
+
+    def merge_short(self, words: list[list[int]]) -> list[list[int]]:
+        """All words together, one merge of each word a round."""
         done: list[list[int]] = [[] for _ in words]
         count = np.fromiter(map(len, words), np.int64, len(words))
         tokens = np.fromiter((t for w in words for t in w), np.int64, int(count.sum()))
