@@ -6,9 +6,9 @@ Every module holds ``QUERIES`` (name to function of session and folder) and ``OR
 
 from __future__ import annotations
 
-from vecspark.catalog import blocks, changes, flows, ingest, logs, streams, vectors
+from vecspark.catalog import blocks, changes, codes, flows, ingest, logs, streams, vectors
 
-MODULES = (ingest, changes, vectors, blocks, logs, streams, flows)
+MODULES = (ingest, changes, vectors, codes, blocks, logs, streams, flows)
 
 
 def all_queries() -> dict:

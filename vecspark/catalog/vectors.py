@@ -434,9 +434,15 @@ def q_index_smoke(spark, sf):
 
 
 QUERIES["pq_train_stats"] = q_pq_train_stats
+ORACLES["pq_train_stats"] = f"""
+SELECT unnest(range({M}))::INTEGER AS sub, {1 << NBITS} AS n_codes, {1 << NBITS} AS n_distinct, width
+FROM (SELECT max(len(embedding)) // {M} AS width FROM embeddings)"""
 QUERIES["pq_encode"] = q_pq_encode
 QUERIES["ivfpq_search"] = q_ivfpq_search
 QUERIES["index_smoke"] = q_index_smoke
+ORACLES["index_smoke"] = """
+SELECT vec_id AS query_id, 10 AS n_hits, 0.0::DOUBLE AS nearest_distance, TRUE AS found_itself
+FROM embeddings ORDER BY vec_id LIMIT 5"""
 
 
 def q_index_roundtrip(spark, sf):
