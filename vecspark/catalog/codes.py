@@ -1,4 +1,5 @@
-"""Product-quantised codes under a fixed model that SQL can repeat, and properties of trained ones.
+"""Product-quantised codes under a fixed model that SQL can repeat, properties of trained ones,
+and postings by ranges of cells.
 
 The cells are the means of the labels, and the codewords the residuals of the first vectors.
 """
@@ -22,13 +23,16 @@ from vecspark.catalog.vectors import (
     ranked,
 )
 from vecspark.functions.vectors import squared_l2
-from vecspark.operators.ivf import assign_cells, ivf_flat_search, model_matrix, train_centroids
+from vecspark.operators.ivf import assign_cells, ivf_flat_search, model_matrix, probe_cells, train_centroids
 from vecspark.operators.pq import ivfpq_search, pq_encode
-from vecspark.sources.workspace import materialize
+from vecspark.sources.cell_ranges import read_cells, write_cell_ranges
+from vecspark.sources.workspace import materialize, new_path
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+ROWS_PER_RANGE = 120
+
 
 def fixed_codebooks(postings, centroids):
     """The residual of the vector with the c-th smallest id gives codeword c of every sub-space."""
@@ -129,3 +133,22 @@ def q_ivf_train_cells(spark, sf):
 
 QUERIES["ivf_train_cells"] = q_ivf_train_cells
 ORACLES["ivf_train_cells"] = "SELECT vec_id, TRUE AS in_nearest_cell FROM embeddings"
+
+
+def q_cell_range_read(spark, sf):
+    """Vectors of the cells nearest to three queries, from the ranges that hold them."""
+    vectors = embeddings(spark, sf)
+    centroids = label_means(vectors)
+    path = new_path(spark, "ranges")
+    write_cell_ranges(path, assign_cells(vectors, centroids), ROWS_PER_RANGE, "vec_id")
+    queries = label_queries(vectors).filter("query_id < 3")
+    probed = probe_cells(queries, centroids, 1, "query_vector").select(F.explode("cells").alias("cell"))
+    return read_cells(path, materialize(probed, "probed")).select("vec_id", "cell", "cell_range")
+
+
+QUERIES["cell_range_read"] = q_cell_range_read
+ORACLES["cell_range_read"] = f"""{BASE_SQL},
+counts AS (SELECT cell, count(*) AS n FROM postings GROUP BY 1),
+directory AS (SELECT cell, ((sum(n) OVER (ORDER BY cell) - n) // {ROWS_PER_RANGE})::BIGINT AS cell_range FROM counts)
+SELECT vec_id, cell, cell_range FROM postings JOIN directory USING (cell)
+WHERE cell IN (SELECT cell FROM probes WHERE probe_rank = 1 AND query_id < 3)"""
