@@ -210,3 +210,13 @@ def test_severity_takes_own_limits(spark):
     assert tm.incident_severity(df, *columns, limits={"p99_critical": 599.0}).first().severity == "P1"
     with pytest.raises(ValueError, match="unknown"):
         tm.incident_severity(df, *columns, limits={"p98": 1.0})
+
+
+def test_only_hits_of_bounded_size_are_broadcast(spark):
+    hits = spark.createDataFrame([(1, 2, 0.5)], "query_id long, id long, distance double")
+
+    def hinted(df, bound):
+        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString() if (df := rs.small_side(df, bound)) else None
+
+    assert hinted(hits, 1_000) and not hinted(hits, 1_000_000) and not hinted(hits, None)
+    assert not hinted(hits.withColumn("note", F.lit("x")), 1_000)

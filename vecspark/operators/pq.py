@@ -23,7 +23,7 @@ from vecspark.operators.ivf import (
     training_sample,
 )
 from vecspark.operators.knn import best_per_query
-from vecspark.operators.results import MAX_BROADCAST_HITS
+from vecspark.operators.results import small_side
 from vecspark.operators.scan import dense, scan_topk, squared_distances
 from vecspark.sources.workspace import materialize
 
@@ -246,11 +246,9 @@ def rerank(
     ``max_hits`` is the caller's bound on the hits; within the broadcast limit the vectors
     are then not shuffled.
     """
-    if max_hits is not None and max_hits <= MAX_BROADCAST_HITS:
-        hits = F.broadcast(hits)
     exact = (
         vectors.select(id_col, vec_col)
-        .join(hits.drop("distance", "rank"), id_col)
+        .join(small_side(hits.select(*query_cols, id_col), max_hits), id_col)
         .join(queries.select(*query_cols, query_vec_col), list(query_cols))
         .select(*query_cols, id_col, squared_l2(vec_col, query_vec_col).alias("distance"))
     )

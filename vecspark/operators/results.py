@@ -6,9 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Hits up to this number may be broadcast to the source they are looked up in.
-MAX_BROADCAST_HITS = 1_000_000
+# Hits up to this size may be broadcast to the source they are looked up in.
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def small_side(hits: DataFrame, max_hits: int | None) -> DataFrame:
+    """``hits``, with a broadcast hint if their number and their columns bound their size.
+
+    Texts and lists have no such bound; then Spark decides by the size that it finds.
+    """
+    kinds = [f.dataType for f in hits.schema.fields]
+    fixed = all(isinstance(k, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)) for k in kinds)
+    # Sixteen bytes hold the widest of these types; a row and its place in the hash table take 64 more.
+    if max_hits is not None and fixed and max_hits * (64 + 16 * len(kinds)) <= MAX_BROADCAST_BYTES:
+        return F.broadcast(hits)
+    return hits
 
 
 def attach_metadata(
@@ -23,9 +37,7 @@ def attach_metadata(
     ``max_hits`` is the caller's bound (queries times k); within the broadcast limit the
     source is then not shuffled.
     """
-    if max_hits is not None and max_hits <= MAX_BROADCAST_HITS:
-        hits = F.broadcast(hits)
-    return source.select(id_col, *columns).join(hits, id_col)
+    return source.select(id_col, *columns).join(small_side(hits, max_hits), id_col)
 
 
 def with_metadata_map(df: DataFrame, columns: Sequence[str], out_col: str = "metadata") -> DataFrame:
