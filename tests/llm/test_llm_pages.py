@@ -62,6 +62,29 @@ def test_content_is_whole_without_one_article(body, text):
     assert main_text(PAGE.format(body=body.format(*parts))) == text.format(*parts)
 
 
+@pytest.mark.parametrize(
+    "part, kept",
+    [
+        ("<header><h1>Head</h1><p>A lead.</p></header>", "Head A lead."),
+        ("<div class='post-header'><h1>Head</h1><div>By me</div></div>", "Head By me"),
+        ("<section class='related-work'><h2>Work</h2><p>{1}</p></section>", "Work {1}"),
+        ("<p id='notice-of-1848'>{0}</p>", "{0}"),
+        # Without headline or prose, or by a plain name, they are what they are called.
+        ("<header><a href='/'>Home</a> <a href='/x'>More</a></header>", ""),
+        ("<div class='related-posts'><ul><li><a href='/a'>One more</a></li></ul></div>", ""),
+        ("<div class='notice'><p>{1}</p></div>", ""),
+        ("<div class='cookie-notice'><p>{1}</p></div>", ""),
+        ("<div class='related-ads'><p>{1}</p></div>", ""),
+        ("<header role='banner'><p>{1}</p></header>", ""),
+        ("<header hidden><h1>Head</h1></header>", ""),
+    ],
+)
+def test_names_alone_do_not_remove_parts_of_an_article(part, kept):
+    words = [" ".join(["lead"] * 40), " ".join(["word"] * 80)]
+    body = f"<article>{part.format(*words)}<p>{words[1]}</p><p>end</p></article>"
+    assert main_text(PAGE.format(body=body)) == f"{kept.format(*words)} {words[1]} end".strip()
+
+
 def test_page_edges(spark):
     assert main_text("") == "" and main_text("no tags\n at all") == "no tags at all"
     assert main_text("<div>" * 3_000 + "deep") == "deep" and main_text("<p>a" * 3_000) == " ".join(["a"] * 3_000)

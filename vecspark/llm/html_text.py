@@ -6,7 +6,8 @@ article (scripts, menus, footers, adverts, forms, comments, ...) are left out.
 ratio of characters to tags is smoothed along the page with a Gaussian, and lines over the
 threshold, a part of the ratios' standard deviation, are selected.  Where article and main
 elements hold most of the selected text, those with a selected line are the content, and headlines
-beside them.  Everywhere else it is the smallest container that holds all selected lines.  A region
+beside them.  A header of an article, and a part of it whose name only holds such a word (as
+``related-work``), stay if they have a headline or a line of prose.  Everywhere else it is the smallest container that holds all selected lines.  A region
 is taken whole, so short lines in it are never lost.  A form that holds most of the text of a page
 is the frame of the page.
 
@@ -88,24 +89,42 @@ def is_foreign(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
     return False
 
 
+def is_doubtful(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
+    """Whether only ``header``, or a name with more to it, makes a part of an article foreign."""
+    others = [(name, value) for name, value in attributes if name not in ("class", "id")]
+    if is_foreign("div" if tag == "header" else tag, others):
+        return False
+    for name in " ".join(value or "" for name, value in attributes if name in ("class", "id")).lower().split():
+        words = _NAME.findall(name)
+        if not _NEVER_NAMED.isdisjoint(words):
+            of_header = words[-1] == "header" and _NEVER_NAMED.isdisjoint(words[:-1])
+            of_other = words[0] in ("related", "notice") and _NEVER_NAMED.isdisjoint(words[1:])
+            if len(words) == 1 or not (of_header or of_other):
+                return False
+    return True
+
+
 class Lines(HTMLParser):
-    """The lines of a page: text, number of tags, region, container, form and whether a headline."""
+    """The lines of a page: text, number of tags, region, container, form, whether a headline, and
+    the doubtful part."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool]] = []
+        self.open: list[tuple[str, bool, bool]] = []
         self.count: dict[str, int] = {}
         self.foreign = 0
         self.regions: list[tuple[str, int]] = []
         # The outermost open form by number, and the tags before it; 0 is none.
         self.form = self.forms = self.tags_before = 0
+        # The outermost open doubtful part by number, and the tags before it; 0 is none.
+        self.part = self.doubtful = self.open_doubtful = self.tags_outside = 0
         # Containers by number, each with the number of the one round it; 0 is the page.
         self.outer: list[int] = [0]
         self.container = 0
         self.elements = 0
         self.parts: list[str] = []
         self.tags = 0
-        self.found: list[tuple[str, int, tuple[str, int] | None, int, int, bool]] = []
+        self.found: list[tuple[str, int, tuple[str, int] | None, int, int, bool, int, int]] = []
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -113,13 +132,18 @@ class Lines(HTMLParser):
             # Tags without text count for the line that follows.
             region = self.regions[0] if self.regions else None
             headline = self.count.get("h1", 0) > 0
-            self.found.append((text, self.tags, region, self.container, self.form, headline))
-            self.tags = 0
+            self.found.append((text, self.tags, region, self.container, self.form, headline, self.part, self.tags_outside))
+            self.tags = self.tags_outside = 0
         self.parts = []
 
-    def push(self, tag: str, foreign: bool) -> None:
+    def push(self, tag: str, foreign: bool, doubtful: bool) -> None:
         self.elements += 1
-        self.open.append((tag, foreign))
+        self.open.append((tag, foreign, doubtful))
+        if doubtful:
+            if not self.open_doubtful:
+                self.doubtful += 1
+                self.part, self.tags_outside = self.doubtful, self.tags - 1
+            self.open_doubtful += 1
         self.count[tag] = self.count.get(tag, 0) + 1
         self.foreign += foreign
         if tag in _CONTAINER:
@@ -132,7 +156,10 @@ class Lines(HTMLParser):
             self.form, self.tags_before = self.forms, self.tags
 
     def pop(self) -> str:
-        tag, foreign = self.open.pop()
+        tag, foreign, doubtful = self.open.pop()
+        if doubtful:
+            self.open_doubtful -= 1
+            self.part = self.part if self.open_doubtful else 0
         self.count[tag] -= 1
         self.foreign -= foreign
         if tag in _CONTAINER:
@@ -162,7 +189,9 @@ class Lines(HTMLParser):
         if not self.foreign:
             self.tags += 1
         if tag not in _VOID:
-            self.push(tag, is_foreign(tag, attrs))
+            foreign = is_foreign(tag, attrs)
+            doubtful = foreign and bool(self.regions) and is_doubtful(tag, attrs)
+            self.push(tag, foreign and not doubtful, doubtful)
 
     def handle_startendtag(self, tag, attrs):
         # A slash at the end of a start tag means nothing in HTML, but in drawings and formulas.
@@ -201,7 +230,7 @@ def main_text(html: str) -> str:
     # A tag that the end of the page cuts off is markup, which the parser would give as text.
     parser.feed(_CUT_TAG.sub("", html))
     parser.close()
-    lines = without_forms(parser.found)
+    lines = without_forms(without_doubtful(parser.found))
     if not lines:
         return ""
     size = np.array([len(line[0]) for line in lines], float)
@@ -221,6 +250,19 @@ def main_text(html: str) -> str:
     return " ".join(line[0] for line, kept in zip(lines, keep, strict=True) if kept)
 
 
+def without_doubtful(lines: list[tuple]) -> list[tuple]:
+    """The lines outside doubtful parts, and those of parts with a headline or a line of prose."""
+    good = {line[6] for line in lines if line[5] or len(line[0]) >= PROSE * max(line[1] - line[7], 1)}
+    kept, before = [], 0
+    for line in lines:
+        if line[6] and line[6] not in good:
+            before += line[7]
+        else:
+            kept.append((line[0], line[1] + before, *line[2:]))
+            before = 0
+    return kept
+
+
 def without_forms(lines: list[tuple]) -> list[tuple]:
     """The lines outside forms, and those of a form that is the frame of the page.
 
