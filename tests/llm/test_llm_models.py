@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 
 from llm_support import docs, edge_frame, sentence, words_of
-from vecspark.llm.class_lm import ADDED, ENDINGS, Items, count_pairs, exchange_clusters, learn, score
+from vecspark.llm.class_lm import ADDED, CLASSES, MOVE_COST, TRANSITION_PRIOR, Items, best_classes
+from vecspark.llm.class_lm import count_pairs, ending_of, exchange_clusters, learn, score
 from vecspark.llm.language_id import PLACES, Profiles, identify_language, learn_profiles
 
 SYLLABLES = {"aa": ["the", "ing", "sh", "wh", "th"], "bb": ["eau", "é", "ç", "oux", "ment"], "cc": ["sch", "ung", "ü", "keit", "ß"]}
@@ -136,14 +137,85 @@ def test_model_agrees_with_counts(spark, head_words):
     if head_words:
         held = [found[i] for i, _ in rows if i not in training]
         assert sum(r.score for r in held) > sum(r.base_score for r in held)
-    # After any class, the items' probabilities sum to one; so do the words' within an item.
-    assert np.allclose((10**model.step).sum(axis=1), 1)
-    words = {w.decode() for w in count if w is not None}
-    of = dict(zip(words, model.items.of(list(words)).tolist(), strict=True))
-    for ending in range(ENDINGS):
-        inside = [w for w in words if of[w] == model.items.words + ending]
-        mass = sum(count[w.encode()] + ADDED for w in inside) + ADDED
-        assert math.isclose(mass, 10 ** model.rest[ending], rel_tol=1e-9)
+    # The classes of all words give transitions, emissions and every score.
+    of = {r.word: r["class"] for r in counts.collect()}
+
+    def class_of(word):
+        return of.get(word, model.ending_class[ending_of(word)])
+
+    table, mass = np.zeros((CLASSES, CLASSES)), np.zeros(CLASSES)
+    for i, t in rows:
+        if i in training:
+            path = [CLASSES - 1, *(class_of(w.decode()) for w in words_of(t)), CLASSES - 1]
+            for x, y in zip(path, path[1:]):
+                table[x, y] += 1
+    for w, n in count.items():
+        mass[class_of(w.decode()) if w is not None else CLASSES - 1] += n + ADDED
+    for c in model.ending_class:  # what is kept for unseen words
+        mass[c] += ADDED
+    share = np.where(mass > 0, table.sum(axis=0) + 1, 0)
+    after = (table + TRANSITION_PRIOR * share / share.sum()) / (table.sum(axis=1, keepdims=True) + TRANSITION_PRIOR)
+    assert np.allclose(after.sum(axis=1), 1) and np.allclose(model.mass, mass) and np.allclose(model.transition, after)
+    for i, t in rows:
+        words = [w.decode() for w in words_of(t)]
+        path = [CLASSES - 1, *map(class_of, words), CLASSES - 1]
+        want = sum(math.log10(after[x, y]) for x, y in zip(path, path[1:]))
+        want += sum(math.log10((count[w.encode()] + ADDED) / mass[class_of(w)]) for w in words)
+        assert math.isclose(found[i].score, want, rel_tol=1e-9)
+
+
+def test_moves_of_words_follow_the_likelihood():
+    rng = np.random.default_rng(5)
+    classes, words = 6, 50
+    old = rng.integers(0, classes - 1, words)
+    follow, precede = rng.poisson(1.5, (2, words, classes)).astype(float)
+    like = rng.integers(0, classes - 1, words)  # the class whose places a word stands in
+    follow[np.arange(words), (like + 1) % 5] += rng.integers(1, 9, words)
+    precede *= 0
+    for w in range(words):  # as many before as after
+        precede[w] = rng.multinomial(int(follow[w].sum()), np.full(classes, 1 / classes))
+    table = rng.poisson(30, (classes, classes)).astype(float)
+    table[np.arange(5), (np.arange(5) + 1) % 5] += 400
+    for w in range(words):
+        table[old[w]] += follow[w]
+        table[:, old[w]] += precede[w]
+
+    held = table.sum(axis=0)
+    share = (held + 1) / (held + 1).sum()
+
+    def gain(w, k):
+        """log likelihood of a word's neighbours and of the word itself in class k without it."""
+        mine = k == old[w]
+        n, left = precede[w].sum(), table.sum(axis=1)
+        found = -n * math.log(held[k] + (0 if mine else n) + ADDED)
+        for c in range(classes):
+            out, into = table[k, c] - mine * follow[w, c], table[c, k] - mine * precede[w, c]
+            before = left[k] - mine * n + TRANSITION_PRIOR
+            found += follow[w, c] * math.log((max(out, 0) + TRANSITION_PRIOR * share[c]) / before)
+            found += precede[w, c] * math.log((max(into, 0) + TRANSITION_PRIOR * share[k]) / (left[c] + TRANSITION_PRIOR))
+        return found
+
+    found = best_classes(follow, precede, old, table)
+    gains = np.array([[gain(w, k) for k in range(classes - 1)] for w in range(words)])
+    rows, best = np.arange(words), gains.argmax(axis=1)
+    pays = gains[rows, best] > gains[rows, old] + MOVE_COST
+    assert (found == np.where(pays, best, old)).all() and (found != old).any() and (best[~pays] != old[~pays]).any()
+
+
+def test_rare_words_move_by_their_neighbours(spark):
+    """Words that end alike but stand in two kinds of places part, however rare they are."""
+    rng = random.Random(6)
+    frames = {0: ("le", "chat"), 1: ("der", "hund")}
+    kind = {f"w{i}x{'abcdefgh'[i % 8]}ing": i % 2 for i in range(60)}
+    rows = []
+    for i in range(1_500):
+        word = rng.choice(sorted(kind))
+        left, right = frames[kind[word]]
+        rows.append((i, f"{left} {word} {right} {left} {right}"))
+    _, counts = learn(docs(spark, rows).repartition(4), 4)
+    of = {r.word: r["class"] for r in counts.collect()}
+    classes = [{of[w] for w in kind if kind[w] == k} for k in (0, 1)]
+    assert not classes[0] & classes[1]
 
 
 def test_pairs_are_counted(spark):

@@ -1,17 +1,19 @@
 """Brown class-based n-gram model, learned from a corpus and used to score documents.
 
 The probability of a word after another is that of its class after the other's class, times that
-of the word in its class.  Exchange clustering assigns classes: each item in turn moves to the
-class that raises the likelihood of the training text most, until few move.
-
-Items are the most frequent words, and one item for all other words that end alike, so every
-word has an item, seen or not.  In such an item a word has its share of the smoothed counts,
-with a part kept for unseen words; all probabilities sum to one.
-
-What is learned covers the whole training set: counts of every word, sums of every pair of items.
-The driver gets tables of bounded size only: ``head`` words with their counts, and pair counts of
-at most (words + endings + 1) squared cells.  Counts of rarer words stay distributed, and are
-joined to the rare words of the documents.
+of the word in its class.  Exchange clustering assigns classes, in two steps.  First the most
+frequent words, and one item for all other words that end alike, are exchanged one by one: each
+moves to the class that raises the likelihood of the training text most, until few move.  Then
+every other word of the training set, whatever its frequency, is exchanged by its own neighbours,
+in Spark, all against the same table of classes; a word that no class suits clearly better keeps that
+of its ending.  Words never seen in training take the class of their ending as well, with a part of
+that class kept for them; all probabilities sum to one.
+
+What is learned covers the whole training set: counts of every word, the neighbours' classes of
+every word, transitions between the final classes.  The driver gets tables of bounded size only:
+``head`` words with counts and classes, pair counts of at most (words + endings + 1) squared cells,
+and classes squared.  Counts and classes of rarer words stay distributed, and are joined to the
+rare words of the documents.
 
 Defined cases: a null or blank text is the end token alone; without training text every count is
 0 and all scores follow from the smoothing; rows that repeat are scored each by itself; an empty
@@ -20,6 +22,7 @@ table gives an empty result; other columns stay, and clashing result columns rep
 
 from __future__ import annotations
 
+import json
 import zlib
 from dataclasses import dataclass
 
@@ -27,20 +30,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark.llm.batches import spans, text_slices, word_codes
 from vecspark.sources.workspace import materialize
 
-#: Words with an item of their own.
+#: Words that are exchanged one by one.
 ITEM_WORDS = 768
-#: Items for all other words, by their last bytes.
+#: Items that stand for all other words at first, by their last bytes.
 ENDINGS = 128
 ENDING_BYTES = 3
 CLASSES = 64
 SWEEPS = 12
+#: What naming a class costs, in units of log likelihood.
+MOVE_COST = float(np.log(CLASSES))
 #: Words whose counts all tasks hold, and the longest such word in bytes.
 HEAD_WORDS = 50_000
 MAX_HEAD_BYTES = 64
@@ -67,16 +72,20 @@ class Items:
     def end(self) -> int:
         return self.words + ENDINGS
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Places in the head, -1 for other words."""
         get = self.head.get
-        found = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+
+    def of(self, words: list[str]) -> np.ndarray:
+        found = self.numbers(words)
         rest = np.flatnonzero((found < 0) | (found >= self.words))
         found[rest] = [self.words + ending_of(words[i]) for i in rest.tolist()]
         return found
 
 
 def count_words(training: DataFrame) -> DataFrame:
-    """``word``, ``ending`` and ``n`` over the column ``text``."""
+    """``word`` and ``n`` over the column ``text``."""
 
     def run(batches):
         for _, texts in text_slices(batches, "text", TEXT_BYTES):
@@ -84,18 +93,22 @@ def count_words(training: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(words, pa.string()),
-                    pa.array([ending_of(w) for w in words], pa.int32()),
                     pa.array(np.bincount(codes, minlength=len(words)), pa.int64()),
                 ],
-                names=["word", "ending", "n"],
+                names=["word", "n"],
             )
 
-    parts = training.mapInArrow(run, "word string, ending int, n long").filter("word <> ''")
-    return parts.groupBy("word").agg(F.first("ending").alias("ending"), F.sum("n").alias("n"))
+    parts = training.mapInArrow(run, "word string, n long").filter("word <> ''")
+    return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def head_of(counts: DataFrame, limit: int = HEAD_WORDS) -> list[tuple[str, int]]:
-    """The most frequent words, ``limit`` at most, down to a frequency step that fits whole."""
+def _in_head(least: int) -> Column:
+    return (F.octet_length("word") <= MAX_HEAD_BYTES) & (F.floor(F.log2("n") * _STEPS) >= least)
+
+
+def head_of(counts: DataFrame, limit: int = HEAD_WORDS) -> tuple[list[tuple[str, int]], int | None]:
+    """The most frequent words, ``limit`` at most, down to a frequency step that fits whole, and
+    that step."""
     eligible = counts.filter(F.octet_length("word") <= MAX_HEAD_BYTES)
     step = F.floor(F.log2("n") * _STEPS)
     sizes = eligible.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()
@@ -106,20 +119,25 @@ def head_of(counts: DataFrame, limit: int = HEAD_WORDS) -> list[tuple[str, int]]
             break
         least = row.step
     if least is None:
-        return []
-    found = eligible.filter(step >= least).select("word", "n").collect()
-    return sorted(((r.word, r.n) for r in found), key=lambda x: (-x[1], x[0]))
+        return [], None
+    found = counts.filter(_in_head(least)).select("word", "n").collect()
+    return sorted(((r.word, r.n) for r in found), key=lambda x: (-x[1], x[0])), least
+
+
+def _inner(per_text: np.ndarray) -> np.ndarray:
+    """Where words stand in flat sequences with an end token before and after each text."""
+    inner = np.ones(int((per_text + 2).sum()), bool)
+    start, stop = spans(per_text + 2)
+    inner[start] = inner[stop - 1] = False
+    return np.flatnonzero(inner)
 
 
 def item_sequences(texts: pa.Array, items: Items):
     """Per text the items of its tokens after an end token, flat, with the words they came from."""
     per_text, codes, words = word_codes(pc.ascii_lower(texts))
     of_word = items.of(words)
-    start, stop = spans(per_text + 2)
     flat = np.full(int((per_text + 2).sum()), items.end, np.int64)
-    inner = np.ones(len(flat), bool)
-    inner[start] = inner[stop - 1] = False
-    flat[inner] = of_word[codes]
+    flat[_inner(per_text)] = of_word[codes]
     return per_text, codes, words, flat
 
 
@@ -207,60 +225,277 @@ def exchange_clusters(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = S
     return assigned
 
 
+def count_neighbours(training: DataFrame, items: Items, item_class: np.ndarray) -> DataFrame:
+    """``word``, ``cell``, ``n``: the classes around every word without an item of its own.
+
+    A cell under classes squared is a pair of left and right class.  Words of the head are summed
+    in their task; for them, further cells count left and right classes apart.
+    """
+    names = pa.array(list(items.head), pa.string())
+    square = CLASSES * CLASSES
+
+    def rows(words, cell, n):
+        return pa.RecordBatch.from_arrays(
+            [words, pa.array(cell, pa.int32()), pa.array(n, pa.int64())], names=["word", "cell", "n"]
+        )
+
+    def run(batches):
+        held = np.zeros(len(names) * 2 * CLASSES, np.int64)
+        for _, texts in text_slices(batches, "text", TEXT_BYTES):
+            per_text, codes, words, flat = item_sequences(texts, items)
+            classes = item_class[flat]
+            at = _inner(per_text)
+            number = items.numbers(words)[codes]
+            left, right = classes[at - 1], classes[at + 1]
+            of_head = np.flatnonzero(number >= items.words)
+            for side, shift in ((left, 0), (right, CLASSES)):
+                cells, n = np.unique(number[of_head] * (2 * CLASSES) + side[of_head] + shift, return_counts=True)
+                held[cells] += n
+            rare = np.flatnonzero(number < 0)
+            cells, n = np.unique(codes[rare] * square + left[rare] * CLASSES + right[rare], return_counts=True)
+            code, cell = np.divmod(cells, square)
+            yield rows(pa.array(words, pa.string()).take(pa.array(code)), cell, n)
+        cells = np.flatnonzero(held)
+        number, cell = np.divmod(cells, 2 * CLASSES)
+        yield rows(names.take(pa.array(number)), square + cell, held[cells])
+
+    return training.mapInArrow(run, "word string, cell int, n long")
+
+
+def best_classes(
+    follow: np.ndarray, precede: np.ndarray, old: np.ndarray, table: np.ndarray
+) -> np.ndarray:
+    """The class that each word moves to, against one table of classes that no move changes.
+
+    Rows of ``follow`` and ``precede`` count the classes after and before a word.  A class is
+    judged by the likelihood that its other words, smoothed as in the model, give to the word's
+    neighbours and to the word as one of them; its own counts are left out of its class, or else
+    rare words would be learned by heart.  It leaves its class only for a likelihood so much
+    greater that it pays for naming the new one.
+    """
+    words, classes = follow.shape
+    rows, n = np.arange(words), precede.sum(axis=1)
+    left, held = table.sum(axis=1), table.sum(axis=0)
+    share = (held + 1) / (held + 1).sum()
+
+    def step(cells, before, new):
+        """log of a class after a class, but for what only depends on the class before."""
+        return np.log(cells + TRANSITION_PRIOR * share[new]) - np.log(before + TRANSITION_PRIOR)
+
+    every = np.arange(classes)
+    steps = step(table, left[:, None], every[None, :])
+    gain = follow @ steps.T + precede @ steps - n[:, None] * np.log(held + n[:, None] + ADDED)
+    # The own class, without the word.
+    own = -n * np.log(held[old] + ADDED)
+    word, c = np.nonzero(follow)
+    x, k = follow[word, c], old[word]
+    own += np.bincount(word, x * step(np.maximum(table[k, c] - x, 0), left[k] - n[word], c), words)
+    word, c = np.nonzero(precede)
+    x, k = precede[word, c], old[word]
+    own += np.bincount(word, x * step(np.maximum(table[c, k] - x, 0), left[c], k), words)
+    gain[rows, old] = own
+    gain[:, -1] = -np.inf  # the end's class
+    new = gain.argmax(axis=1)
+    return np.where(gain[rows, new] > gain[rows, old] + MOVE_COST, new, old)
+
+
+def exchange_words(neighbours: DataFrame, ending_class: np.ndarray, table: np.ndarray) -> DataFrame:
+    """``word``, ``n`` and ``class`` of every word whose neighbours were counted."""
+    square = CLASSES * CLASSES
+
+    def run(batches):
+        for batch in batches:
+            lists, words = batch.column("cells"), batch.column("word").to_pylist()
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            cells = lists.flatten()
+            cell, n = (cells.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+            of_word = np.repeat(np.arange(len(words)), np.diff(ends, prepend=0))
+            old = ending_class[[ending_of(w) for w in words]]
+            found, counts = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+            # As many words at a time as have some thousand cells.
+            group = ends // 4_096
+            for first in np.flatnonzero(np.diff(group, prepend=-1)).tolist():
+                last = int(np.searchsorted(group, group[first], "right"))
+                begin, end = int(ends[first - 1]) if first else 0, int(ends[last - 1])
+                at, c, m = of_word[begin:end] - first, cell[begin:end], n[begin:end]
+                left = np.where(c < square, c // CLASSES, c - square)
+                right = np.where(c < square, c % CLASSES, c - square - CLASSES)
+                has_left, has_right = left < CLASSES, right >= 0
+                shape = (last - first, CLASSES)
+                precede, follow = (
+                    np.bincount(at[has] * CLASSES + side[has], m[has], shape[0] * CLASSES).reshape(shape)
+                    for has, side in ((has_left, left), (has_right, right))
+                )
+                found[first:last] = best_classes(follow, precede, old[first:last], table)
+                counts[first:last] = precede.sum(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), pa.array(counts), pa.array(found, pa.int32())], names=["word", "n", "class"]
+            )
+
+    # A word has as many rows as tasks and cells, so all of them may meet in one partition.
+    summed = neighbours.repartition("word").groupBy("word", "cell").agg(F.sum("n").alias("n"))
+    listed = summed.groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
+    return listed.mapInArrow(run, "word string, n long, class int")
+
+
+class _Known:
+    """Classes in a slice of texts: those of head words, and what is known about the others."""
+
+    def __init__(self, texts: pa.Array, items: Items, head_class: np.ndarray, ending_class: np.ndarray):
+        self.per_text, self.codes, self.words = word_codes(pc.ascii_lower(texts))
+        number = items.numbers(self.words)
+        self.number = number
+        self.at = _inner(self.per_text)
+        self.classes = np.full(int((self.per_text + 2).sum()), CLASSES - 1, np.int64)
+        self.classes[self.at] = np.append(head_class, -1)[number[self.codes]]
+        #: Tokens without a known class, by their place among the words of the slice.
+        self.rare = np.flatnonzero(number[self.codes] < 0)
+        text = np.repeat(np.arange(len(self.per_text)), self.per_text)
+        self.text = text
+        place, code = self.at[self.rare], self.codes[self.rare]
+        fallback = np.full(len(self.words), -1, np.int64)
+        for c in np.unique(code).tolist():
+            fallback[c] = ending_class[ending_of(self.words[c])]
+        self.columns = [
+            pa.array(self.words, pa.string()).take(pa.array(code)), pa.array(place, pa.int64()),
+            pa.array(self.classes[place - 1], pa.int32()), pa.array(self.classes[place + 1], pa.int32()),
+            pa.array(fallback[code], pa.int32()),
+        ]
+
+    def steps(self) -> tuple[np.ndarray, np.ndarray]:
+        """Text and cell of every token whose class and whose predecessor's are known."""
+        tokens = self.per_text + 1
+        later = np.ones(len(self.classes), bool)
+        later[spans(self.per_text + 2)[0]] = False
+        at = np.flatnonzero(later)
+        text = np.repeat(np.arange(len(tokens)), tokens)
+        both = (self.classes[at - 1] >= 0) & (self.classes[at] >= 0)
+        at = at[both]
+        return text[both], self.classes[at - 1] * CLASSES + self.classes[at]
+
+
+_RARE = "word string, at long, before int, after int, fallback int"
+
+
+def with_classes(rare: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rare tokens with ``class`` and ``n`` of the word, and the class ``before`` each, also where
+    the token before it is rare."""
+    joined = rare.join(classes, "word", "left")
+    joined = joined.withColumn("class", F.coalesce("class", "fallback"))
+    previous = F.lag("class").over(Window.partitionBy("_row").orderBy("at"))
+    return joined.withColumn("before", F.when(F.col("before") >= 0, F.col("before")).otherwise(previous))
+
+
+def count_transitions(
+    training: DataFrame, items: Items, head_class: np.ndarray, ending_class: np.ndarray, classes: DataFrame
+) -> np.ndarray:
+    """How often each class follows each class, over the column ``text``."""
+    square = CLASSES * CLASSES
+    fields = ["_row", "word", "at", "before", "after", "fallback", "tokens"]
+
+    def run(batches):
+        first = TaskContext.get().partitionId() << 40
+        row, known = first, np.zeros(square, np.int64)
+        for _, texts in text_slices(batches, "text", TEXT_BYTES):
+            found = _Known(texts, items, head_class, ending_class)
+            known += np.bincount(found.steps()[1], minlength=square)
+            ones = pa.array(np.ones(len(found.rare), np.int64))
+            rows = pa.array(row + found.text[found.rare])
+            yield pa.RecordBatch.from_arrays([rows, *found.columns, ones], names=fields)
+            row += len(found.per_text)
+        # What the task knows itself, as rows of words that no text has, each a row number of its own.
+        cells = np.flatnonzero(known)
+        none = pa.array(np.full(len(cells), -1), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(-1 - first - cells), pa.array([f" {c}" for c in cells.tolist()], pa.string()),
+                pa.array(np.zeros(len(cells), np.int64)), pa.array(cells // CLASSES, pa.int32()),
+                pa.array(cells % CLASSES, pa.int32()), none, pa.array(known[cells]),
+            ],
+            names=fields,
+        )
+
+    rare = training.mapInArrow(run, f"_row long, {_RARE}, tokens long")
+    around = with_classes(rare, classes.select("word", "class"))
+    around = around.groupBy("before", "class", "after").agg(F.sum("tokens").alias("n"))
+    own, before, after = F.col("class"), F.col("before") * CLASSES, F.col("after")
+    steps = F.when(own < 0, F.array(before + after)).when(after < 0, F.array(before + own)).otherwise(
+        F.array(before + own, own * CLASSES + after)
+    )
+    summed = around.select(F.explode(steps).alias("cell"), "n").groupBy("cell").agg(F.sum("n").alias("n"))
+    table = np.zeros(square)
+    for r in summed.collect():  # no more rows than cells
+        table[r["cell"]] = r["n"]
+    return table.reshape(CLASSES, CLASSES)
+
+
 @dataclass
 class ClassModel:
-    """What a task needs to score documents but for the counts of rare words."""
+    """What a task needs to score documents but for the counts and classes of rare words."""
 
     items: Items
     counts: np.ndarray  # of head words, by number
+    head_class: np.ndarray
+    ending_class: np.ndarray
     ends: int
     train_tokens: int
     vocabulary: int
-    step: np.ndarray  # log10 of an item after an item's class
-    item_class: np.ndarray
-    rest: np.ndarray  # log10 of the smoothed total of each ending item
+    transition: np.ndarray  # of a class after a class
+    mass: np.ndarray  # smoothed count of all words of a class
+
+    @property
+    def step(self) -> np.ndarray:
+        """log10 of a class after a class, by the smoothed count of the new one."""
+        with np.errstate(divide="ignore"):
+            found = np.log10(self.transition) - np.log10(self.mass)
+        return np.where(self.mass > 0, found, 0.0)
 
 
 def learn(training: DataFrame, head_words: int = HEAD_WORDS) -> tuple[ClassModel, DataFrame]:
-    """The model, and the counts of all words (``word``, ``n``)."""
+    """The model, and counts and classes of all words (``word``, ``n``, ``class``)."""
     training = training.select("text")
     counts = materialize(count_words(training), "words")
-    head = head_of(counts, head_words)
+    head, least = head_of(counts, head_words)
     items = Items({w: i for i, (w, _) in enumerate(head)}, min(ITEM_WORDS, len(head)))
     pairs = count_pairs(training, items)
     totals = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     ends = int(pairs[items.end].sum())
-    classes = exchange_clusters(pairs)
-    member = np.zeros((len(pairs), CLASSES))
-    member[np.arange(len(pairs)), classes] = 1
-    table = member.T @ pairs @ member
-    used = member.sum(axis=0)
-    frequency = np.where(used > 0, table.sum(axis=0) + 1, 0)
+    item_class = exchange_clusters(pairs)
+    member = np.eye(CLASSES)[item_class]
+    ending_class = item_class[items.words : items.end]
+    neighbours = count_neighbours(training, items, item_class)
+    moved = materialize(exchange_words(neighbours, ending_class, member.T @ pairs @ member), "classes")
+    head_class = np.empty(len(head), np.int64)
+    head_class[: items.words] = item_class[: items.words]
+    if least is not None:
+        for row in moved.filter(_in_head(least)).collect():  # head words but the items
+            head_class[items.head[row["word"]]] = row["class"]
+    mass = ADDED * np.bincount(ending_class, minlength=CLASSES)
+    mass[-1] += ends + ADDED
+    for (_, n), c in zip(head[: items.words], head_class, strict=False):
+        mass[c] += n + ADDED
+    for row in moved.groupBy("class").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).collect():
+        mass[row["class"]] += row["n"] + ADDED * row["words"]
+    table = count_transitions(training, items, head_class, ending_class, moved)
+    frequency = np.where(mass > 0, table.sum(axis=0) + 1, 0)
     frequency /= frequency.sum()
     transition = (table + TRANSITION_PRIOR * frequency) / (
         table.sum(axis=1, keepdims=True) + TRANSITION_PRIOR
     )
-    of_item = pairs.sum(axis=0) + ADDED
-    share = of_item / (member.T @ of_item)[classes]
-    step = np.log10(transition[:, classes] * share)
-    words, tokens = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    by_ending = counts.groupBy("ending").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n"))
-    for row in by_ending.collect():
-        words[row.ending], tokens[row.ending] = row.words, row.n
-    for word, n in head[: items.words]:
-        words[ending_of(word)] -= 1
-        tokens[ending_of(word)] -= n
     model = ClassModel(
         items,
         np.array([n for _, n in head], np.int64),
+        head_class,
+        ending_class,
         ends,
         int(totals[1]) + ends,
         int(totals[0]) + (ends > 0),
-        step,
-        classes,
-        np.log10(tokens + ADDED * (words + 1)),
+        transition,
+        mass,
     )
-    return model, counts.select("word", "n")
+    own = [(w, n, int(c)) for (w, n), c in zip(head[: items.words], head_class, strict=False)]
+    frequent = training.sparkSession.createDataFrame(own, moved.schema)
+    return model, moved.unionByName(frequent)
 
 
 def score(documents: DataFrame, model: ClassModel, counts: DataFrame, text_col: str = "text") -> DataFrame:
@@ -270,70 +505,60 @@ def score(documents: DataFrame, model: ClassModel, counts: DataFrame, text_col:
     kept = [c for c in documents.columns if c != text_col and c not in results]
     source = documents.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("_text"))
     schema = source.drop("_text").schema
+    token = T.StructType.fromDDL(_RARE)
     for name, kind in (
-        ("_row", "long"), ("_tokens", "long"), ("_known", "long"), ("_base", "double"), ("_score", "double"),
-        ("_rare", T.ArrayType(T.StructType().add("word", "string").add("tf", "long"))),
+        ("_row", "long"), ("_tokens", "long"), ("_known", "long"), ("_words", "double"), ("_steps", "double"),
+        ("_rare", T.ArrayType(token)),
     ):
         schema = schema.add(name, kind)
-    items, per_token = model.items, np.log10(model.train_tokens + ADDED * (model.vocabulary + 1))
+    items, steps = model.items, model.step
+    per_token = float(np.log10(model.train_tokens + ADDED * (model.vocabulary + 1)))
     end_log, end_known = float(np.log10(model.ends + ADDED)), int(model.ends > 0)
 
     def run(batches):
         row = TaskContext.get().partitionId() << 40
-        log_count = np.log10(model.counts + ADDED)
+        log_count = np.append(np.log10(model.counts + ADDED), 0.0)
         for batch, texts in text_slices(batches, "_text", TEXT_BYTES):
-            per_text, codes, words, flat = item_sequences(texts, items)
-            texts_no = np.arange(len(per_text))
-            start, stop = spans(per_text + 2)
-            later = np.ones(len(flat), bool)
-            later[start] = False
-            at = np.flatnonzero(later)
-            of_token = np.repeat(texts_no, per_text + 1)
-            total = np.bincount(of_token, model.step[model.item_class[flat[at - 1]], flat[at]], len(per_text))
-            # Words of an ending item: their share of it, but for the rare ones' own counts.
-            number = np.fromiter((items.head.get(w, -1) for w in words), np.int64, len(words))
-            of_word = np.repeat(texts_no, per_text)
-            head = number[codes] >= 0
-            own = np.zeros(len(words))
-            own[number >= 0] = log_count[number[number >= 0]]
-            item = flat[at[flat[at] != items.end]] if len(at) else flat[:0]
-            shared = item >= items.words
-            inner = np.where(shared, own[codes] - model.rest[np.where(shared, item - items.words, 0)], 0.0)
-            total += np.bincount(of_word, inner, len(per_text))
-            base = np.bincount(of_word, own[codes], len(per_text)) - (per_text + 1) * per_token + end_log
-            known = np.bincount(of_word, head, len(per_text)).astype(np.int64) + end_known
-            rare = np.flatnonzero(~head)
-            pairs, tf = np.unique(of_word[rare] * max(len(words), 1) + codes[rare], return_counts=True)
-            rare_text, rare_word = np.divmod(pairs, max(len(words), 1))
-            offsets = np.searchsorted(rare_text, np.arange(len(per_text) + 1))
+            found = _Known(texts, items, model.head_class, model.ending_class)
+            size = len(found.per_text)
+            number = found.number[found.codes]
+            of_words = np.bincount(found.text, log_count[number], size) + end_log
+            known = np.bincount(found.text, number >= 0, size).astype(np.int64) + end_known
+            text, cell = found.steps()
+            of_steps = np.bincount(text, steps.ravel()[cell], size)
+            offsets = np.searchsorted(found.text[found.rare], np.arange(size + 1))
             lists = pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()),
-                pa.StructArray.from_arrays(
-                    [pa.array(words, pa.string()).take(pa.array(rare_word)), pa.array(tf, pa.int64())], ["word", "tf"]
-                ),
+                pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(found.columns, token.names)
             )
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(i) for i in range(len(kept))],
-                    pa.array(row + texts_no), pa.array(per_text + 1), pa.array(known), pa.array(base), pa.array(total), lists,
+                    pa.array(row + np.arange(size)), pa.array(found.per_text + 1), pa.array(known),
+                    pa.array(of_words), pa.array(of_steps), lists,
                 ],
                 names=[f.name for f in schema],
             )
-            row += len(per_text)
+            row += size
 
     scored = materialize(source.mapInArrow(run, schema), "scored")
-    rare = scored.select("_row", F.inline("_rare")).join(counts, "word", "left")
+    rare = with_classes(scored.select("_row", F.inline("_rare")), counts)
     n = F.coalesce("n", F.lit(0))
+    table = F.from_json(F.lit(json.dumps(steps.ravel().tolist())), "array<double>")
+    own, after = F.col("class"), F.col("after")
+    step = F.get(table, F.col("before") * CLASSES + own) + F.when(
+        after >= 0, F.get(table, own * CLASSES + after)
+    ).otherwise(0.0)
     rest = rare.groupBy("_row").agg(
-        F.sum(F.col("tf") * F.log10(n + ADDED)).alias("_rest"),
-        F.sum(F.when(n > 0, F.col("tf")).otherwise(0)).alias("_more"),
+        F.sum(F.log10(n + ADDED)).alias("_more_words"),
+        F.sum(step).alias("_more_steps"),
+        F.sum((n > 0).cast("long")).alias("_more"),
     )
-    rest_sum = F.coalesce("_rest", F.lit(0.0))
+    words = F.col("_words") + F.coalesce("_more_words", F.lit(0.0))
     return scored.drop("_rare").join(rest, "_row", "left").select(
         *[F.col(f"`{c}`") for c in kept],
         F.col("_tokens").alias("n_tokens"),
         (F.col("_known") + F.coalesce("_more", F.lit(0))).alias("n_known"),
         F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-        (F.col("_base") + rest_sum).alias("base_score"),
-        (F.col("_score") + rest_sum).alias("score"),
+        (words - F.col("_tokens") * per_token).alias("base_score"),
+        (words + F.col("_steps") + F.coalesce("_more_steps", F.lit(0.0))).alias("score"),
     )
