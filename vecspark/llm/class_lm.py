@@ -226,17 +226,26 @@ def exchange_clusters(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = S
 
 
 def count_neighbours(training: DataFrame, items: Items, item_class: np.ndarray) -> DataFrame:
-    """``word``, ``cell``, ``n``: the classes around every word without an item of its own.
+    """``word``, ``cells``, ``ns``: how often which classes stand around every word without an
+    item of its own.
 
     A cell under classes squared is a pair of left and right class.  Words of the head are summed
     in their task; for them, further cells count left and right classes apart.
     """
-    names = pa.array(list(items.head), pa.string())
+    names = list(items.head)
     square = CLASSES * CLASSES
 
-    def rows(words, cell, n):
+    def rows(words, number, cell, n):
+        """One row per word; equal numbers stand together."""
+        first = np.flatnonzero(np.diff(number, prepend=-1))
+        offsets = pa.array(np.append(first, len(number)), pa.int32())
         return pa.RecordBatch.from_arrays(
-            [words, pa.array(cell, pa.int32()), pa.array(n, pa.int64())], names=["word", "cell", "n"]
+            [
+                pa.array([words[i] for i in number[first].tolist()], pa.string()),
+                pa.ListArray.from_arrays(offsets, pa.array(cell, pa.int16())),
+                pa.ListArray.from_arrays(offsets, pa.array(n, pa.int32())),
+            ],
+            names=["word", "cells", "ns"],
         )
 
     def run(batches):
@@ -254,12 +263,12 @@ def count_neighbours(training: DataFrame, items: Items, item_class: np.ndarray)
             rare = np.flatnonzero(number < 0)
             cells, n = np.unique(codes[rare] * square + left[rare] * CLASSES + right[rare], return_counts=True)
             code, cell = np.divmod(cells, square)
-            yield rows(pa.array(words, pa.string()).take(pa.array(code)), cell, n)
+            yield rows(words, code, cell, n)
         cells = np.flatnonzero(held)
         number, cell = np.divmod(cells, 2 * CLASSES)
-        yield rows(names.take(pa.array(number)), square + cell, held[cells])
+        yield rows(names, number, square + cell, held[cells])
 
-    return training.mapInArrow(run, "word string, cell int, n long")
+    return training.mapInArrow(run, "word string, cells array<smallint>, ns array<int>")
 
 
 def best_classes(
@@ -332,8 +341,10 @@ def exchange_words(neighbours: DataFrame, ending_class: np.ndarray, table: np.nd
                 [batch.column("word"), pa.array(counts), pa.array(found, pa.int32())], names=["word", "n", "class"]
             )
 
-    # A word has as many rows as tasks and cells, so all of them may meet in one partition.
-    summed = neighbours.repartition("word").groupBy("word", "cell").agg(F.sum("n").alias("n"))
+    # A word has a row per task or slice at most, so all of them may meet in one partition.
+    met = neighbours.repartition("word").select("word", F.explode(F.arrays_zip("cells", "ns")).alias("at"))
+    met = met.select("word", F.col("at.cells").cast("int").alias("cell"), F.col("at.ns").alias("n"))
+    summed = met.groupBy("word", "cell").agg(F.sum("n").alias("n"))
     listed = summed.groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
     return listed.mapInArrow(run, "word string, n long, class int")
 
@@ -534,7 +545,7 @@ def score(documents: DataFrame, model: ClassModel, counts: DataFrame, text_col:
                 [
                     *[batch.column(i) for i in range(len(kept))],
                     pa.array(row + np.arange(size)), pa.array(found.per_text + 1), pa.array(known),
-                    pa.array(of_words), pa.array(of_steps), lists,
+                    pa.array(of_words, pa.float64()), pa.array(of_steps, pa.float64()), lists,
                 ],
                 names=[f.name for f in schema],
             )
