@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests_support import brute_force, clustered, hits, plan_of, query_frame, vector_frame
-from vecspark.operators import knn
+from vecspark.operators import knn, scan
 
 PARTS = dict(max_broadcast_bytes=600)
 
@@ -113,3 +113,16 @@ def test_mean_vectors(spark):
     x = np.array([[1, 2], [3, 4], [5, 9]], dtype=np.float32)
     means = knn.mean_vectors(vector_frame(spark, x, g=[0, 0, 1]), "g", "embedding")
     assert {r.g: r.mean_vector for r in means.collect()} == {0: [2.0, 3.0], 1: [5.0, 9.0]}
+
+
+def test_more_queries_than_are_broadcast_stay_off_the_driver(data, monkeypatch):
+    x, _, q, vectors, queries = data
+
+    def refuse(*_):
+        raise AssertionError("queries reached the driver")
+
+    monkeypatch.setattr(scan, "_broadcast_scan", refuse)
+    assert hits(knn.exact_knn(vectors, queries, 10, **PARTS)) == brute_force(x, q, 10)
+    # Rows of queries are told apart by their place, as in the scan.
+    twice = hits(knn.exact_knn(vectors, queries.unionByName(queries), 10, **PARTS))
+    assert [h[:3] for h in twice] == sorted(h[:3] for h in brute_force(x, q, 5) for _ in range(2))

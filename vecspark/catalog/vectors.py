@@ -149,7 +149,7 @@ ORACLES["exact_knn"] = EXACT_SQL
 
 
 def q_batch_knn(spark, sf):
-    """Every vector is a query, in several parts."""
+    """Every vector is a query: more than are broadcast, so blocks of them meet blocks of vectors."""
     vectors = embeddings(spark, sf)
     requests = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
     return ranked(exact_knn(vectors, requests, 3, id_col="vec_id", max_broadcast_bytes=1 << 18))

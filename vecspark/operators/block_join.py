@@ -1,12 +1,9 @@
 """Top-k search as a join of blocks, for more queries than can be sent to every task.
 
-Queries and vectors meet by the group that both look in: a cell of an index, a shard, or both.  A
-group with many vectors or queries is cut into blocks of bounded size by hashes of the ids, and
-every block of vectors meets every block of queries of its group.  A task holds one pair of
-blocks, keeps the k nearest of each query, and only those rows are merged.  Vectors are read once,
-whatever the number of queries.
+Queries and vectors meet by the group that both look in: a cell of an index, a shard, or both, cut
+into blocks (``scan.block_topk``).  A task holds one pair of blocks, keeps the k nearest of each
+query, and only those rows are merged.  Vectors are read once, whatever the number of queries.
 
-* ``block_topk`` joins blocks of any groups.
 * ``ivf_block_search`` looks in the nearest cells of an index.
 * ``routed_search`` looks in the shards that requests name; a layout partitioned by shard is only
   read where a request looks (dynamic partition pruning).
@@ -21,100 +18,16 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from vecspark.operators.ivf import model_matrix, probe_cells
 from vecspark.operators.routing import check_shards
-from vecspark.operators.scan import RunningTopK, dense, flat_kernel, plain
+from vecspark.operators.scan import block_topk, dense, merge_hits
 from vecspark.sources.workspace import materialize
 
-#: Vectors and queries of a block, on average.
-BLOCK_VECTORS, BLOCK_QUERIES = 16_384, 1_024
-_BATCH_ROWS = 4_096
-
-
-def block_topk(
-    vectors: DataFrame,
-    probes: DataFrame,
-    k: int,
-    *,
-    group_cols: Sequence[str],
-    id_col: str = "id",
-    vec_col: str = "embedding",
-    query_cols: Sequence[str] = ("query_id",),
-    query_vec_col: str = "query_vector",
-    block_vectors: int = BLOCK_VECTORS,
-    block_queries: int = BLOCK_QUERIES,
-) -> DataFrame:
-    """``query_cols``, ``id_col``, ``distance`` and ``rank`` of the k nearest vectors in the groups of
-    each query, by squared L2, ties by id.
-
-    ``probes`` has a row for each query and group that it looks in.  Vectors without an id, and
-    those of another length than the query, are no candidates; a query that probes a group twice
-    looks there once.
-    """
-    group_cols, query_cols = list(group_cols), list(query_cols)
-    vector = F.col(query_vec_col).cast("array<double>").alias("_query")
-    probes = probes.select(*group_cols, *query_cols, vector).filter("_query IS NOT NULL")
-    probes = materialize(probes.dropDuplicates([*group_cols, *query_cols]), "probes")
-    candidates = vectors.select(*group_cols, F.col(id_col).alias("_id"), F.col(vec_col).alias("_vector"))
-    candidates = candidates.filter("_id IS NOT NULL AND _vector IS NOT NULL")
-
-    # A row for each group that is probed: into how many blocks its sides are cut.
-    looked = probes.groupBy(*group_cols).agg(F.count("*").alias("n_queries")).filter("n_queries > 0")
-    sizes = vectors.filter(F.col(id_col).isNotNull()).join(looked, group_cols).groupBy(*group_cols)
-    sizes = sizes.agg(
-        F.ceil(F.count("*") / block_vectors).cast("int").alias("_n_vectors"),
-        F.ceil(F.first("n_queries") / block_queries).cast("int").alias("_n_queries"),
-    )
-    sizes = materialize(sizes, "blocks").filter("_n_vectors > 0 AND _n_queries > 0")
-
-    def block(of: Column, n: str) -> Column:
-        return F.pmod(F.xxhash64(of), F.col(n)).cast("int")
-
-    def every(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-
-    left = candidates.join(sizes, group_cols).withColumn("_v", block(F.col("_id"), "_n_vectors"))
-    left = left.withColumn("_q", every("_n_queries")).drop("_n_vectors", "_n_queries")
-    right = probes.join(sizes, group_cols).withColumn("_q", block(F.struct(*query_cols), "_n_queries"))
-    right = right.withColumn("_v", every("_n_vectors")).drop("_n_vectors", "_n_queries")
-
-    id_type = vectors.schema[id_col].dataType
-    fields = [probes.schema[c] for c in query_cols]
-    schema = T.StructType([*fields, T.StructField(id_col, id_type), T.StructField("distance", T.DoubleType())])
-    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
-
-    def nearest(blocks: pa.Table, queries: pa.Table) -> pa.Table:
-        """The k nearest of a block of vectors to each of a block of queries, length by length."""
-        found = []
-        lengths = np.array([len(q) for q in queries.column("_query")], np.int64)
-        sizes = np.array([len(v) for v in blocks.column("_vector")], np.int64)
-        for length in np.intersect1d(lengths, sizes[sizes > 0]).tolist():
-            rows = blocks.take(pa.array(np.flatnonzero(sizes == length)))
-            some = queries.take(pa.array(np.flatnonzero(lengths == length)))
-            load, score = flat_kernel("_vector", dense(some.column("_query")))
-            best, everyone = RunningTopK(some.num_rows, k), np.arange(some.num_rows)
-            for batch in rows.combine_chunks().to_batches(_BATCH_ROWS):
-                scored = score(load(batch), np.arange(batch.num_rows), (), everyone)
-                best.add(plain(batch.column(batch.schema.get_field_index("_id"))), *scored, everyone)
-            at, ids, distance = best.rows()
-            own = [some.column(c).take(pa.array(at)) for c in query_cols]
-            found.append(pa.table([*own, pa.array(ids.tolist(), arrow.types[-2]), pa.array(distance)], schema=arrow))
-        return pa.concat_tables(found) if found else arrow.empty_table()
-
-    keys = [*group_cols, "_v", "_q"]
-    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(nearest, schema)
-    return _merge(pairs, k, query_cols, id_col)
-
-
-def _merge(hits: DataFrame, k: int, query_cols: Sequence[str], id_col: str) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy(*query_cols).orderBy("distance", id_col))
-    return hits.withColumn("rank", rank).filter(F.col("rank") <= k)
-
 
 def ivf_block_search(
     postings: DataFrame,
@@ -251,6 +164,6 @@ def filtered_ivf_search(
         more = materialize(more, "widened")
         widened = more.select(*kept, F.explode("second").alias("cell"))
         others = block_topk(candidates, widened, k, group_cols=["cell"], **names)
-        hits = _merge(hits.drop("rank").unionByName(others.drop("rank")), k, query_cols, id_col)
+        hits = merge_hits(hits.drop("rank").unionByName(others.drop("rank")), k, query_cols, id_col)
         looked = more.select(*query_cols, F.concat("first", "second").alias("cells"))
     return hits, looked

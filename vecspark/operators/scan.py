@@ -1,9 +1,15 @@
-"""Top-k scan: query vectors against a table of vectors, exact for any table sizes.
+"""Top-k search: query vectors against a table of vectors, exact for any table sizes.
 
-Queries are broadcast, as many at a time as fit into a bound of bytes; more are cut into parts
-that fit, and the table is scanned for each part in turn.  Vectors stay where they are: every
-task keeps a running top-k per query over its own vectors, and only those k rows per task and
-query are shuffled.  Groups that a part looks in are pushed into its scan.
+Queries that fit into a bound of bytes, with the hits that a task keeps of them, are broadcast.
+Vectors then stay where they are: every task keeps a running top-k per query over its own
+vectors, and only those k rows per task and query are shuffled.  Groups that the queries look in
+are pushed into the scan.
+
+More queries meet the vectors in blocks, and pass neither the driver nor every task.  A group with
+many vectors or queries is cut by hashes of the ids, and every block of vectors meets every block
+of queries of its group in one task.  However small the blocks asked for, a row is copied
+``MAX_COPIES`` times at most, or as often as blocks of ``BLOCK_BYTES`` need, so that the rows
+shuffled grow with the tables and not with their product.
 
 No pair of vector and query ever leaves a task unless it is in that task's top-k.
 """
@@ -14,20 +20,29 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from vecspark.sources.workspace import materialize
 
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+#: Bytes of the queries that every task holds, and of their hits.
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+_HIT_BYTES = 64
 # Longer lists of groups would slow planning down more than they save; the rows are the same.
 MAX_PUSHED_GROUPS = 10_000
 _BATCH_ROWS = 8192
 # Distances computed at a time, so that they stay in the processor's cache.
 _SCORE_CELLS = 1 << 19
 
+#: Vectors and queries of a block, on average.
+BLOCK_VECTORS, BLOCK_QUERIES = 16_384, 1_024
+#: Blocks that one side of a group is cut into, unless a block then has more than so many bytes.
+MAX_COPIES, BLOCK_BYTES = 8, 32 << 20
+_BLOCK_BATCH_ROWS = 4_096
+
 # A kernel reads what it needs from a batch and scores rows of one group against queries:
 # score(data, rows, group_key, query_positions) -> (distances, exact or None), where
 # exact(row_positions, j) recomputes the distances of some rows to the j-th query.
@@ -213,25 +228,32 @@ def scan_topk(
         size = size + F.greatest(F.size(probe), F.lit(0)) * 32 * len(group_cols)
     facts = wanted.agg(
         F.count(F.lit(1)).alias("queries"), F.min(length).alias("least"), F.max(length).alias("most"),
-        F.sum(size.cast("long")).alias("bytes"),
+        F.sum((size + _HIT_BYTES * F.lit(k).cast("long")).cast("long")).alias("bytes"),
     ).first()
     if facts.queries and (facts.least != facts.most or facts.least < 0):
         raise ValueError("query vectors differ in length")
-    parts = -(-(facts.bytes or 0) // max_broadcast_bytes)
-    if parts > 1:
-        parts += parts // 4 + 1  # parts are of equal size on average only
-    names = (k, id_col, payload_col, query_cols, query_vec_col, group_cols, probe_col, make_kernel, schema)
-    found = None
-    for part in range(max(parts, 1)):
-        if parts > 1:
-            head = wanted.filter(F.pmod(F.xxhash64(*query_cols), F.lit(parts)) == part).toArrow()
-            # Written before the next part, so that the driver holds one part at a time.
-            hits = materialize(_broadcast_scan(vectors, head, *names), "hits")
-        else:
-            hits = _broadcast_scan(vectors, wanted.toArrow(), *names)
-        found = hits if found is None else found.unionByName(hits)
+    if (facts.bytes or 0) > max_broadcast_bytes:
+        # Rows of queries are told apart by their place, as the scan does.
+        placed = wanted.withColumn("_place", F.monotonically_increasing_id())
+        if group_cols:
+            placed = placed.select("*", F.explode(F.array_distinct(probe_col)).alias("_group"))
+            placed = placed.select("_place", *query_cols, query_vec_col, *[f"_group.{c}" for c in group_cols])
+        found = block_hits(
+            vectors, placed, k, group_cols=group_cols, id_col=id_col, payload_col=payload_col,
+            query_cols=["_place", *query_cols], query_vec_col=query_vec_col, make_kernel=make_kernel,
+        ).drop("_place")
+    else:
+        found = _broadcast_scan(
+            vectors, wanted.toArrow(), k, id_col, payload_col, query_cols, query_vec_col, group_cols, probe_col,
+            make_kernel, schema,
+        )
+    return merge_hits(found, k, query_cols, id_col)
+
+
+def merge_hits(hits: DataFrame, k: int, query_cols: Sequence[str], id_col: str) -> DataFrame:
+    """The k nearest of each query, with their ``rank``."""
     rank = F.row_number().over(Window.partitionBy(*query_cols).orderBy("distance", id_col))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+    return hits.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
 def _broadcast_scan(
@@ -247,8 +269,8 @@ def _broadcast_scan(
     if group_cols:
         groups = {}
         for position, probes in enumerate(head.column(probe_col).to_pylist()):
-            for probe in probes or []:
-                groups.setdefault(tuple(probe[c] for c in group_cols), []).append(position)
+            for key in {tuple(probe[c] for c in group_cols) for probe in probes or []}:
+                groups.setdefault(key, []).append(position)
         for i, name in enumerate(group_cols):
             values = {key[i] for key in groups}
             if len(values) <= MAX_PUSHED_GROUPS:
@@ -278,3 +300,122 @@ def _matching_size(vectors: DataFrame, payload_col: str, dim: int) -> DataFrame:
     if isinstance(vectors.schema[payload_col].dataType, T.ArrayType):
         return vectors.filter(F.size(payload_col) == dim)
     return vectors.filter(F.col(payload_col).isNotNull())
+
+
+def block_topk(
+    vectors: DataFrame,
+    probes: DataFrame,
+    k: int,
+    *,
+    group_cols: Sequence[str],
+    id_col: str = "id",
+    vec_col: str = "embedding",
+    query_cols: Sequence[str] = ("query_id",),
+    query_vec_col: str = "query_vector",
+    block_vectors: int = BLOCK_VECTORS,
+    block_queries: int = BLOCK_QUERIES,
+) -> DataFrame:
+    """``query_cols``, ``id_col``, ``distance`` and ``rank`` of the k nearest vectors in the groups of
+    each query, by squared L2, ties by id.
+
+    ``probes`` has a row for each query and group that it looks in.  Vectors without an id, and
+    those of another length than the query, are no candidates; a query that probes a group twice
+    looks there once.
+    """
+    hits = block_hits(
+        vectors, probes.dropDuplicates([*group_cols, *query_cols]), k, group_cols=group_cols, id_col=id_col,
+        payload_col=vec_col, query_cols=query_cols, query_vec_col=query_vec_col, block_vectors=block_vectors,
+        block_queries=block_queries,
+    )
+    return merge_hits(hits, k, query_cols, id_col)
+
+
+def block_hits(
+    vectors: DataFrame,
+    probes: DataFrame,
+    k: int,
+    *,
+    group_cols: Sequence[str],
+    id_col: str,
+    payload_col: str,
+    query_cols: Sequence[str],
+    query_vec_col: str,
+    make_kernel: Callable[[str, np.ndarray], Kernel] = flat_kernel,
+    block_vectors: int = BLOCK_VECTORS,
+    block_queries: int = BLOCK_QUERIES,
+) -> DataFrame:
+    """The k nearest vectors of each block to each query that meets it, to be merged.
+
+    Each row of ``probes`` is searched; without ``group_cols`` in all vectors.
+    """
+    group_cols, query_cols = list(group_cols), list(query_cols)
+    if not group_cols:
+        group_cols = ["_all"]
+        vectors, probes = vectors.withColumn("_all", F.lit(0)), probes.withColumn("_all", F.lit(0))
+    vector = F.col(query_vec_col).cast("array<double>").alias("_query")
+    probes = materialize(probes.select(*group_cols, *query_cols, vector).filter("_query IS NOT NULL"), "probes")
+    candidates = vectors.select(*group_cols, F.col(id_col).alias("_id"), F.col(payload_col).alias("_vector"))
+    candidates = candidates.filter("_id IS NOT NULL AND _vector IS NOT NULL")
+
+    # A row for each group that is probed: into how many blocks its sides are cut.
+    looked = probes.groupBy(*group_cols).agg(
+        F.count("*").alias("n_queries"), (F.max(F.size("_query")) * 8).alias("row_bytes")
+    )
+
+    def blocks(rows: Column, size: int) -> Column:
+        needed = F.ceil(rows * F.first("row_bytes") / BLOCK_BYTES)
+        return F.least(F.ceil(rows / size), F.greatest(F.lit(MAX_COPIES).cast("long"), needed)).cast("int")
+
+    sizes = vectors.filter(F.col(id_col).isNotNull()).join(looked, group_cols).groupBy(*group_cols)
+    sizes = sizes.agg(
+        blocks(F.count("*"), block_vectors).alias("_n_vectors"),
+        blocks(F.first("n_queries"), block_queries).alias("_n_queries"),
+    )
+    sizes = materialize(sizes, "blocks").filter("_n_vectors > 0 AND _n_queries > 0")
+
+    def block(of: Column, n: str) -> Column:
+        return F.pmod(F.xxhash64(of), F.col(n)).cast("int")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = candidates.join(sizes, group_cols).withColumn("_v", block(F.col("_id"), "_n_vectors"))
+    left = left.withColumn("_q", every("_n_queries")).drop("_n_vectors", "_n_queries")
+    right = probes.join(sizes, group_cols).withColumn("_q", block(F.struct(*query_cols), "_n_queries"))
+    right = right.withColumn("_v", every("_n_vectors")).drop("_n_vectors", "_n_queries")
+
+    id_type = vectors.schema[id_col].dataType
+    fields = [probes.schema[c] for c in query_cols]
+    schema = T.StructType([*fields, T.StructField(id_col, id_type), T.StructField("distance", T.DoubleType())])
+    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
+    by_length = isinstance(vectors.schema[payload_col].dataType, T.ArrayType)
+    at_once = _SCORE_CELLS // _BLOCK_BATCH_ROWS
+
+    def search(key: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
+        load, score = make_kernel("_vector", dense(queries.column("_query")))
+        best = RunningTopK(queries.num_rows, k)
+        parts = [np.arange(i, min(i + at_once, queries.num_rows)) for i in range(0, queries.num_rows, at_once)]
+        for batch in rows.combine_chunks().to_batches(_BLOCK_BATCH_ROWS):
+            data, everything = load(batch), np.arange(batch.num_rows)
+            ids = plain(batch.column(batch.schema.get_field_index("_id")))
+            for part in parts:
+                best.add(ids, *score(data, everything, key, part), part)
+        at, ids, distance = best.rows()
+        own = [queries.column(c).take(pa.array(at)) for c in query_cols]
+        return pa.table([*own, pa.array(ids.tolist(), arrow.types[-2]), pa.array(distance)], schema=arrow)
+
+    def nearest(keys: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
+        """The k nearest of a block of vectors to each of a block of queries, length by length."""
+        key = tuple(v.as_py() for v in keys[: len(group_cols)])
+        if not by_length:
+            return search(key, rows, queries)
+        found = []
+        lengths = pc.list_value_length(queries.column("_query")).to_numpy()
+        sizes = pc.list_value_length(rows.column("_vector")).to_numpy()
+        for length in np.intersect1d(lengths, sizes[sizes > 0]).tolist():
+            same = [t.take(pa.array(np.flatnonzero(n == length))) for t, n in ((rows, sizes), (queries, lengths))]
+            found.append(search(key, *same))
+        return pa.concat_tables(found) if found else arrow.empty_table()
+
+    keys = [*group_cols, "_v", "_q"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(nearest, schema)
