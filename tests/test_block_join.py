@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests_support import brute_force, clustered, hits, plan_of, query_frame, vector_frame
+from vecspark.operators import scan
 from vecspark.operators.block_join import block_topk, cell_summary, filtered_ivf_search, ivf_block_search, routed_search
 from vecspark.operators.ivf import assign_cells, ivf_flat_search, train_centroids
 from vecspark.operators.routing import route
@@ -89,3 +90,12 @@ def test_filtered_search_is_exact_and_looks_in_few_cells(spark, index, labels):
     first, fewer = filtered_ivf_search(*args, exact=False)
     assert all(len(r.cells) <= len(cells[r.query_id]) for r in fewer.collect())
     assert first.count() == len(want)
+
+
+def test_small_blocks_copy_no_row_more_than_a_few_times(spark):
+    x = np.random.default_rng(3).normal(size=(300, 4)).astype(np.float32)
+    names = dict(id_col="id", payload_col="embedding", query_cols=["query_id"], query_vec_col="query_vector")
+    vectors, queries = vector_frame(spark, x), query_frame(spark, x[:40])
+    found = scan.block_hits(vectors, queries, 1, group_cols=[], block_vectors=1, block_queries=1, **names)
+    # A row for each query and block of vectors.
+    assert found.count() == 40 * scan.MAX_COPIES
