@@ -99,3 +99,23 @@ def test_small_blocks_copy_no_row_more_than_a_few_times(spark):
     found = scan.block_hits(vectors, queries, 1, group_cols=[], block_vectors=1, block_queries=1, **names)
     # A row for each query and block of vectors.
     assert found.count() == 40 * scan.MAX_COPIES
+
+
+def test_filtered_search_cuts_a_cell_into_few_blocks(spark, monkeypatch):
+    x = np.random.default_rng(4).normal(size=(400, 4)).astype(np.float32)
+    centroids = spark.createDataFrame([(0, [0.0] * 4), (1, [1.0] * 4)], "cell int, centroid array<double>")
+    postings = materialize(assign_cells(vector_frame(spark, x, label=[i % 2 for i in range(400)]), centroids), "postings")
+    seen = []
+
+    def record(df, label):
+        seen.extend([materialize(df, label)] if label == "blocks" else [])
+        return seen[-1] if label == "blocks" else materialize(df, label)
+
+    monkeypatch.setattr(scan, "materialize", record)
+    sizes = {"block_vectors": 1, "block_queries": 1}
+    summary = cell_summary(postings, ["label"])
+    found, _ = filtered_ivf_search(postings, centroids, summary, F.col("label") == 0, query_frame(spark, x[:30]), 3, **sizes)
+    want = [(q, 2 * i, d, r) for q, i, d, r in brute_force(x[::2], x[:30], 3)]
+    assert hits(found) == sorted(want)
+    blocks = [(r["_n_vectors"], r["_n_queries"]) for df in seen for r in df.collect()]
+    assert blocks and max(max(b) for b in blocks) <= scan.MAX_COPIES
