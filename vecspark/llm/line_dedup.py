@@ -15,7 +15,9 @@ place).  The text of every removed line stays at its first place.
   text, tell which chunks and pairs occur again, and where first.
 * Lines that are in such chunks are then compared by bytes: of each hash the distinct lines are
   counted, and where one hash stands for different lines nothing is removed because of it.
-* What a document loses is a set of line numbers.  Texts are shuffled once, to meet them.
+* What a document loses is a set of line numbers.  Texts are shuffled to meet their lines, once to
+  compare them and once to take them out, and only those of documents with such lines: a bitmap of
+  their keys, 8 MB at most whatever the table, goes out to the tasks and lets the others pass.
 
 Defined cases: a null text stays null; documents of which nothing is left keep an empty text and
 stay; rows without an id come first; rows that share id and text are one document, which keeps or
@@ -43,6 +45,9 @@ PASSAGE_WORDS = 50
 #: Tasks that the occurrences of one chunk are dealt to at least.
 SALTS = 4
 
+#: Bits that tell which documents have repeated lines, in rows of as many as Spark's bitmaps have.
+BITS, ROW_BITS = 1 << 26, 1 << 15
+
 
 def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
@@ -115,6 +120,24 @@ def units_of(facts: Column, mean_lines: int, min_words: int, passage_words: int)
     return F.transform(spans, lambda u: unit(u["at"], u["n"]))
 
 
+def holders(rows: DataFrame, key: list[str]) -> DataFrame:
+    """A bitmap of the keys of ``rows``, at most ``BITS`` long: ``_part`` and ``_bits``."""
+    place = F.pmod(F.xxhash64(*key), F.lit(BITS))
+    parts = rows.select((place % ROW_BITS).alias("_bit"), F.floor(place / ROW_BITS).alias("_part"))
+    return materialize(parts.groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits")), "holders")
+
+
+def may_hold(rows: DataFrame, bitmap: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` with ``_held``: false where the key is surely not in the bitmap."""
+    place = F.pmod(F.xxhash64(*key), F.lit(BITS))
+    found = rows.withColumns({"_place": place % ROW_BITS, "_part": F.floor(place / ROW_BITS)})
+    # Its size is bounded, so it is sent to every task.
+    found = found.join(F.broadcast(bitmap), "_part", "left")
+    octet = F.conv(F.hex(F.expr("substring(_bits, cast(_place div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    held = F.coalesce(F.getbit(octet, (F.col("_place") % 8).cast("int")) == 1, F.lit(False))
+    return found.withColumn("_held", held).drop("_part", "_bits", "_place")
+
+
 def remove_repeated_lines(
     documents: DataFrame,
     id_col: str = "doc_id",
@@ -173,12 +196,16 @@ def remove_repeated_lines(
 
     # Hashes that stand for different lines: with 128 bits almost surely none.
     shared = marked.groupBy(*key).agg(F.collect_list("line").alias("shared"))
-    held = by_key(narrow, shared).filter("shared IS NOT NULL")
+    bitmap = holders(marked, key)
+    held = by_key(may_hold(narrow, bitmap, key).filter("_held"), shared, "inner")
     texts = held.select(F.explode(let(lines_of(text), lambda ls: F.transform("shared", lambda i: F.get(ls, i)))).alias("line"))
     hashes = (F.xxhash64("line").alias("a"), F.xxhash64(F.lit("more"), "line").alias("b"))
     unlike = texts.select(*hashes, "line").distinct().groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1")
     removed = marked.filter("later").join(unlike, ["a", "b"], "left_anti")
-    result = by_key(rows, removed.groupBy(*key).agg(F.collect_list("line").alias("removed")))
+    removed = removed.groupBy(*key).agg(F.collect_list("line").alias("removed"))
+    rows = may_hold(rows, bitmap, key)
+    others = rows.filter("NOT _held").withColumn("removed", F.lit(None).cast("array<int>"))
+    result = by_key(rows.filter("_held"), removed).unionByName(others)
 
     kept = let(
         lines_of(text),
