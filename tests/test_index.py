@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests_support import brute_force, clustered, hits, plan_of, query_frame, vector_frame
+from vecspark.catalog import codes as codes_catalog
+from vecspark.catalog import vectors as vectors_catalog
 from vecspark.operators import evaluate, index_admin, ivf, knn, pq
 from vecspark.plans.index import build_index
 from vecspark.sources import index_store, workspace
@@ -201,3 +203,13 @@ def test_build_index_end_to_end(spark):
     assert stored.postings.count() == 899
     with pytest.raises(ValueError, match="divisible"):
         build_index(vector_frame(spark, x), path, 32, nlist=8, m=5)
+
+
+def test_each_stage_of_the_codes_runs_python_once(spark):
+    """A step that is chained to others keeps a Python process of its own per running task."""
+    folder = "/root/testdata/sf0.001"
+    for build in (vectors_catalog._trained_codes, codes_catalog.fixed_codes):
+        _, centroids, codebooks, codes = build(spark, folder)
+        queries = vectors_catalog.label_queries(vectors_catalog.embeddings(spark, folder))
+        found = pq.ivfpq_search(codes, centroids, codebooks, queries, 5, 2, id_col="vec_id")
+        assert plan_of(found).count("MapInArrow") == 1

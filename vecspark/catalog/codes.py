@@ -49,9 +49,9 @@ def fixed_codebooks(postings, centroids):
 def fixed_codes(spark, sf):
     vectors = embeddings(spark, sf)
     centroids = label_means(vectors)
-    postings = assign_cells(vectors, centroids)
+    postings = materialize(assign_cells(vectors, centroids), "postings")
     codebooks = fixed_codebooks(postings, centroids)
-    return vectors, centroids, codebooks, pq_encode(postings, centroids, codebooks)
+    return vectors, centroids, codebooks, materialize(pq_encode(postings, centroids, codebooks), "codes")
 
 
 CODES_SQL = f"""{BASE_SQL},

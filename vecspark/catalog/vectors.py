@@ -397,9 +397,10 @@ QUERIES["ivf_train_stats"] = q_ivf_train_stats
 def _trained_codes(spark, sf):
     vectors = embeddings(spark, sf)
     centroids = train_centroids(vectors, NLIST, "vec_id")
-    postings = assign_cells(vectors, centroids)
+    # Stored, as training asks: assigning, encoding and scanning each run in stages of their own.
+    postings = materialize(assign_cells(vectors, centroids), "postings")
     codebooks = train_codebooks(postings, centroids, M, NBITS, id_col="vec_id")
-    return vectors, centroids, codebooks, pq_encode(postings, centroids, codebooks)
+    return vectors, centroids, codebooks, materialize(pq_encode(postings, centroids, codebooks), "codes")
 
 
 def q_pq_train_stats(spark, sf):
