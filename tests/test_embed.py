@@ -4,11 +4,12 @@ import hashlib
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from vecspark.operators.embed import embed, hash_embed, zero_fallback
+from vecspark.operators.embed import ENCODE_BYTES, _parts, embed, hash_embed, zero_fallback
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -97,3 +98,14 @@ def test_zero_fallback(spark):
     rows = {r.id: (r.v, r.embed_status) for r in zero_fallback(df, "v", 2).collect()}
     assert rows == {1: ([1.0, 2.0], "ok"), 2: ([0.0, 0.0], "missing")}
     assert zero_fallback(df, "v", 2).filter(F.size("v") == 2).count() == 2
+
+
+def test_an_encoder_gets_texts_by_bytes():
+    values = pa.array(["x" * 1000] * 3000 + [None, " "] + ["y" * (ENCODE_BYTES + 1), "z"])
+    filled = np.flatnonzero([v is not None and v.strip() != "" for v in values.to_pylist()])
+    parts = _parts(values, filled, 4096)
+    assert np.concatenate(parts).tolist() == filled.tolist()
+    sizes = [sum(len(values[i].as_py()) for i in part.tolist()) for part in parts]
+    assert max(sizes) <= 2 * ENCODE_BYTES + 1 and len(parts) >= 3
+    assert [len(p) for p in _parts(pa.array(["a"] * 10), np.arange(10), 4)] == [4, 4, 2]
+    assert _parts(pa.array([], pa.string()), np.arange(0), 4) == []

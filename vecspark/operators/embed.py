@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 
 from vecspark.functions.vectors import zero_vector
 
+#: Bytes of text that an encoder gets at a time, but for a single longer text.
+ENCODE_BYTES = 1 << 20
+
 # Takes the non-blank texts of a batch and returns one row for each.
 Encoder = Callable[[pa.Array], np.ndarray]
 
@@ -62,6 +65,17 @@ def _filled(values: pa.Array) -> np.ndarray:
     return np.flatnonzero(lengths.fill_null(0).to_numpy(zero_copy_only=False) > 0)
 
 
+def _parts(values: pa.Array, filled: np.ndarray, batch_size: int) -> list[np.ndarray]:
+    """Rows to encode together: ``batch_size`` at most, and of so many bytes."""
+    if pa.types.is_string(values.type) or pa.types.is_large_string(values.type):
+        lengths = pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False)[filled]
+        group = (np.cumsum(lengths) - lengths) // ENCODE_BYTES
+    else:
+        group = np.zeros(len(filled), np.int64)
+    cuts = np.flatnonzero(np.diff(group)) + 1
+    return [p[i : i + batch_size] for p in np.split(filled, cuts) for i in range(0, len(p), batch_size)]
+
+
 def embed(
     df: DataFrame,
     input_col: str,
@@ -107,7 +121,7 @@ def embed(
             status = np.full(len(values), "blank", dtype=object)
             filled = _filled(values)
             errors: list[str | None] = [None] * len(values)
-            parts = [filled[i : i + batch_size] for i in range(0, len(filled), batch_size)][::-1]
+            parts = _parts(values, filled, batch_size)[::-1]
             while parts:
                 part = parts.pop()
                 try:
