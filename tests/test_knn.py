@@ -126,3 +126,14 @@ def test_more_queries_than_are_broadcast_stay_off_the_driver(data, monkeypatch):
     # Rows of queries are told apart by their place, as in the scan.
     twice = hits(knn.exact_knn(vectors, queries.unionByName(queries), 10, **PARTS))
     assert [h[:3] for h in twice] == sorted(h[:3] for h in brute_force(x, q, 5) for _ in range(2))
+
+
+def test_the_broadcast_bound_counts_hits(data, monkeypatch):
+    x, _, q, vectors, queries = data
+
+    def refuse(*_):
+        raise AssertionError("hits were left out of the bound")
+
+    monkeypatch.setattr(scan, "_broadcast_scan", refuse)
+    # Seven queries of some 270 bytes each, and 500 hits of each.
+    assert hits(knn.exact_knn(vectors, queries, 500, max_broadcast_bytes=20_000)) == brute_force(x, q, 500)
