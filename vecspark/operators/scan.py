@@ -349,7 +349,8 @@ def block_hits(
     Each row of ``probes`` is searched; without ``group_cols`` in all vectors.
     """
     group_cols, query_cols = list(group_cols), list(query_cols)
-    if not group_cols:
+    grouped = bool(group_cols)
+    if not grouped:
         group_cols = ["_all"]
         vectors, probes = vectors.withColumn("_all", F.lit(0)), probes.withColumn("_all", F.lit(0))
     vector = F.col(query_vec_col).cast("array<double>").alias("_query")
@@ -363,15 +364,28 @@ def block_hits(
     )
 
     def blocks(rows: Column, size: int) -> Column:
-        needed = F.ceil(rows * F.first("row_bytes") / BLOCK_BYTES)
+        needed = F.ceil(rows * F.col("row_bytes") / BLOCK_BYTES)
         return F.least(F.ceil(rows / size), F.greatest(F.lit(MAX_COPIES).cast("long"), needed)).cast("int")
 
-    sizes = vectors.filter(F.col(id_col).isNotNull()).join(looked, group_cols).groupBy(*group_cols)
-    sizes = sizes.agg(
-        blocks(F.count("*"), block_vectors).alias("_n_vectors"),
-        blocks(F.first("n_queries"), block_queries).alias("_n_queries"),
+    known = vectors.filter(F.col(id_col).isNotNull())
+    if grouped:
+        counted = known.join(looked, group_cols).groupBy(*group_cols).agg(
+            F.count("*").alias("n_vectors"), F.first("n_queries").alias("n_queries"), F.first("row_bytes").alias("row_bytes")
+        )
+    else:
+        counted = looked.withColumn("n_vectors", F.lit(known.count()))
+    sizes = counted.select(
+        *group_cols,
+        blocks(F.col("n_vectors"), block_vectors).alias("_n_vectors"),
+        blocks(F.col("n_queries"), block_queries).alias("_n_queries"),
     )
     sizes = materialize(sizes, "blocks").filter("_n_vectors > 0 AND _n_queries > 0")
+    single = None if grouped else sizes.first() or {"_n_vectors": 1, "_n_queries": 1}
+
+    def cut(rows: DataFrame) -> DataFrame:
+        if grouped:
+            return rows.join(sizes, group_cols)
+        return rows.withColumns({n: F.lit(single[n]) for n in ("_n_vectors", "_n_queries")})
 
     def block(of: Column, n: str) -> Column:
         return F.pmod(F.xxhash64(of), F.col(n)).cast("int")
@@ -379,9 +393,9 @@ def block_hits(
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    left = candidates.join(sizes, group_cols).withColumn("_v", block(F.col("_id"), "_n_vectors"))
+    left = cut(candidates).withColumn("_v", block(F.col("_id"), "_n_vectors"))
     left = left.withColumn("_q", every("_n_queries")).drop("_n_vectors", "_n_queries")
-    right = probes.join(sizes, group_cols).withColumn("_q", block(F.struct(*query_cols), "_n_queries"))
+    right = cut(probes).withColumn("_q", block(F.struct(*query_cols), "_n_queries"))
     right = right.withColumn("_v", every("_n_vectors")).drop("_n_vectors", "_n_queries")
 
     id_type = vectors.schema[id_col].dataType
