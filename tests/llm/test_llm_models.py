@@ -10,8 +10,10 @@ import pytest
 
 from llm_support import docs, edge_frame, sentence, words_of
 from vecspark.llm.class_lm import ADDED, CLASSES, MOVE_COST, TRANSITION_PRIOR, Items, best_classes
-from vecspark.llm.class_lm import count_pairs, ending_of, exchange_clusters, learn, score
+from vecspark.llm import class_lm
+from vecspark.llm.class_lm import count_pairs, ending_of, exchange_clusters, learn, learn_and_score, score
 from vecspark.llm.language_id import PLACES, Profiles, identify_language, learn_profiles
+from vecspark.sources.workspace import materialize
 
 SYLLABLES = {"aa": ["the", "ing", "sh", "wh", "th"], "bb": ["eau", "é", "ç", "oux", "ment"], "cc": ["sch", "ung", "ü", "keit", "ß"]}
 
@@ -240,3 +242,47 @@ def test_model_edges(spark):
     assert all(r.n_known == r.n_tokens for r in rows) and len(rows) == frame.count()
     assert not score(frame.limit(0), model, counts).collect()
     assert sentence(random.Random(1), 3)
+
+
+@pytest.mark.parametrize("head_words", [0, 8, 50_000])
+def test_one_pass_over_training_and_other_texts_scores_alike(spark, monkeypatch, head_words):
+    """Words are shuffled once for classes and scores; slices and working blocks are far smaller than by default."""
+    for name, value in (("TEXT_BYTES", 300), ("_WORD_ROWS", 7), ("_WORDS", 3), ("_PATH_BYTES", 50)):
+        monkeypatch.setattr(class_lm, name, value)
+    rng = random.Random(8)
+    rows = [(i, spoken(rng, rng.choice(list(SYLLABLES)), rng.randint(0, 40))) for i in range(120)]
+    rows += [(500, None), (501, " "), (500, "the x the " * 30), (502, "y" * 90 + " ING"), (505, "y" * 90), (506, "unseen")]
+    frame = docs(spark, rows).repartition(4)
+    model, counts = learn(frame.filter("doc_id % 5 <> 1"), head_words)
+    want = sorted(score(frame, model, counts).collect(), key=str)
+    result = learn_and_score(frame, frame["doc_id"] % 5 != 1, head_words=head_words)
+    found = sorted(result.collect(), key=str)
+    assert result.columns == score(frame, model, counts).columns and len(found) == len(rows)
+    for r, x in zip(found, want, strict=True):
+        assert r[:-2] == x[:-2]
+        assert math.isclose(r.base_score, x.base_score, rel_tol=1e-9) and math.isclose(r.score, x.score, rel_tol=1e-9)
+
+
+def test_one_pass_edges(spark):
+    frame = edge_frame(spark).withColumnRenamed("source", "score")
+    found = learn_and_score(frame, frame["doc_id"] > 100)
+    assert found.columns == ["doc_id", "lang", "n_chars", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    assert found.count() == frame.count()
+    assert all((r.n_known, r.train_tokens) == (0, 0) and abs(r.base_score) < 1e-9 for r in found.collect())
+    rows = learn_and_score(frame, frame["doc_id"].isNotNull() | frame["doc_id"].isNull()).collect()
+    assert all(r.n_known == r.n_tokens for r in rows) and len(rows) == frame.count()
+    assert not learn_and_score(frame.limit(0), frame["doc_id"] > 0).collect()
+
+
+def test_a_rare_token_is_shuffled_by_word_once(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i * 7 + j}" for j in range(9))) for i in range(40)]
+    plans = []
+
+    def record(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df, label)
+
+    monkeypatch.setattr(class_lm, "materialize", record)
+    frame = docs(spark, rows)
+    assert learn_and_score(frame, frame["doc_id"] % 5 != 1, head_words=8).count() == 40
+    assert sum("RepartitionByExpression" in p for p in plans) == 1 and not any("Join" in p or "Window" in p for p in plans)

@@ -15,6 +15,11 @@ every word, transitions between the final classes.  The driver gets tables of bo
 and classes squared.  Counts and classes of rarer words stay distributed, and are joined to the
 rare words of the documents.
 
+``learn_and_score`` does both for documents that include the training set: tokens of rare words are
+shuffled once by word, where the word's class is found from all its neighbours, and once back to
+their texts, and every text is then a path of classes.  ``learn`` and ``score`` serve a model apart from
+the documents.
+
 Defined cases: a null or blank text is the end token alone; without training text every count is
 0 and all scores follow from the smoothing; rows that repeat are scored each by itself; an empty
 table gives an empty result; other columns stay, and clashing result columns replace them.
@@ -33,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from vecspark.llm.batches import spans, text_slices, word_codes
 from vecspark.sources.workspace import materialize
@@ -462,6 +468,26 @@ class ClassModel:
         return np.where(self.mass > 0, found, 0.0)
 
 
+def _model(items, head, head_class, ending_class, ends, totals, table, mass) -> ClassModel:
+    """``totals`` are the distinct words and the words of the training set."""
+    frequency = np.where(mass > 0, table.sum(axis=0) + 1, 0)
+    frequency /= frequency.sum()
+    transition = (table + TRANSITION_PRIOR * frequency) / (
+        table.sum(axis=1, keepdims=True) + TRANSITION_PRIOR
+    )
+    return ClassModel(
+        items,
+        np.array([n for _, n in head], np.int64),
+        head_class,
+        ending_class,
+        ends,
+        int(totals[1]) + ends,
+        int(totals[0]) + (ends > 0),
+        transition,
+        mass,
+    )
+
+
 def learn(training: DataFrame, head_words: int = HEAD_WORDS) -> tuple[ClassModel, DataFrame]:
     """The model, and counts and classes of all words (``word``, ``n``, ``class``)."""
     training = training.select("text")
@@ -488,22 +514,7 @@ def learn(training: DataFrame, head_words: int = HEAD_WORDS) -> tuple[ClassModel
     for row in moved.groupBy("class").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).collect():
         mass[row["class"]] += row["n"] + ADDED * row["words"]
     table = count_transitions(training, items, head_class, ending_class, moved)
-    frequency = np.where(mass > 0, table.sum(axis=0) + 1, 0)
-    frequency /= frequency.sum()
-    transition = (table + TRANSITION_PRIOR * frequency) / (
-        table.sum(axis=1, keepdims=True) + TRANSITION_PRIOR
-    )
-    model = ClassModel(
-        items,
-        np.array([n for _, n in head], np.int64),
-        head_class,
-        ending_class,
-        ends,
-        int(totals[1]) + ends,
-        int(totals[0]) + (ends > 0),
-        transition,
-        mass,
-    )
+    model = _model(items, head, head_class, ending_class, ends, totals, table, mass)
     own = [(w, n, int(c)) for (w, n), c in zip(head[: items.words], head_class, strict=False)]
     frequent = training.sparkSession.createDataFrame(own, moved.schema)
     return model, moved.unionByName(frequent)
@@ -573,3 +584,302 @@ def score(documents: DataFrame, model: ClassModel, counts: DataFrame, text_col:
         (words - F.col("_tokens") * per_token).alias("base_score"),
         (words + F.col("_steps") + F.coalesce("_more_steps", F.lit(0.0))).alias("score"),
     )
+
+
+#: A token of a rare word: its place among the words of its slice, and the cell of the classes around it.
+_TOKEN = np.dtype([("at", "<u4"), ("cell", "<u2")])
+#: The same with class and count of the word.
+_CLASSED = np.dtype([("at", "<u4"), ("class", "u1"), ("n", "<i8")])
+#: Cell of tokens that nothing is learned from.
+_UNLEARNED = CLASSES * CLASSES
+#: Rows of rare words that are worked on at a time, and words whose classes are compared at a time.
+_WORD_ROWS, _WORDS = 1 << 16, 4_096
+#: Classes of words that are worked on at a time, a byte each.
+_PATH_BYTES = 1 << 20
+
+
+def _packed(values: np.ndarray, first: np.ndarray) -> pa.BinaryArray:
+    """Runs of packed values, each from its place in ``first`` to the next, as binary values."""
+    offsets = (np.append(first, len(values)) * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
+
+
+def _unpacked(column: pa.Array | pa.ChunkedArray, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Packed values one after another, and how many each binary value has."""
+    size = pc.binary_length(column).to_numpy(zero_copy_only=False) if len(column) else np.empty(0, np.int64)
+    return np.frombuffer(b"".join(column.to_pylist()), kind), size.astype(np.int64) // np.dtype(kind).itemsize
+
+
+def mark_tokens(source: DataFrame, items: Items, item_class: np.ndarray) -> DataFrame:
+    """Rows of two kinds, from one pass over the column ``_text``; ``_trained`` says what is learned from.
+
+    A text keeps its other columns and has ``_numbers``, the places of its words in the head (the head's
+    length: not in it), and ``_first``, the place of its first word in its ``_slice``.  A word has the
+    ``_slice`` where it stands and ``_at``, its tokens there.  Words of the head are summed in their task: they
+    have ``-1 - place`` for a slice, and ``_at`` counts the classes left and right of them.
+    """
+    kept = source.drop("_text").schema.fields
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept])
+    for name, kind in (
+        ("_slice", "long"), ("_first", "long"), ("_numbers", "binary"), ("_word", "string"), ("_at", "binary")
+    ):
+        schema = schema.add(name, kind)
+    names = list(items.head)
+    place = np.min_scalar_type(len(names))
+
+    def words_of(types, numbers, words, packed):
+        none = [pa.nulls(len(words), t) for t in types]
+        columns = [*none, pa.array(numbers, pa.int64()), pa.nulls(len(words), pa.int64()), pa.nulls(len(words), pa.binary())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(words, pa.string()), packed], names=schema.fieldNames())
+
+    def run(batches):
+        held, types = np.zeros(len(names) * 2 * CLASSES, np.int64), None
+        slice_number = TaskContext.get().partitionId() << 32
+        for batch, texts in text_slices(batches, "_text", TEXT_BYTES):
+            own = [batch.column(f.name) for f in kept]
+            types = [c.type for c in own]
+            per_text, codes, words, flat = item_sequences(texts, items)
+            number = items.numbers(words)[codes]
+            trained = np.repeat(batch.column("_trained").to_numpy(zero_copy_only=False).astype(bool), per_text)
+            classes, at = item_class[flat], _inner(per_text)
+            left, right = classes[at - 1], classes[at + 1]
+            of_head = np.flatnonzero((number >= items.words) & trained)
+            for side, shift in ((left, 0), (right, CLASSES)):
+                cells, n = np.unique(number[of_head] * (2 * CLASSES) + side[of_head] + shift, return_counts=True)
+                held[cells] += n
+            rare = np.flatnonzero(number < 0)
+            rare = rare[np.argsort(codes[rare], kind="stable")]
+            code = codes[rare]
+            tokens = np.empty(len(rare), _TOKEN)
+            tokens["at"] = rare
+            tokens["cell"] = np.where(trained[rare], left[rare] * CLASSES + right[rare], _UNLEARNED)
+            first = np.flatnonzero(np.diff(code, prepend=-1))
+            numbers = np.where(number < 0, len(names), number).astype(place)
+            begin, size = spans(per_text)[0], len(per_text)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *own, pa.array(np.full(size, slice_number)), pa.array(begin), _packed(numbers, begin),
+                    pa.nulls(size, pa.string()), pa.nulls(size, pa.binary()),
+                ],
+                names=schema.fieldNames(),
+            )
+            yield words_of(types, np.full(len(first), slice_number), [words[i] for i in code[first].tolist()], _packed(tokens, first))
+            slice_number += 1
+        cells = np.flatnonzero(held)
+        if len(cells):
+            number, cell = np.divmod(cells, 2 * CLASSES)
+            sums = np.empty(len(cells), _TOKEN)
+            sums["at"], sums["cell"] = held[cells], cell
+            first = np.flatnonzero(np.diff(number, prepend=-1))
+            yield words_of(types, -1 - number[first], [names[i] for i in number[first].tolist()], _packed(sums, first))
+
+    return source.mapInArrow(run, schema)
+
+
+def class_tokens(marked: DataFrame, ending_class: np.ndarray, table: np.ndarray) -> DataFrame:
+    """Rows of three kinds, once all tokens of a word have met: ``_slice`` and ``_classed``, tokens with class and
+    count of their words; ``_slice`` under 0 and ``class`` of a word of the head; and ``class`` with the number of
+    ``words`` seen in training and their counts ``n``."""
+    names = ["_slice", "_classed", "class", "words", "n"]
+
+    def classes_of(rows: pa.Table):
+        """Tokens, their slices, and number, count and class of each word."""
+        words = rows.column("_word").combine_chunks()
+        entry, size = _unpacked(rows.column("_at"), _TOKEN)
+        new = np.ones(len(words), bool)
+        new[1:] = pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(new)
+        number = rows.column("_slice").to_numpy()
+        word, of_slice = np.repeat(np.cumsum(new) - 1, size), np.repeat(number, size)
+        cell, of_head = entry["cell"].astype(np.int64), of_slice < 0
+        weight = np.where(of_head, entry["at"], cell < _UNLEARNED).astype(np.float64)
+        sides = (
+            (np.where(of_head, cell, cell // CLASSES), weight * (~of_head | (cell < CLASSES))),
+            (np.where(of_head, cell - CLASSES, cell % CLASSES), weight * (~of_head | (cell >= CLASSES))),
+        )
+        old = ending_class[[ending_of(w) for w in words.take(pa.array(first)).to_pylist()]]
+        found, n = np.empty(len(first), np.int64), np.empty(len(first), np.int64)
+        for start in range(0, len(first), _WORDS):
+            stop = min(start + _WORDS, len(first))
+            begin, end = np.searchsorted(word, (start, stop))
+            shape = (stop - start, CLASSES)
+            counts = []
+            for side, w in sides:
+                used = begin + np.flatnonzero(w[begin:end])
+                at = (word[used] - start) * CLASSES + side[used]
+                counts.append(np.bincount(at, w[used], shape[0] * CLASSES).reshape(shape))
+            found[start:stop] = best_classes(counts[1], counts[0], old[start:stop], table)
+            n[start:stop] = counts[0].sum(axis=1)
+        return entry["at"], word, of_slice, number[first], n, found
+
+    def run(batches):
+        sums = np.zeros((2, CLASSES), np.int64)
+
+        def found(rows: pa.Table):
+            place, word, of_slice, number, n, classes = classes_of(rows)
+            seen = n > 0
+            sums[0] += np.bincount(classes[seen], minlength=CLASSES)
+            sums[1] += np.bincount(classes, n, CLASSES).astype(np.int64)
+            head = np.flatnonzero(number < 0)
+            none = [pa.nulls(len(head), t) for t in (pa.binary(), pa.int64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number[head]), none[0], pa.array(classes[head], pa.int32()), *none[1:]], names=names
+            )
+            rare = np.flatnonzero(of_slice >= 0)
+            rare = rare[np.argsort(of_slice[rare], kind="stable")]
+            tokens = np.empty(len(rare), _CLASSED)
+            tokens["at"], tokens["class"], tokens["n"] = place[rare], classes[word[rare]], n[word[rare]]
+            first = np.flatnonzero(np.diff(of_slice[rare], prepend=-1))
+            none = [pa.nulls(len(first), t) for t in (pa.int32(), pa.int64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(of_slice[rare][first]), _packed(tokens, first), *none], names=names)
+
+        waiting, rows = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            rows += batch.num_rows
+            if rows < _WORD_ROWS:
+                continue
+            together = pa.Table.from_batches(waiting)
+            words = together.column("_word").combine_chunks()
+            # The last word may go on in the next batch.
+            whole = pc.index(words, words[-1]).as_py()
+            if whole:
+                yield from found(together.slice(0, whole))
+            waiting, rows = together.slice(whole).to_batches(), 0
+        if sum(b.num_rows for b in waiting):
+            yield from found(pa.Table.from_batches(waiting))
+        used = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary()), pa.array(used, pa.int32()),
+                pa.array(sums[0][used]), pa.array(sums[1][used]),
+            ],
+            names=names,
+        )
+
+    # A word has a row per slice at most, so all of them may meet in one partition.
+    words = marked.filter("_word IS NOT NULL").select("_word", "_slice", "_at")
+    words = words.repartition("_word").sortWithinPartitions("_word")
+    return words.mapInArrow(run, "_slice long, _classed binary, class int, words long, n long")
+
+
+def class_paths(
+    marked: DataFrame, classed: DataFrame, head_counts: np.ndarray, head_class: np.ndarray, ends: int
+) -> DataFrame:
+    """The texts with ``_path``, the class of each word in a byte, and ``_tokens``, ``_known`` and ``_words``, the sum of
+    log10 of the smoothed counts."""
+    texts = marked.filter("_numbers IS NOT NULL").drop("_word", "_at")
+    schema = texts.drop("_slice", "_first", "_numbers").schema
+    kept = schema.fieldNames()
+    for name, kind in (("_tokens", "long"), ("_known", "long"), ("_words", "double"), ("_path", "binary")):
+        schema = schema.add(name, kind)
+    types = [to_arrow_type(f.dataType) for f in schema]
+    place, end_log, end_known = np.min_scalar_type(len(head_class)), float(np.log10(ends + ADDED)), int(ends > 0)
+
+    def run(texts: pa.Table, rare: pa.Table) -> pa.Table:
+        texts = texts.sort_by("_first")
+        number, size = _unpacked(texts.column("_numbers"), place)
+        tokens, _ = _unpacked(rare.column("_classed"), _CLASSED)
+        path = np.append(head_class, 0).astype(np.uint8)[number]
+        count = np.append(head_counts, 0)[number]
+        path[tokens["at"]], count[tokens["at"]] = tokens["class"], tokens["n"]
+        text = np.repeat(np.arange(len(size)), size)
+        known = np.bincount(text, count > 0, len(size)).astype(np.int64) + end_known
+        of_words = np.bincount(text, np.log10(count + ADDED), len(size)) + end_log
+        columns = [
+            *[texts.column(c) for c in kept], pa.array(size + 1), pa.array(known), pa.array(of_words),
+            _packed(path, spans(size)[0]),
+        ]
+        return pa.table([c.cast(t) for c, t in zip(columns, types, strict=True)], names=schema.fieldNames())
+
+    rare = classed.filter("_slice >= 0").select("_slice", "_classed")
+    return texts.groupBy("_slice").cogroup(rare.groupBy("_slice")).applyInArrow(run, schema)
+
+
+def _path_steps(paths: pa.Array) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many texts there are, and text and cell of every token, the end included."""
+    flat, size = _unpacked(paths.cast(pa.large_binary()), np.dtype(np.uint8))
+    classes = np.full(int((size + 2).sum()), CLASSES - 1, np.int64)
+    classes[_inner(size)] = flat
+    later = np.ones(len(classes), bool)
+    later[spans(size + 2)[0]] = False
+    at = np.flatnonzero(later)
+    return len(size), np.repeat(np.arange(len(size)), size + 1), classes[at - 1] * CLASSES + classes[at]
+
+
+def path_transitions(paths: DataFrame) -> np.ndarray:
+    """How often each class follows each class, over the column ``_path``."""
+    square = CLASSES * CLASSES
+
+    def run(batches):
+        found = np.zeros(square, np.int64)
+        for _, some in text_slices(batches, "_path", _PATH_BYTES):
+            found += np.bincount(_path_steps(some)[2], minlength=square)
+        cells = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(found[cells])], names=["cell", "n"])
+
+    table = np.zeros(square)
+    summed = paths.select("_path").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    for r in summed.collect():  # no more rows than cells
+        table[r["cell"]] = r["n"]
+    return table.reshape(CLASSES, CLASSES)
+
+
+def learn_and_score(
+    documents: DataFrame, training: Column, text_col: str = "text", head_words: int = HEAD_WORDS
+) -> DataFrame:
+    """What ``score`` gives under the model that ``learn`` finds in the documents where ``training`` holds.
+
+    Texts are read once for the tokens of both, and words are shuffled once.
+    """
+    results = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    kept = [c for c in documents.columns if c != text_col and c not in results]
+    source = documents.select(
+        *[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("_text"),
+        F.coalesce(training, F.lit(False)).alias("_trained"),
+    )
+    learned = source.filter("_trained").select(F.col("_text").alias("text"))
+    counts = materialize(count_words(learned), "words")
+    head, _ = head_of(counts, head_words)
+    items = Items({w: i for i, (w, _) in enumerate(head)}, min(ITEM_WORDS, len(head)))
+    pairs = count_pairs(learned, items)
+    totals = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    ends = int(pairs[items.end].sum())
+    item_class = exchange_clusters(pairs)
+    member = np.eye(CLASSES)[item_class]
+    ending_class = item_class[items.words : items.end]
+    marked = materialize(mark_tokens(source, items, item_class), "marked")
+    classed = materialize(class_tokens(marked, ending_class, member.T @ pairs @ member), "classed")
+    head_class = np.empty(len(head), np.int64)
+    head_class[: items.words] = item_class[: items.words]
+    for row in classed.filter("_slice < 0").select("_slice", "class").collect():  # head words but the items
+        head_class[-1 - row["_slice"]] = row["class"]
+    mass = ADDED * np.bincount(ending_class, minlength=CLASSES)
+    mass[-1] += ends + ADDED
+    for (_, n), c in zip(head[: items.words], head_class, strict=False):
+        mass[c] += n + ADDED
+    sums = classed.filter("_slice IS NULL").groupBy("class").agg(F.sum("words").alias("words"), F.sum("n").alias("n"))
+    for row in sums.collect():
+        mass[row["class"]] += row["n"] + ADDED * row["words"]
+    head_counts = np.array([n for _, n in head], np.int64)
+    paths = materialize(class_paths(marked, classed, head_counts, head_class, ends), "paths")
+    table = path_transitions(paths.filter("_trained"))
+    model = _model(items, head, head_class, ending_class, ends, totals, table, mass)
+    steps, train_tokens = model.step.ravel(), model.train_tokens
+    per_token = float(np.log10(train_tokens + ADDED * (model.vocabulary + 1)))
+    schema = documents.select(*[F.col(f"`{c}`") for c in kept]).schema
+    for name, kind in zip(results, ("long", "long", "long", "double", "double"), strict=True):
+        schema = schema.add(name, kind)
+
+    def run(batches):
+        for batch, some in text_slices(batches, "_path", _PATH_BYTES):
+            size, text, cell = _path_steps(some)
+            tokens, words = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_tokens", "_words"))
+            columns = [
+                *[batch.column(i) for i in range(len(kept))], batch.column("_tokens"), batch.column("_known"),
+                pa.array(np.full(size, train_tokens, np.int64)), pa.array(words - tokens * per_token),
+                pa.array(words + np.bincount(text, steps[cell], size)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+
+    return paths.mapInArrow(run, schema)

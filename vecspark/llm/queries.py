@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from vecspark.llm.bpe import encode_and_decode
 from vecspark.llm.centroid_clustering import cluster_report
-from vecspark.llm.class_lm import learn, score
+from vecspark.llm.class_lm import learn_and_score
 from vecspark.llm.html_text import extract_text
 from vecspark.llm.language_id import identify_language, learn_profiles
 from vecspark.llm.line_dedup import remove_repeated_lines
@@ -44,9 +44,7 @@ def op2_merkle_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_class_lm(spark: SparkSession, folder: str) -> DataFrame:
-    docs = documents(spark, folder)
-    model, counts = learn(docs.filter(fold(5) != 1))
-    found = score(docs.select("doc_id", "text"), model, counts)
+    found = learn_and_score(documents(spark, folder).select("doc_id", "text"), fold(5) != 1)
     return found.withColumn("held_out", fold(5) == 1)
 
 
