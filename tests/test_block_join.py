@@ -119,3 +119,22 @@ def test_filtered_search_cuts_a_cell_into_few_blocks(spark, monkeypatch):
     assert hits(found) == sorted(want)
     blocks = [(r["_n_vectors"], r["_n_queries"]) for df in seen for r in df.collect()]
     assert blocks and max(max(b) for b in blocks) <= scan.MAX_COPIES
+
+
+def test_blocks_of_queries_leave_room_for_their_hits(spark, monkeypatch):
+    x = np.random.default_rng(5).normal(size=(400, 4)).astype(np.float32)
+    vectors = vector_frame(spark, x).withColumn("cell", F.lit(0))
+    probes = query_frame(spark, x[:40]).withColumn("cell", F.lit(0))
+    seen = []
+
+    def record(df, label):
+        seen.extend([df] if label == "blocks" else [])
+        return materialize(df, label)
+
+    monkeypatch.setattr(scan, "materialize", record)
+    monkeypatch.setattr(scan, "BLOCK_BYTES", 10_000)
+    # Hits of a query take 64 bytes each, and no task has more than its 200 vectors.
+    for k, n_queries in ((1, 1), (50, 13), (1_000, 52)):
+        found = block_topk(vectors, probes, k, group_cols=["cell"])
+        assert hits(found) == brute_force(x, x[:40], k)
+        assert tuple(seen.pop().select("_n_vectors", "_n_queries").first()) == (2, n_queries)

@@ -8,8 +8,8 @@ are pushed into the scan.
 More queries meet the vectors in blocks, and pass neither the driver nor every task.  A group with
 many vectors or queries is cut by hashes of the ids, and every block of vectors meets every block
 of queries of its group in one task.  However small the blocks asked for, a row is copied
-``MAX_COPIES`` times at most, or as often as blocks of ``BLOCK_BYTES`` need, so that the rows
-shuffled grow with the tables and not with their product.
+``MAX_COPIES`` times at most, or as often as blocks of ``BLOCK_BYTES`` need, hits of the queries
+included, so that the rows shuffled grow with the tables and not with their product.
 
 No pair of vector and query ever leaves a task unless it is in that task's top-k.
 """
@@ -39,7 +39,8 @@ _SCORE_CELLS = 1 << 19
 
 #: Vectors and queries of a block, on average.
 BLOCK_VECTORS, BLOCK_QUERIES = 16_384, 1_024
-#: Blocks that one side of a group is cut into, unless a block then has more than so many bytes.
+#: Blocks that one side of a group is cut into, unless a block, with the hits that a task keeps of
+#: its queries, then has more than so many bytes.
 MAX_COPIES, BLOCK_BYTES = 8, 32 << 20
 _BLOCK_BATCH_ROWS = 4_096
 
@@ -360,12 +361,12 @@ def block_hits(
 
     # A row for each group that is probed: into how many blocks its sides are cut.
     looked = probes.groupBy(*group_cols).agg(
-        F.count("*").alias("n_queries"), (F.max(F.size("_query")) * 8).alias("row_bytes")
+        F.count("*").alias("n_queries"), (F.max(F.size("_query")) * 8).cast("long").alias("row_bytes")
     )
 
-    def blocks(rows: Column, size: int) -> Column:
-        needed = F.ceil(rows * F.col("row_bytes") / BLOCK_BYTES)
-        return F.least(F.ceil(rows / size), F.greatest(F.lit(MAX_COPIES).cast("long"), needed)).cast("int")
+    def blocks(rows: Column, size: int, row_bytes: Column) -> Column:
+        needed = F.ceil(rows * row_bytes / BLOCK_BYTES)
+        return F.greatest(F.least(F.ceil(rows / size), F.lit(MAX_COPIES).cast("long")), needed).cast("int")
 
     known = vectors.filter(F.col(id_col).isNotNull())
     if grouped:
@@ -374,10 +375,13 @@ def block_hits(
         )
     else:
         counted = looked.withColumn("n_vectors", F.lit(known.count()))
+    n_vectors = blocks(F.col("n_vectors"), block_vectors, F.col("row_bytes"))
+    # A task keeps no more hits of a query than a block has vectors.
+    hits = F.least(F.lit(k).cast("long"), F.ceil(F.col("n_vectors") / F.greatest(n_vectors, F.lit(1))))
     sizes = counted.select(
         *group_cols,
-        blocks(F.col("n_vectors"), block_vectors).alias("_n_vectors"),
-        blocks(F.col("n_queries"), block_queries).alias("_n_queries"),
+        n_vectors.alias("_n_vectors"),
+        blocks(F.col("n_queries"), block_queries, F.col("row_bytes") + _HIT_BYTES * hits).alias("_n_queries"),
     )
     sizes = materialize(sizes, "blocks").filter("_n_vectors > 0 AND _n_queries > 0")
     single = None if grouped else sizes.first() or {"_n_vectors": 1, "_n_queries": 1}
