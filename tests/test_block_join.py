@@ -138,3 +138,24 @@ def test_blocks_of_queries_leave_room_for_their_hits(spark, monkeypatch):
         found = block_topk(vectors, probes, k, group_cols=["cell"])
         assert hits(found) == brute_force(x, x[:40], k)
         assert tuple(seen.pop().select("_n_vectors", "_n_queries").first()) == (2, n_queries)
+
+
+def test_vectors_are_counted_before_they_are_dealt_by_group(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(size=(300, 4)).astype(np.float32)
+    vectors = materialize(vector_frame(spark, x, cell=[i % 2 for i in range(300)]), "vectors")
+    probes = query_frame(spark, x[:5]).withColumn("cell", F.explode(F.array(F.lit(0), F.lit(1))))
+    plans = []
+
+    def record(df, label):
+        plans.extend([plan_of(df)] if label == "blocks" else [])
+        return materialize(df, label)
+
+    monkeypatch.setattr(scan, "materialize", record)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert hits(block_topk(vectors, probes, 3, group_cols=["cell"])) == brute_force(x, x[:5], 3)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plans[0].splitlines()
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert below and all("partial_count" in line for line in below)

@@ -370,9 +370,8 @@ def block_hits(
 
     known = vectors.filter(F.col(id_col).isNotNull())
     if grouped:
-        counted = known.join(looked, group_cols).groupBy(*group_cols).agg(
-            F.count("*").alias("n_vectors"), F.first("n_queries").alias("n_queries"), F.first("row_bytes").alias("row_bytes")
-        )
+        # Counted before the join, which would deal a row a vector by group.
+        counted = known.groupBy(*group_cols).agg(F.count("*").alias("n_vectors")).join(looked, group_cols)
     else:
         counted = looked.withColumn("n_vectors", F.lit(known.count()))
     n_vectors = blocks(F.col("n_vectors"), block_vectors, F.col("row_bytes"))
