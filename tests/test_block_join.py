@@ -159,3 +159,51 @@ def test_vectors_are_counted_before_they_are_dealt_by_group(spark, monkeypatch):
     lines = plans[0].splitlines()
     below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
     assert below and all("partial_count" in line for line in below)
+
+
+def test_further_cells_give_no_rows_beyond_the_hits_of_the_first(spark, monkeypatch):
+    x = np.random.default_rng(7).normal(size=(600, 4)).astype(np.float32)
+    centroids = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(6)], "cell int, centroid array<double>")
+    postings = materialize(assign_cells(vector_frame(spark, x, label=[i % 2 for i in range(600)]), centroids), "postings")
+    seen, block_hits = [], scan.block_hits
+
+    def record(*args, **names):
+        seen.append(materialize(block_hits(*args, **names), "seen"))
+        return seen[-1]
+
+    monkeypatch.setattr(scan, "block_hits", record)
+    args = (postings, centroids, cell_summary(postings, ["label"]), F.col("label") == 0, query_frame(spark, x[:30]), 3)
+    found, _ = filtered_ivf_search(*args, block_vectors=20, block_queries=8)
+    want = [(q, 2 * i, d, r) for q, i, d, r in brute_force(x[::2], x[:30], 3)]
+    assert hits(found) == sorted(want)
+    first, further = ([(r.query_id, r.distance) for r in df.collect()] for df in seen)
+    reach = {q: sorted(d for p, d in first if p == q)[2] for q in range(30)}
+    assert further and all(d <= reach[q] + 1e-9 for q, d in further)
+
+
+def test_bounds_of_queries_keep_ties_and_all_rows_within(spark):
+    vectors = spark.createDataFrame([(i, [float(i // 2)], 0) for i in range(40)], "id long, embedding array<float>, cell int")
+    wanted = [(0, [0.0], 0, 4.0), (1, [0.0], 0, None), (2, [0.5], 0, 0.0)]
+    probes = spark.createDataFrame(wanted, "query_id int, query_vector array<double>, cell int, reach double")
+    found = block_topk(vectors, probes, 7, group_cols=["cell"], within_col="reach", block_vectors=5)
+    near = [(0, i, float((i // 2) ** 2), i + 1) for i in range(6)]
+    assert [h for h in hits(found) if h[0] != 1 and h[2] <= 4.0] == near
+    assert [h[1] for h in hits(found) if h[0] == 1] == list(range(7))
+
+
+@pytest.mark.parametrize("k", [1, 4, 100])
+@pytest.mark.parametrize("texts", [False, True])
+def test_running_top_k_merges_all_queries_of_a_batch(k, texts):
+    rng = np.random.default_rng(8)
+    d = rng.integers(0, 9, (50, 6)).astype(float)
+    d[rng.random(d.shape) < 0.05] = np.nan
+    ids = np.array([f"{'x' * (i // 7)}{i:02}" for i in range(50)]) if texts else np.arange(50)
+    best = scan.RunningTopK(6, k)
+    for at in np.array_split(rng.permutation(50), 7):
+        for j in (np.array([0, 2, 5]), np.array([4, 1])):
+            best.add(ids[at], d[np.ix_(at, j)], 0.0, None, j)
+    want = []
+    for j in (0, 1, 2, 4, 5):
+        known = np.flatnonzero(np.isfinite(d[:, j]))
+        want += [(j, ids[i], d[i, j]) for i in known[np.lexsort((ids[known], d[known, j]))][:k]]
+    assert list(zip(*best.rows(), strict=True)) == want

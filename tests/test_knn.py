@@ -115,6 +115,13 @@ def test_mean_vectors(spark):
     assert {r.g: r.mean_vector for r in means.collect()} == {0: [2.0, 3.0], 1: [5.0, 9.0]}
 
 
+def test_mean_vectors_of_odd_rows(spark):
+    rows = [(0, None), (0, [1.0, None]), (0, [3.0, 4.0]), (None, [7.0, None]), (1, []), (2, [1.0]), (2, [float("nan")])]
+    means = knn.mean_vectors(spark.createDataFrame(rows, "g int, embedding array<float>"), "g", "embedding")
+    found = {r.g: r.mean_vector for r in means.collect()}
+    assert found[0] == [2.0, 4.0] and found[None] == [7.0, None] and np.isnan(found[2]).all()
+
+
 def test_more_queries_than_are_broadcast_stay_off_the_driver(data, monkeypatch):
     x, _, q, vectors, queries = data
 

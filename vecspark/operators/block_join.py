@@ -160,10 +160,12 @@ def filtered_ivf_search(
                 F.filter("further", lambda c: (F.coalesce("_n", F.lit(0)) < k) | (c["least"] <= F.col("_worst"))),
                 lambda c: c["cell"],
             ).alias("second"),
+            # No row beyond the k-th hit can still be among the k nearest.
+            F.when(F.col("_n") >= k, F.col("_worst")).alias("_reach"),
         )
         more = materialize(more, "widened")
-        widened = more.select(*kept, F.explode("second").alias("cell"))
-        others = block_topk(candidates, widened, k, group_cols=["cell"], **names)
+        widened = more.select(*kept, "_reach", F.explode("second").alias("cell"))
+        others = block_topk(candidates, widened, k, group_cols=["cell"], within_col="_reach", **names)
         hits = merge_hits(hits.drop("rank").unionByName(others.drop("rank")), k, query_cols, id_col)
         looked = more.select(*query_cols, F.concat("first", "second").alias("cells"))
     return hits, looked

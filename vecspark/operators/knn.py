@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,16 +86,17 @@ def mean_vectors(df: DataFrame, group_col: str, vec_col: str, out_col: str = "me
         sums: dict = {}
         for batch in batches:
             groups = batch.column(0).to_pylist()
-            vectors = batch.column(1).to_pylist()
+            lengths = pc.list_value_length(batch.column(1)).to_pylist()
             members: dict = {}
-            for at, (group, vector) in enumerate(zip(groups, vectors, strict=True)):
-                if vector is not None:
-                    members.setdefault((group, len(vector)), []).append(at)
+            for at, (group, length) in enumerate(zip(groups, lengths, strict=True)):
+                if length is not None:
+                    members.setdefault((group, length), []).append(at)
             for key, rows in members.items():
-                x = np.array([vectors[i] for i in rows], dtype=np.float64).reshape(len(rows), key[1])
-                known = np.array([[v is not None for v in vectors[i]] for i in rows], bool).reshape(x.shape)
+                values = batch.column(1).take(pa.array(rows)).flatten()
+                x = values.fill_null(0.0).to_numpy(zero_copy_only=False).reshape(len(rows), key[1])
+                known = values.is_valid().to_numpy(zero_copy_only=False).reshape(x.shape)
                 old = sums.get(key, (0.0, 0))
-                sums[key] = (old[0] + np.where(known, x, 0.0).sum(axis=0), old[1] + known.sum(axis=0))
+                sums[key] = (old[0] + x.sum(axis=0), old[1] + known.sum(axis=0))
         arrow = to_arrow_schema(schema)
         yield pa.RecordBatch.from_arrays(
             [

@@ -43,10 +43,12 @@ BLOCK_VECTORS, BLOCK_QUERIES = 16_384, 1_024
 #: its queries, then has more than so many bytes.
 MAX_COPIES, BLOCK_BYTES = 8, 32 << 20
 _BLOCK_BATCH_ROWS = 4_096
+# Pairs whose distances are computed exactly at a time.
+_EXACT_PAIRS = 1 << 14
 
 # A kernel reads what it needs from a batch and scores rows of one group against queries:
 # score(data, rows, group_key, query_positions) -> (distances, exact or None), where
-# exact(row_positions, j) recomputes the distances of some rows to the j-th query.
+# exact(row_positions, j) recomputes the distances of some rows to the queries with numbers j, pair by pair.
 Kernel = tuple[Callable[[pa.RecordBatch], object], Callable]
 
 
@@ -93,12 +95,18 @@ def flat_kernel(vec_col: str, query_vectors: np.ndarray) -> Kernel:
 
 
 class RunningTopK:
-    """The k nearest rows seen so far for each query, ordered by (distance, id)."""
+    """The k nearest rows seen so far for each query, ordered by (distance, id).
 
-    def __init__(self, n_queries: int, k: int):
+    Rows farther from a query than ``within``, where it is given, may be left out.
+    """
+
+    def __init__(self, n_queries: int, k: int, within: np.ndarray | None = None):
         self.k = k
-        self.worst = np.full(n_queries, np.inf)
-        self.found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.worst = np.full(n_queries, np.inf) if within is None else within.copy()
+        self.counts = np.zeros(n_queries, np.int64)
+        # As wide as the longest list of hits.
+        self.distances = np.empty((n_queries, 0))
+        self.ids = np.empty((n_queries, 0), np.int64)
 
     def add(self, ids, distances, slack, exact, positions) -> None:
         limit = self.worst[positions]
@@ -108,32 +116,45 @@ class RunningTopK:
                 kth = np.partition(distances, self.k - 1, axis=0)[self.k - 1]
                 limit = np.minimum(limit, kth)
             limit = np.minimum(limit, np.finfo(np.float64).max)
-        near = distances <= limit + slack
-        for j in np.flatnonzero(near.any(axis=0)):
-            at = np.flatnonzero(near[:, j])
-            d = exact(at, j) if exact else distances[at, j]
-            self._merge(int(positions[j]), ids[at], d)
-
-    def _merge(self, position: int, ids, d) -> None:
-        if position in self.found:
-            old_ids, old_d = self.found[position]
-            ids, d = np.concatenate([old_ids, ids]), np.concatenate([old_d, d])
-        order = np.lexsort((ids, d))[: self.k]
-        self.found[position] = (ids[order], d[order])
-        if len(order) == self.k:
-            self.worst[position] = d[order][-1]
+        at, j = np.nonzero(distances <= limit + slack)
+        if not len(at):
+            return
+        if exact:
+            steps = range(0, len(at), _EXACT_PAIRS)
+            d = np.concatenate([exact(at[i : i + _EXACT_PAIRS], j[i : i + _EXACT_PAIRS]) for i in steps])
+        else:
+            d = distances[at, j]
+        self._merge(positions[j], ids[at], d)
+
+    def _merge(self, positions, ids, d) -> None:
+        """All queries with new rows at once."""
+        queries, at, added = np.unique(positions, return_inverse=True, return_counts=True)
+        old = self.counts[queries]
+        if not self.ids.shape[1]:
+            self.ids = self.ids.astype(ids.dtype)
+        held = np.arange(self.ids.shape[1]) < old[:, None]
+        at = np.concatenate([np.repeat(np.arange(len(queries)), old), at])
+        ids = np.concatenate([self.ids[queries][held], ids])
+        d = np.concatenate([self.distances[queries][held], d])
+        order = np.lexsort((ids, d, at))
+        total = old + added
+        rank = np.arange(len(at)) - np.repeat(np.cumsum(total) - total, total)
+        order, rank = order[rank < self.k], rank[rank < self.k]
+        counts = np.minimum(total, self.k)
+        wider = int(counts.max()) - self.ids.shape[1]
+        if wider > 0:
+            self.ids, self.distances = (np.pad(x, ((0, 0), (0, wider))) for x in (self.ids, self.distances))
+        self.ids = self.ids.astype(ids.dtype, copy=False)  # longer texts need more room
+        self.ids[queries[at[order]], rank] = ids[order]
+        self.distances[queries[at[order]], rank] = d[order]
+        self.counts[queries] = counts
+        full = queries[counts == self.k]
+        self.worst[full] = np.minimum(self.worst[full], self.distances[full, self.counts[full] - 1])
 
     def rows(self):
         """Query positions, ids and distances of everything kept."""
-        positions = sorted(self.found)
-        if not positions:
-            return np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([])
-        counts = [len(self.found[p][0]) for p in positions]
-        return (
-            np.repeat(positions, counts),
-            np.concatenate([self.found[p][0] for p in positions]),
-            np.concatenate([self.found[p][1] for p in positions]),
-        )
+        held = np.arange(self.ids.shape[1]) < self.counts[:, None]
+        return np.repeat(np.arange(len(self.counts)), self.counts), self.ids[held], self.distances[held]
 
 
 def rows_by_group(batch, group_cols: Sequence[str]) -> Iterator[tuple[tuple, np.ndarray]]:
@@ -315,18 +336,20 @@ def block_topk(
     query_vec_col: str = "query_vector",
     block_vectors: int = BLOCK_VECTORS,
     block_queries: int = BLOCK_QUERIES,
+    within_col: str | None = None,
 ) -> DataFrame:
     """``query_cols``, ``id_col``, ``distance`` and ``rank`` of the k nearest vectors in the groups of
     each query, by squared L2, ties by id.
 
     ``probes`` has a row for each query and group that it looks in.  Vectors without an id, and
     those of another length than the query, are no candidates; a query that probes a group twice
-    looks there once.
+    looks there once.  Vectors farther from a query than its ``within_col`` may be left out; null
+    stands for no bound.
     """
     hits = block_hits(
         vectors, probes.dropDuplicates([*group_cols, *query_cols]), k, group_cols=group_cols, id_col=id_col,
         payload_col=vec_col, query_cols=query_cols, query_vec_col=query_vec_col, block_vectors=block_vectors,
-        block_queries=block_queries,
+        block_queries=block_queries, within_col=within_col,
     )
     return merge_hits(hits, k, query_cols, id_col)
 
@@ -344,6 +367,7 @@ def block_hits(
     make_kernel: Callable[[str, np.ndarray], Kernel] = flat_kernel,
     block_vectors: int = BLOCK_VECTORS,
     block_queries: int = BLOCK_QUERIES,
+    within_col: str | None = None,
 ) -> DataFrame:
     """The k nearest vectors of each block to each query that meets it, to be merged.
 
@@ -355,7 +379,10 @@ def block_hits(
         group_cols = ["_all"]
         vectors, probes = vectors.withColumn("_all", F.lit(0)), probes.withColumn("_all", F.lit(0))
     vector = F.col(query_vec_col).cast("array<double>").alias("_query")
-    probes = materialize(probes.select(*group_cols, *query_cols, vector).filter("_query IS NOT NULL"), "probes")
+    within = F.lit(None) if within_col is None else F.col(within_col)
+    within = F.coalesce(within.cast("double"), F.lit(float("inf"))).alias("_within")
+    probes = probes.select(*group_cols, *query_cols, vector, within).filter("_query IS NOT NULL")
+    probes = materialize(probes, "probes")
     candidates = vectors.select(*group_cols, F.col(id_col).alias("_id"), F.col(payload_col).alias("_vector"))
     candidates = candidates.filter("_id IS NOT NULL AND _vector IS NOT NULL")
 
@@ -410,7 +437,7 @@ def block_hits(
 
     def search(key: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
         load, score = make_kernel("_vector", dense(queries.column("_query")))
-        best = RunningTopK(queries.num_rows, k)
+        best = RunningTopK(queries.num_rows, k, queries.column("_within").to_numpy())
         parts = [np.arange(i, min(i + at_once, queries.num_rows)) for i in range(0, queries.num_rows, at_once)]
         for batch in rows.combine_chunks().to_batches(_BLOCK_BATCH_ROWS):
             data, everything = load(batch), np.arange(batch.num_rows)
