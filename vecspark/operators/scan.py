@@ -43,8 +43,8 @@ BLOCK_VECTORS, BLOCK_QUERIES = 16_384, 1_024
 #: its queries, then has more than so many bytes.
 MAX_COPIES, BLOCK_BYTES = 8, 32 << 20
 _BLOCK_BATCH_ROWS = 4_096
-# Pairs whose distances are computed exactly at a time.
-_EXACT_PAIRS = 1 << 14
+# Numbers of vectors whose distances are computed exactly at a time.
+_EXACT_NUMBERS = 1 << 17
 
 # A kernel reads what it needs from a batch and scores rows of one group against queries:
 # score(data, rows, group_key, query_positions) -> (distances, exact or None), where
@@ -87,7 +87,9 @@ def flat_kernel(vec_col: str, query_vectors: np.ndarray) -> Kernel:
         x, q = matrix[rows], query_vectors[positions]
 
         def exact(at, j):
-            return ((x[at] - q[j]) ** 2).sum(axis=1)
+            step = max(_EXACT_NUMBERS // max(x.shape[1], 1), 1)
+            parts = [slice(i, i + step) for i in range(0, len(at), step)]
+            return np.concatenate([((x[at[p]] - q[j[p]]) ** 2).sum(axis=1) for p in parts])
 
         return squared_distances(x, q), rounding_slack(x, q), exact
 
@@ -119,11 +121,7 @@ class RunningTopK:
         at, j = np.nonzero(distances <= limit + slack)
         if not len(at):
             return
-        if exact:
-            steps = range(0, len(at), _EXACT_PAIRS)
-            d = np.concatenate([exact(at[i : i + _EXACT_PAIRS], j[i : i + _EXACT_PAIRS]) for i in steps])
-        else:
-            d = distances[at, j]
+        d = exact(at, j) if exact else distances[at, j]
         self._merge(positions[j], ids[at], d)
 
     def _merge(self, positions, ids, d) -> None:
